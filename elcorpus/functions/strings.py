@@ -25,15 +25,29 @@ def normalize_title(c: Column, strip: bool = True) -> Column:
     return F.replace(py_strip(c) if strip else c, F.lit(" "), F.lit("_"))
 
 
+_MAP_CACHE: dict = {}
+
+
+def _sql_str(v: str) -> str:
+    return "'" + "".join(f"\\u{ord(ch):04x}" for ch in v) + "'"
+
+
 def _named_entity_map() -> Column:
-    # HTML 4 named entities (the set an HTML parser decodes), plus apos.
-    table = dict(name2codepoint)
-    table.setdefault("apos", 39)
-    names = sorted(table)
-    return F.map_from_arrays(
-        F.array(*[F.lit(n) for n in names]),
-        F.array(*[F.lit(chr(table[n])) for n in names]),
-    )
+    """HTML 4 named entities (the set an HTML parser decodes), plus apos, as
+    one constant map built from a single SQL expression (cached per
+    SparkContext: one JVM call instead of hundreds)."""
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    key = id(sc)
+    if key not in _MAP_CACHE:
+        table = dict(name2codepoint)
+        table.setdefault("apos", 39)
+        names = sorted(table)
+        sql = ("map_from_arrays(array(" + ", ".join(_sql_str(n) for n in names) + "), array("
+               + ", ".join(_sql_str(chr(table[n])) for n in names) + "))")
+        _MAP_CACHE.clear()
+        _MAP_CACHE[key] = F.expr(sql)
+    return _MAP_CACHE[key]
 
 
 def _code_point_to_string(n: Column) -> Column:

@@ -58,14 +58,15 @@ P_CLOSERS = ("address", "article", "aside", "blockquote", "center", "dd", "detai
 _BIG = 2 ** 31 - 1
 
 
-def _attr(tok: Column, name: str) -> Column:
-    """Decoded value of attribute ``name`` of a tag token (null if absent)."""
+def _attr(tok: Column, name: str, decode: bool = True) -> Column:
+    """Value of attribute ``name`` of a tag token (null if absent), with
+    character references decoded unless ``decode`` is false."""
     raw = F.regexp_extract(tok, r"(?is)^<[a-z][^\s/>]*(?:\s+[^>]*?)?\s" + name +
                            r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
     unq = F.when(raw.startswith('"') | raw.startswith("'"),
                  F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
     present = tok.rlike(r"(?is)^<[a-z][^\s/>]*\s(?:[^>]*\s)?" + name + r"(?:\s*=|\s|/?>)")
-    return F.when(present, decode_entities(unq))
+    return F.when(present, decode_entities(unq) if decode else unq)
 
 
 def has_class(cls: Column, token: str) -> Column:
@@ -105,8 +106,8 @@ def tokenize(pages: DataFrame, key: str = "pk", html: str = "html",
         key, "seq", "tok", "kind", "tag",
         opens.alias("opens"),
         (F.col("kind") == "close").alias("closes"),
-        F.when(is_open_tag, _attr(tok, "class")).alias("cls"),
-        F.when(is_open_tag, _attr(tok, "id")).alias("ident"),
+        F.when(is_open_tag, _attr(tok, "class", decode=False)).alias("cls"),
+        F.when(is_open_tag, _attr(tok, "id", decode=False)).alias("ident"),
         F.when(is_open_tag & (F.col("tag") == "a"), _attr(tok, "href")).alias("href"),
         F.when(is_open_tag & (F.col("tag") == "a"), _attr(tok, "title")).alias("title"),
         F.when(is_open_tag & (F.col("tag") == "img"), _attr(tok, "alt")).alias("alt"),
@@ -118,59 +119,59 @@ def tokenize(pages: DataFrame, key: str = "pk", html: str = "html",
 def annotate(tokens: DataFrame, profile: SiteProfile, key: str = "pk") -> DataFrame:
     """D2-D9 flags on the token table (one row per token).
 
-    Adds: end (matching close), body (inside container), dropped (D3),
-    cut (D4), p_index/p_seq (D5, direct-child paragraph), in_sup (D6),
-    m_seq/math_text (D7), l_seq/l_end (outermost internal link, D9),
-    link (internal link open usable as an edge, D8) and piece (text
-    contribution of the token after D6-D9, '' for markup)."""
+    Adds: end (matching close), body (inside container), exists (C9),
+    dropped (D3), cut (D4), dc_p/p_index/p_seq (D5, direct-child paragraph),
+    in_sup (D6), m_seq/math_text/math_error (D7), link (internal link open
+    usable as an edge, D8), l_seq/l_end (outermost internal link, D9) and
+    piece (text contribution of the token after D6-D9, null for markup).
+
+    Columns are added in a few wide selects: every ``select`` re-analyses
+    the plan, so fewer and wider steps keep planning time flat."""
     c = F.col
     run = Window.partitionBy(key).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = Window.partitionBy(key).orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
     page = Window.partitionBy(key)
     same_tag = Window.partitionBy(key, "tag").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     level = Window.partitionBy(key, "tag", "lvl").orderBy("seq")
+    bnd_win = Window.partitionBy(key, "bnd").orderBy("seq")
 
-    t = tokens
     # -- element ends: same-tag running depth, then the next token of that tag
-    #    at the same level.  <p> ends at the next paragraph boundary instead.
+    #    at the same level.  <p> ends at the next paragraph boundary instead
+    #    (lead over boundary tokens only: O(n), no following-rows frame).
     paired = (c("opens") | c("closes")) & (c("tag") != "p") & (c("tag") != "")
-    delta = F.when(paired & c("opens"), 1).when(paired & c("closes"), -1).otherwise(0)
-    t = t.withColumn("d", F.sum(delta).over(same_tag))
-    t = t.withColumn("lvl", F.when(paired, F.when(c("opens"), c("d")).otherwise(c("d") + 1)))
-    nxt_seq = F.lead("seq").over(level)
-    nxt_close = F.lead("closes").over(level)
     boundary = (c("opens") | c("closes") | (c("kind") == "open")) & c("tag").isin(*P_CLOSERS)
     struct_delta = (F.when(c("opens") & c("tag").isin(*STRUCT_TAGS), 1)
                     .when(c("closes") & c("tag").isin(*STRUCT_TAGS), -1).otherwise(0))
-    t = t.select(
-        "*",
-        F.when(paired & c("opens"), F.when(nxt_close, nxt_seq)).alias("end0"),
-        F.min(F.when(boundary, c("seq"))).over(after).alias("next_boundary"),
-        F.sum(struct_delta).over(run).alias("sd"),
-        F.max("seq").over(page).alias("last_seq"),
-    )
-    end = (F.when(c("tag") == "p", F.coalesce(c("next_boundary"), c("last_seq") + 1))
-           .when(c("opens"), F.coalesce(c("end0"), c("last_seq") + 1))
+    t = tokens.select("*", paired.alias("paired"), boundary.alias("bnd"))
+    delta = F.when(c("paired") & c("opens"), 1).when(c("paired") & c("closes"), -1).otherwise(0)
+    t = t.select("*", F.sum(delta).over(same_tag).alias("d"), F.sum(struct_delta).over(run).alias("sd"),
+                 F.max("seq").over(page).alias("last_seq"), F.lead("seq").over(bnd_win).alias("bnext"))
+    t = t.select("*", F.when(c("paired"), F.when(c("opens"), c("d")).otherwise(c("d") + 1)).alias("lvl"))
+    end0 = F.when(c("paired") & c("opens"), F.when(F.lead("closes").over(level), F.lead("seq").over(level)))
+    end = (F.when(c("tag") == "p", F.coalesce(F.when(c("bnd"), c("bnext")), c("last_seq") + 1))
+           .when(c("opens"), F.coalesce(end0, c("last_seq") + 1))
            .otherwise(c("seq")))
-    t = t.withColumn("end", end).drop("d", "lvl", "end0", "next_boundary")
+    keep = [x for x in tokens.columns] + ["sd"]
+    t = t.select(*keep, end.alias("end"))
 
-    # -- D2 container: first match of each step inside the previous one.
+    # -- D2 container (first match of each step inside the previous one) and
+    #    C9 page exists (no missing-page marker anywhere in the page).
     lo, hi = F.lit(-1), F.lit(_BIG)
     for i, step in enumerate(profile.container):
         m = c("opens") & _matches(c("tag"), c("cls"), c("ident"), step) & (c("seq") > lo) & (c("seq") < hi)
-        t = t.withColumn(f"c{i}", F.min(F.when(m, F.struct(c("seq").alias("s"), c("end").alias("e"),
-                                                            c("sd").alias("sd")))).over(page))
+        t = t.select("*", F.min(F.when(m, F.struct(c("seq").alias("s"), c("end").alias("e"),
+                                                    c("sd").alias("sd")))).over(page).alias(f"c{i}"))
         lo, hi = c(f"c{i}.s"), c(f"c{i}.e")
     last = f"c{len(profile.container) - 1}"
-    t = t.withColumn("has_container", c(last).isNotNull())
-    # -- C9 page exists: no missing-page marker anywhere in the page.
     if profile.missing_marker:
         mt, mcls = profile.missing_marker
         marker = (c("tag") == mt) & (c("kind") == "open") & has_class(c("cls"), mcls)
-        t = t.withColumn("exists", ~F.max(marker).over(page))
+        exists = ~F.max(marker).over(page)
     else:
-        t = t.withColumn("exists", F.lit(True))
-    t = t.withColumn("body", F.coalesce((c("seq") > c(f"{last}.s")) & (c("seq") < c(f"{last}.e")), F.lit(False)))
+        exists = F.lit(True)
+    body = F.coalesce((c("seq") > c(f"{last}.s")) & (c("seq") < c(f"{last}.e")), F.lit(False))
+    t = t.select(*[x for x in t.columns if not (x.startswith("c") and x[1:].isdigit())],
+                 c(f"{last}.s").alias("c_s"), c(f"{last}.sd").alias("c_sd"),
+                 c(last).isNotNull().alias("has_container"), exists.alias("exists"), body.alias("body"))
 
     # -- D3 dropped subtrees inside the container.
     if profile.drop_blocks:
@@ -178,78 +179,77 @@ def annotate(tokens: DataFrame, profile: SiteProfile, key: str = "pk") -> DataFr
         for tag_name, token in profile.drop_blocks:
             cand = cand | _matches(c("tag"), c("cls"), c("ident"), (tag_name, "class", token))
         cand = c("opens") & c("body") & cand
-        t = t.withColumn("dropped", F.coalesce(F.max(F.when(cand, c("end"))).over(run) >= c("seq"), F.lit(False)))
+        dropped = F.coalesce(F.max(F.when(cand, c("end"))).over(run) >= c("seq"), F.lit(False))
     else:
-        t = t.withColumn("dropped", F.lit(False))
+        dropped = F.lit(False)
+    t = t.select("*", dropped.alias("dropped"))
 
     # -- D4 section cut: first heading whose text is a boilerplate title.
     if profile.headings:
         hd = c("opens") & c("tag").startswith("h") & c("body") & ~c("dropped")
-        t = t.withColumn("_h", F.max(F.when(hd, F.struct(c("end").alias("e"), c("seq").alias("s")))).over(run))
-        t = t.withColumn("h_seq", F.when(c("_h.e") >= c("seq"), c("_h.s")))
+        t = t.select("*", hd.alias("hd"), F.max(F.when(hd, F.struct(c("end").alias("e"), c("seq").alias("s")))).over(run).alias("_h"))
+        t = t.select("*", F.when(c("_h.e") >= c("seq"), c("_h.s")).alias("h_seq"))
         heading = Window.partitionBy(key, "h_seq")
         piece = F.when(c("h_seq").isNotNull() & (c("kind") == "text") & ~c("dropped"),
                        F.struct(c("seq").alias("s"), c("txt").alias("x")))
         texts = F.array_join(F.transform(F.array_sort(F.collect_list(piece).over(heading)), lambda x: x["x"]), "")
-        t = t.withColumn("h_text", F.when(hd, F.lower(py_strip(texts))))
-        t = t.withColumn("cut", F.coalesce(F.min(F.when(hd & c("h_text").isin(*profile.headings), c("seq"))).over(page),
-                                           F.lit(_BIG)))
-        t = t.drop("_h", "h_seq", "h_text")
+        t = t.select("*", F.when(c("hd"), F.lower(py_strip(texts))).alias("h_text"))
+        cut = F.coalesce(F.min(F.when(c("hd") & c("h_text").isin(*profile.headings), c("seq"))).over(page), F.lit(_BIG))
+        t = t.select(*[x for x in t.columns if x not in ("hd", "_h", "h_seq", "h_text")], cut.alias("cut"))
     else:
-        t = t.withColumn("cut", F.lit(_BIG))
+        t = t.select("*", F.lit(_BIG).alias("cut"))
 
-    live = c("body") & ~c("dropped") & (c("seq") < c("cut"))
     # -- D5 direct-child paragraphs (and their 1-based index).
-    dc_p = c("opens") & (c("tag") == "p") & live & (c("sd") == c(f"{last}.sd"))
-    t = t.withColumn("dc_p", dc_p)
-    t = t.withColumn("_p", F.max(F.when(c("dc_p"), F.struct(c("seq").alias("s"), c("end").alias("e")))).over(run))
-    t = t.withColumn("p_index", F.sum(F.when(c("dc_p"), 1).otherwise(0)).over(run))
-    in_p = (c("seq") > c("_p.s")) & (c("seq") < c("_p.e")) & live
-    t = t.withColumn("p_seq", F.when(in_p | c("dc_p"), c("_p.s")))
-    t = t.withColumn("p_index", F.when(c("p_seq").isNotNull(), c("p_index")))
+    live = c("body") & ~c("dropped") & (c("seq") < c("cut"))
+    dc_p = c("opens") & (c("tag") == "p") & live & (c("sd") == c("c_sd"))
+    t = t.select("*", dc_p.alias("dc_p"))
+    t = t.select("*", F.max(F.when(c("dc_p"), F.struct(c("seq").alias("s"), c("end").alias("e")))).over(run).alias("_p"),
+                 F.sum(F.when(c("dc_p"), 1).otherwise(0)).over(run).alias("_pi"))
+    in_p = ((c("seq") > c("_p.s")) & (c("seq") < c("_p.e")) & live) | c("dc_p")
+    t = t.select(*[x for x in t.columns if x not in ("_p", "_pi")],
+                 F.when(in_p, c("_p.s")).alias("p_seq"), F.when(in_p, c("_pi")).alias("p_index"))
     # -- D6 footnotes inside paragraphs.
     sup = c("opens") & (c("tag") == "sup") & c("p_seq").isNotNull() & ~c("dc_p")
-    t = t.withColumn("in_sup", F.coalesce(F.max(F.when(sup, c("end"))).over(run) >= c("seq"), F.lit(False)))
+    t = t.select("*", F.coalesce(F.max(F.when(sup, c("end"))).over(run) >= c("seq"), F.lit(False)).alias("in_sup"))
     kept = c("p_seq").isNotNull() & ~c("dc_p") & ~c("in_sup")
 
     # -- D7 math spans (outermost) -> alt of first img, else text up to the
     #    LaTeX marker (no marker: last character dropped).
     if profile.math_class:
         mc = c("opens") & (c("tag") == "span") & has_class(c("cls"), profile.math_class) & kept
-        t = t.withColumn("_m", F.max(F.when(mc, F.struct(c("end").alias("e"), c("seq").alias("s")))).over(run))
-        t = t.withColumn("m_seq", F.when(kept & (c("_m.e") >= c("seq")), c("_m.s")))
+        t = t.select("*", F.max(F.when(mc, F.struct(c("end").alias("e"), c("seq").alias("s")))).over(run).alias("_m"))
+        t = t.select(*[x for x in t.columns if x != "_m"], F.when(kept & (c("_m.e") >= c("seq")), c("_m.s")).alias("m_seq"))
         span = Window.partitionBy(key, "m_seq")
         img = F.when(c("m_seq").isNotNull() & (c("tag") == "img") & (c("kind") == "open"),
                      F.struct(c("seq").alias("s"), c("alt").isNotNull().alias("has_alt"), c("alt").alias("alt")))
         txt = F.when(c("m_seq").isNotNull() & (c("kind") == "text"), F.struct(c("seq").alias("s"), c("txt").alias("x")))
-        t = t.withColumn("_img", F.when(c("seq") == c("m_seq"), F.min(img).over(span)))
-        alltext = F.replace(F.array_join(F.transform(F.array_sort(F.collect_list(txt).over(span)), lambda x: x["x"]), ""),
-                            F.lit("\n"), F.lit(""))
-        marker = F.instr(alltext, "{\\displaystyle")
-        cut_text = F.when(marker > 0, F.substring(alltext, F.lit(1), marker - 1)) \
-                    .otherwise(F.substring(alltext, F.lit(1), F.length(alltext) - 1))
-        t = t.withColumn("math_text", F.when(c("seq") == c("m_seq"),
-                                             F.when(c("_img").isNotNull(), F.coalesce(c("_img.alt"), F.lit("")))
-                                             .otherwise(F.when(alltext.isNotNull(), cut_text))))
-        t = t.withColumn("math_error", F.coalesce((c("seq") == c("m_seq")) & c("_img").isNotNull() & ~c("_img.has_alt"),
-                                                  F.lit(False)))
-        t = t.drop("_m", "_img")
+        is_m = c("seq") == c("m_seq")
+        t = t.select("*", F.when(is_m, F.min(img).over(span)).alias("_img"),
+                     F.when(is_m, F.replace(F.array_join(F.transform(F.array_sort(F.collect_list(txt).over(span)),
+                                                                     lambda x: x["x"]), ""), F.lit("\n"), F.lit(""))).alias("_mt"))
+        marker = F.instr(c("_mt"), "{\\displaystyle")
+        cut_text = (F.when(marker > 0, F.substring(c("_mt"), F.lit(1), marker - 1))
+                    .otherwise(F.substring(c("_mt"), F.lit(1), F.length(c("_mt")) - 1)))
+        math_text = F.when(is_m, F.when(c("_img").isNotNull(), F.coalesce(c("_img.alt"), F.lit(""))).otherwise(cut_text))
+        math_error = F.coalesce(is_m & c("_img").isNotNull() & ~c("_img.has_alt"), F.lit(False))
+        t = t.select(*[x for x in t.columns if x not in ("_img", "_mt")], math_text.alias("math_text"),
+                     math_error.alias("math_error"))
     else:
-        t = t.withColumn("m_seq", F.lit(None).cast("int")).withColumn("math_text", F.lit(None).cast("string")) \
-             .withColumn("math_error", F.lit(False))
+        t = t.select("*", F.lit(None).cast("int").alias("m_seq"), F.lit(None).cast("string").alias("math_text"),
+                     F.lit(False).alias("math_error"))
 
     # -- D8/D9 internal links.
     internal = (c("opens") & (c("tag") == "a") & F.coalesce(c("href").startswith(profile.article_path), F.lit(False))
                 & c("title").isNotNull() & is_main_ns_title(c("title"), profile) & is_main_ns_url(c("href"), profile))
-    t = t.withColumn("link", F.coalesce(internal & kept, F.lit(False)))
+    t = t.select("*", F.coalesce(internal & kept, F.lit(False)).alias("link"))
     if profile.annotate_links:
         lc = c("link") & c("m_seq").isNull()
-        t = t.withColumn("_l", F.max(F.when(lc, F.struct(c("end").alias("e"), c("seq").alias("s")))).over(run))
+        t = t.select("*", F.max(F.when(lc, F.struct(c("end").alias("e"), c("seq").alias("s")))).over(run).alias("_l"))
         in_link = kept & (c("_l.e") >= c("seq"))
-        t = t.withColumn("l_seq", F.when(in_link, c("_l.s"))).withColumn("l_end", F.when(in_link, c("_l.e")))
-        t = t.drop("_l")
+        t = t.select(*[x for x in t.columns if x != "_l"], F.when(in_link, c("_l.s")).alias("l_seq"),
+                     F.when(in_link, c("_l.e")).alias("l_end"))
     else:
-        t = t.withColumn("l_seq", F.lit(None).cast("int")).withColumn("l_end", F.lit(None).cast("int"))
+        t = t.select("*", F.lit(None).cast("int").alias("l_seq"), F.lit(None).cast("int").alias("l_end"))
 
     piece = (F.when(c("dc_p"), F.lit("\n"))
              .when(~kept, F.lit(None))
@@ -258,7 +258,7 @@ def annotate(tokens: DataFrame, profile: SiteProfile, key: str = "pk") -> DataFr
                    F.concat(F.lit("[E="), F.replace(c("title"), F.lit(" "), F.lit("_")), F.lit("]")))
              .when(c("seq") == c("l_end"), F.lit("[/E]"))
              .when(c("kind") == "text", c("txt")))
-    return t.withColumn("piece", piece)
+    return t.select("*", piece.alias("piece"))
 
 
 def _ordered_concat(piece_struct: Column) -> Column:

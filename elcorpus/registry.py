@@ -141,12 +141,12 @@ lp as (
     regexp_extract_all(p2, '<a href="([^"]*)" title="[^"]*">.*?</a>', 1) as hrefs,
     regexp_extract_all(p2, '<a href="[^"]*" title="([^"]*)">.*?</a>', 1) as titles,
     regexp_extract_all(p2, '<a href="[^"]*" title="[^"]*">(.*?)</a>', 1) as inners
-  from lk, nsl),
+  from lk),
 pt as (
   select input_seq, i, n_sup, has_m, math_text, m_err, hrefs, titles,
     len(list_filter(range(1, len(hrefs) + 1), lambda k: starts_with(hrefs[k], '/wiki/') and {o_title_ok('titles[k]')} and {o_url_ok('hrefs[k]')})) as n_marks,
     {o_decode("regexp_replace(array_to_string(list_transform(range(1, len(segs) + 1), lambda k: segs[k] || case when k <= len(hrefs) then (case when starts_with(hrefs[k], '/wiki/') and " + o_title_ok('titles[k]') + " and " + o_url_ok('hrefs[k]') + " then '[E=' || replace(titles[k], ' ', '_') || ']' || inners[k] || '[/E]' else inners[k] end) else '' end), ''), '<[^>]*>', '', 'g')")} as ptxt
-  from lp),
+  from lp, nsl),
 pagetext as (
   select input_seq, {o_strip("string_agg(ptxt, chr(10) order by i)")} as txt, bool_or(m_err) as m_err
   from pt group by input_seq),
@@ -556,10 +556,13 @@ _O_PKEY = _O_KEY.replace("title", "page")
 
 
 @query("fetch_frontier", f"""with {LINKS_O},
-cached as (select distinct {_O_PKEY} as key from wiki_pages)
+cached as (select distinct {_O_PKEY} as key from wiki_pages where input_seq in (select doc_id from labels))
 select distinct page, url from links_o where {_O_PKEY} not in (select key from cached)""", ["category_lines", "wiki_pages"])
 def q_fetch_frontier(spark, sf):
-    return L.fetch_frontier(_links(spark, sf), _fx(spark, sf, "wiki_pages").select("page"))
+    # The HTML cache holds the pages of the labelled documents so far.
+    wp = _fx(spark, sf, "wiki_pages")
+    cached = wp.join(_tbl(spark, sf, "labels").select(F.col("doc_id").alias("input_seq")), "input_seq", "left_semi")
+    return L.fetch_frontier(_links(spark, sf), cached.select("page"))
 
 
 # ----------------------------------------------------------------------------
