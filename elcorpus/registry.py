@@ -610,3 +610,118 @@ def entities_query(spark, sf):
 
 
 query("entities", ENTITIES_O, ["wiki_pages", "wikidata_dump"])(entities_query)
+
+
+# ----------------------------------------------------------------------------
+# Sources and sinks: derived data is written under the session's checkpoint
+# folder and read back with the library readers.
+# ----------------------------------------------------------------------------
+def _scratch(spark, name):
+    from elcorpus.session import ensure_checkpoint_dir, stage_path
+    ensure_checkpoint_dir(spark)
+    return stage_path(spark, name)
+
+
+@query("scan_category_lines", "select value from category_lines", ["category_lines"])
+def q_scan_category_lines(spark, sf):
+    from elcorpus.profile import CATEGORY_FILE_GLOBS
+    from elcorpus.sources import read_category_lines
+    base = _scratch(spark, "categories")
+    lines = _fx(spark, sf, "category_lines")
+    # Two listing files per category kind (matching the globs) and one
+    # decoy that does not match them.
+    names = [g.replace("_2*", "_2021") for g in CATEGORY_FILE_GLOBS]
+    h = F.abs(F.hash("value")) % 2
+    lines.filter(h == 0).write.text(f"{base}/a")
+    lines.filter(h == 1).write.text(f"{base}/b")
+    import os
+    from pyspark.sql import SparkSession  # noqa: F401
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(conf)
+    os_dir = f"{base}/listing"
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(os_dir))
+    for sub, name in zip(("a", "b"), names):
+        for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/{sub}")):
+            pn = st.getPath().getName()
+            if pn.startswith("part-"):
+                fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{os_dir}/{name}_{sub}{pn[5:10]}.txt"))
+    spark.createDataFrame([("* decoy {{a-label|Decoy}}",)], "value string").write.text(f"{base}/d")
+    for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/d")):
+        if st.getPath().getName().startswith("part-"):
+            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{os_dir}/Autre_liste_2021.txt"))
+    del os
+    return read_category_lines(spark, os_dir)
+
+
+@query("sorted_title_file", f"with {GOOD_O} select title from good_o", ["category_lines"])
+def q_sorted_title_file(spark, sf):
+    from elcorpus.sinks import write_sorted_titles
+    from elcorpus.sources import read_title_list
+    path = _scratch(spark, "good_titles")
+    write_sorted_titles(TT.good_titles(_fx(spark, sf, "category_lines")), path)
+    return read_title_list(spark, path, normalize=False)
+
+
+@query("scan_title_list",
+       "select distinct replace(regexp_replace(regexp_extract(value, '\\{\\{a-label\\|(.+?)\\}\\}', 1), '^\\s+|\\s+$', '', 'g'), ' ', '_') as title "
+       "from category_lines where regexp_matches(value, '\\{\\{a-label\\|(.+?)\\}\\}') "
+       "and regexp_replace(regexp_extract(value, '\\{\\{a-label\\|(.+?)\\}\\}', 1), '\\s', '', 'g') <> ''",
+       ["category_lines"])
+def q_scan_title_list(spark, sf):
+    from elcorpus.sources import read_title_list
+    path = _scratch(spark, "title_list")
+    lab = _fx(spark, sf, "category_lines").select(F.regexp_extract("value", r"\{\{a-label\|(.+?)\}\}", 1).alias("v"))
+    # raw labels with spaces, plus blank lines, as a plain title file
+    lab.select(F.when(F.col("v") == "", F.lit("   ")).otherwise(F.concat(F.lit(" "), F.col("v"), F.lit(" "))).alias("value")) \
+       .write.text(path)
+    return read_title_list(spark, path, normalize=True)
+
+
+@query("scan_csv_strings", f"with {LINKS_O} select page, linked_from, url from links_o", ["category_lines", "wiki_pages"])
+def q_scan_csv_strings(spark, sf):
+    from elcorpus.sinks import write_csv_quoted
+    from elcorpus.sources import read_csv_strings
+    path = _scratch(spark, "page_links_csv")
+    write_csv_quoted(_links(spark, sf), path)
+    return read_csv_strings(spark, path, ["page", "linked_from", "url"])
+
+
+@query("sink_csv_roundtrip", f"with {CLEAN_O} select title, url, error_class, message from rows_o where status = 'error'",
+       ["wiki_pages"])
+def q_sink_csv_roundtrip(spark, sf):
+    from elcorpus.sinks import append_csv
+    from elcorpus.sources import read_csv_strings
+    path = _scratch(spark, "errors_csv")
+    rows = C.cleaned_rows(_fx(spark, sf, "wiki_pages")).filter(F.col("status") == "error")
+    rows = rows.select("title", "url", "error_class", "message")
+    # two appends (e.g. two runs), each with its own header
+    append_csv(rows.filter(F.col("title") < "Doc_5"), path)
+    append_csv(rows.filter(F.col("title") >= "Doc_5"), path)
+    return read_csv_strings(spark, path, ["title", "url", "error_class", "message"])
+
+
+@query("scan_html_jsonl", "select input_seq, page, url, text from wiki_pages", ["wiki_pages"])
+def q_scan_html_jsonl(spark, sf):
+    from elcorpus.sources import read_html_pages
+    path = _scratch(spark, "html_pages_jl")
+    _fx(spark, sf, "wiki_pages").write.json(path)
+    return read_html_pages(spark, path).select("input_seq", "page", "url", "text")
+
+
+@query("sink_jsonl_roundtrip", ENTITIES_O, ["wiki_pages", "wikidata_dump"])
+def q_sink_jsonl_roundtrip(spark, sf):
+    from elcorpus.sinks import write_gzip_jsonl
+    from pyspark.sql import types as Ty
+    path = _scratch(spark, "entities_jl_gz")
+    write_gzip_jsonl(entities_query(spark, sf), path)
+    schema = Ty.StructType([Ty.StructField(c, Ty.StringType()) for c in D.ENTITY_COLUMNS])
+    return spark.read.schema(schema).json(path)
+
+
+@query("scan_wikidata_dump", f"with {DUMP_O} select line from dl", ["wikidata_dump"])
+def q_scan_wikidata_dump(spark, sf):
+    from elcorpus.sources import read_wikidata_dump
+    path = _scratch(spark, "dump_bz2")
+    _fx(spark, sf, "wikidata_dump").write.option("compression", "bzip2").text(path)
+    return E.dump_lines(read_wikidata_dump(spark, path))
