@@ -84,9 +84,10 @@ def _matches(tag: Column, cls: Column, ident: Column, step) -> Column:
 
 
 def tokenize(pages: DataFrame, key: str = "pk", html: str = "html",
-             num_partitions: int | None = None) -> DataFrame:
-    """(key, seq, tok, kind, tag, opens, closes, cls, ident, href, title,
-    has_title, alt, txt) with seq = 0-based document order."""
+             num_partitions: int | None = None, keep_token: bool = False) -> DataFrame:
+    """(key, seq, kind, tag, opens, closes, cls, ident, href, title, alt,
+    txt) with seq = 0-based document order; ``tok`` (raw token) is kept only
+    when asked for, to keep the rows that flow through the windows narrow."""
     src = pages.select(key, html)
     src = src.repartition(num_partitions, key) if num_partitions else src.repartition(key)
     t = src.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(TOKEN_PATTERN), 0))
@@ -99,11 +100,12 @@ def tokenize(pages: DataFrame, key: str = "pk", html: str = "html",
             .when(tag.isin("script", "style"), "raw")
             .when(tok.startswith("</"), "close")
             .otherwise("open"))
-    t = t.withColumn("tag", tag).withColumn("kind", kind)
+    t = t.select(key, "seq", "tok", tag.alias("tag"), kind.alias("kind"))
     is_open_tag = F.col("kind") == "open"
     opens = is_open_tag & ~F.col("tag").isin(*VOID_TAGS) & ~tok.rlike(r"/\s*>$")
-    t = t.select(
-        key, "seq", "tok", "kind", "tag",
+    cols = [key, "seq"] + (["tok"] if keep_token else []) + ["kind", "tag"]
+    return t.select(
+        *cols,
         opens.alias("opens"),
         (F.col("kind") == "close").alias("closes"),
         F.when(is_open_tag, _attr(tok, "class", decode=False)).alias("cls"),
@@ -113,112 +115,160 @@ def tokenize(pages: DataFrame, key: str = "pk", html: str = "html",
         F.when(is_open_tag & (F.col("tag") == "img"), _attr(tok, "alt")).alias("alt"),
         F.when(F.col("kind") == "text", decode_entities(tok)).alias("txt"),
     )
-    return t
 
 
-def annotate(tokens: DataFrame, profile: SiteProfile, key: str = "pk") -> DataFrame:
-    """D2-D9 flags on the token table (one row per token).
+def _outermost(cond: Column, window) -> Column:
+    """Running max of (end, seq) over candidate opens: the outermost
+    candidate that started at or before this token (enclosing it when
+    ``end >= seq``)."""
+    return F.max(F.when(cond, F.struct(F.col("end").alias("e"), F.col("seq").alias("s")))).over(window)
 
-    Adds: end (matching close), body (inside container), exists (C9),
-    dropped (D3), cut (D4), dc_p/p_index/p_seq (D5, direct-child paragraph),
-    in_sup (D6), m_seq/math_text/math_error (D7), link (internal link open
-    usable as an edge, D8), l_seq/l_end (outermost internal link, D9) and
-    piece (text contribution of the token after D6-D9, null for markup).
 
-    Columns are added in a few wide selects: every ``select`` re-analyses
-    the plan, so fewer and wider steps keep planning time flat."""
+def annotate(tokens: DataFrame, profile: SiteProfile, key: str = "pk") -> DataFrame:
+    """D2-D9 flags on the token table (one row per kept token).
+
+    Output columns: key, seq, kind, tag, opens, title, href, txt, end,
+    page facts (exists C9, has_container D2, qid D12 - carried on every
+    row), p_seq/p_index (D5, direct-child paragraph), dc_p (paragraph open),
+    m_seq/math_text/math_error (D7), link (internal link open usable as an
+    edge, D8), l_seq/l_end (outermost internal link, D9) and piece (text
+    contribution after D3-D9; null for markup and removed tokens).
+
+    Tokens outside the content container are dropped once the page facts
+    are known (the first token of each page stays, carrying them).  Window
+    passes whose candidates do not depend on each other share one Window
+    operator; subtrees nest, so a candidate inside a removed subtree never
+    encloses a kept token."""
     c = F.col
     run = Window.partitionBy(key).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     page = Window.partitionBy(key)
     same_tag = Window.partitionBy(key, "tag").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     level = Window.partitionBy(key, "tag", "lvl").orderBy("seq")
     bnd_win = Window.partitionBy(key, "bnd").orderBy("seq")
+    nsteps = len(profile.container)
+
+    # -- 0. per-token flags (each class/tag test evaluated once).
+    opens, kind, tag, cls = c("opens"), c("kind"), c("tag"), c("cls")
+    flags = [
+        ((opens | c("closes")) & (tag != "p") & (tag != "")).alias("paired"),
+        ((opens | c("closes") | (kind == "open")) & tag.isin(*P_CLOSERS)).alias("bnd"),
+        (F.when(opens & tag.isin(*STRUCT_TAGS), 1).when(c("closes") & tag.isin(*STRUCT_TAGS), -1)
+         .otherwise(0)).alias("sdelta"),
+        F.coalesce(F.array_position(F.array(*[opens & _matches(tag, cls, c("ident"), st) for st in profile.container]),
+                                    True), F.lit(0)).alias("cstep"),
+    ]
+    if profile.drop_blocks:
+        drop = F.lit(False)
+        for tag_name, token in profile.drop_blocks:
+            drop = drop | _matches(tag, cls, c("ident"), (tag_name, "class", token))
+        flags.append((opens & drop).alias("dropc"))
+    if profile.missing_marker:
+        mt, mcls = profile.missing_marker
+        flags.append(((tag == mt) & (kind == "open") & has_class(cls, mcls)).alias("missing"))
+    if profile.qid_href_prefix:
+        flags.append(F.when((tag == "a") & (kind == "open") & c("href").startswith(profile.qid_href_prefix),
+                            F.struct(c("seq").alias("s"), c("href").alias("h"))).alias("qidc"))
+    if profile.math_class:
+        flags.append((opens & (tag == "span") & has_class(cls, profile.math_class)).alias("mathc"))
+    internal = (opens & (tag == "a") & F.coalesce(c("href").startswith(profile.article_path), F.lit(False))
+                & c("title").isNotNull() & is_main_ns_title(c("title"), profile) & is_main_ns_url(c("href"), profile))
+    flags.append(F.coalesce(internal, F.lit(False)).alias("internal"))
+    base = [key, "seq", "kind", "tag", "opens", "closes", "href", "title", "alt", "txt"]
+    t = tokens.select(*base, *flags)
 
-    # -- element ends: same-tag running depth, then the next token of that tag
-    #    at the same level.  <p> ends at the next paragraph boundary instead
-    #    (lead over boundary tokens only: O(n), no following-rows frame).
-    paired = (c("opens") | c("closes")) & (c("tag") != "p") & (c("tag") != "")
-    boundary = (c("opens") | c("closes") | (c("kind") == "open")) & c("tag").isin(*P_CLOSERS)
-    struct_delta = (F.when(c("opens") & c("tag").isin(*STRUCT_TAGS), 1)
-                    .when(c("closes") & c("tag").isin(*STRUCT_TAGS), -1).otherwise(0))
-    t = tokens.select("*", paired.alias("paired"), boundary.alias("bnd"))
+    # -- 1. element ends: same-tag running depth -> next token of that tag at
+    #    the same level; <p> ends at the next paragraph boundary (lead over
+    #    boundary tokens only).  Unclosed elements run to the page end.
     delta = F.when(c("paired") & c("opens"), 1).when(c("paired") & c("closes"), -1).otherwise(0)
-    t = t.select("*", F.sum(delta).over(same_tag).alias("d"), F.sum(struct_delta).over(run).alias("sd"),
-                 F.max("seq").over(page).alias("last_seq"), F.lead("seq").over(bnd_win).alias("bnext"))
+    t = t.select("*", F.sum(delta).over(same_tag).alias("d"), F.lead("seq").over(bnd_win).alias("bnext"),
+                 F.sum("sdelta").over(run).alias("sd"))
     t = t.select("*", F.when(c("paired"), F.when(c("opens"), c("d")).otherwise(c("d") + 1)).alias("lvl"))
     end0 = F.when(c("paired") & c("opens"), F.when(F.lead("closes").over(level), F.lead("seq").over(level)))
-    end = (F.when(c("tag") == "p", F.coalesce(F.when(c("bnd"), c("bnext")), c("last_seq") + 1))
-           .when(c("opens"), F.coalesce(end0, c("last_seq") + 1))
+    end = (F.when(c("tag") == "p", F.coalesce(F.when(c("bnd"), c("bnext")), F.lit(_BIG)))
+           .when(c("opens"), F.coalesce(end0, F.lit(_BIG)))
            .otherwise(c("seq")))
-    keep = [x for x in tokens.columns] + ["sd"]
-    t = t.select(*keep, end.alias("end"))
-
-    # -- D2 container (first match of each step inside the previous one) and
-    #    C9 page exists (no missing-page marker anywhere in the page).
-    lo, hi = F.lit(-1), F.lit(_BIG)
-    for i, step in enumerate(profile.container):
-        m = c("opens") & _matches(c("tag"), c("cls"), c("ident"), step) & (c("seq") > lo) & (c("seq") < hi)
-        t = t.select("*", F.min(F.when(m, F.struct(c("seq").alias("s"), c("end").alias("e"),
-                                                    c("sd").alias("sd")))).over(page).alias(f"c{i}"))
-        lo, hi = c(f"c{i}.s"), c(f"c{i}.e")
-    last = f"c{len(profile.container) - 1}"
-    if profile.missing_marker:
-        mt, mcls = profile.missing_marker
-        marker = (c("tag") == mt) & (c("kind") == "open") & has_class(c("cls"), mcls)
-        exists = ~F.max(marker).over(page)
+    drop_cols = {"d", "lvl", "bnext", "paired", "bnd", "sdelta", "closes"}
+    t = t.select(*[x for x in t.columns if x not in drop_cols], end.alias("end"))
+
+    # -- 2. page facts in one page window: container steps (D2), missing
+    #    marker (C9), first wikidata link.
+    cands = F.collect_list(F.when(c("cstep") > 0, F.struct(c("seq").alias("s"), c("end").alias("e"),
+                                                           c("sd").alias("sd"), c("cstep").alias("k")))).over(page)
+    pf = [cands.alias("_cands")]
+    pf.append((~F.max("missing").over(page)).alias("exists") if profile.missing_marker else F.lit(True).alias("exists"))
+    if profile.qid_href_prefix:
+        pf.append(F.coalesce(F.substring_index(F.min("qidc").over(page)["h"], "/", -1), F.lit("")).alias("qid"))
     else:
-        exists = F.lit(True)
-    body = F.coalesce((c("seq") > c(f"{last}.s")) & (c("seq") < c(f"{last}.e")), F.lit(False))
-    t = t.select(*[x for x in t.columns if not (x.startswith("c") and x[1:].isdigit())],
-                 c(f"{last}.s").alias("c_s"), c(f"{last}.sd").alias("c_sd"),
-                 c(last).isNotNull().alias("has_container"), exists.alias("exists"), body.alias("body"))
-
-    # -- D3 dropped subtrees inside the container.
+        pf.append(F.lit("").alias("qid"))
+    t = t.select(*[x for x in t.columns if x not in ("missing", "qidc")], *pf)
+    def step_filter(i, prev):
+        if prev is None:
+            return lambda x: x["k"] == i
+        return lambda x: (x["k"] == i) & (x["s"] > prev["s"]) & (x["s"] < prev["e"])
+
+    found = None
+    for i in range(1, nsteps + 1):
+        found = F.array_min(F.filter(c("_cands"), step_filter(i, found)))
+    body = F.coalesce((c("seq") > found["s"]) & (c("seq") < found["e"]), F.lit(False))
+    t = t.select(*[x for x in t.columns if x not in ("_cands", "cstep")], found["sd"].alias("c_sd"),
+                 found.isNotNull().alias("has_container"), body.alias("body"))
+    t = t.filter(c("body") | (c("seq") == 0))
+
+    # -- 3. D3 dropped subtrees and heading candidates (one running window).
     if profile.drop_blocks:
-        cand = F.lit(False)
-        for tag_name, token in profile.drop_blocks:
-            cand = cand | _matches(c("tag"), c("cls"), c("ident"), (tag_name, "class", token))
-        cand = c("opens") & c("body") & cand
-        dropped = F.coalesce(F.max(F.when(cand, c("end"))).over(run) >= c("seq"), F.lit(False))
+        dropped = F.coalesce(F.max(F.when(c("dropc") & c("body"), c("end"))).over(run) >= c("seq"), F.lit(False))
     else:
         dropped = F.lit(False)
-    t = t.select("*", dropped.alias("dropped"))
+    hd = c("opens") & c("tag").startswith("h") & c("body")
+    sel = [dropped.alias("dropped")]
+    if profile.headings:
+        sel.append(_outermost(hd, run).alias("_h"))
+    t = t.select(*[x for x in t.columns if x != "dropc"], *sel)
 
-    # -- D4 section cut: first heading whose text is a boilerplate title.
+    # -- 4. D4 section cut: first kept heading whose text is boilerplate.
     if profile.headings:
-        hd = c("opens") & c("tag").startswith("h") & c("body") & ~c("dropped")
-        t = t.select("*", hd.alias("hd"), F.max(F.when(hd, F.struct(c("end").alias("e"), c("seq").alias("s")))).over(run).alias("_h"))
-        t = t.select("*", F.when(c("_h.e") >= c("seq"), c("_h.s")).alias("h_seq"))
+        t = t.select(*[x for x in t.columns if x != "_h"], F.when(c("_h.e") >= c("seq"), c("_h.s")).alias("h_seq"))
         heading = Window.partitionBy(key, "h_seq")
         piece = F.when(c("h_seq").isNotNull() & (c("kind") == "text") & ~c("dropped"),
                        F.struct(c("seq").alias("s"), c("txt").alias("x")))
         texts = F.array_join(F.transform(F.array_sort(F.collect_list(piece).over(heading)), lambda x: x["x"]), "")
-        t = t.select("*", F.when(c("hd"), F.lower(py_strip(texts))).alias("h_text"))
-        cut = F.coalesce(F.min(F.when(c("hd") & c("h_text").isin(*profile.headings), c("seq"))).over(page), F.lit(_BIG))
-        t = t.select(*[x for x in t.columns if x not in ("hd", "_h", "h_seq", "h_text")], cut.alias("cut"))
+        t = t.select(*[x for x in t.columns if x != "h_seq"],
+                     F.when(hd & ~c("dropped"), F.lower(py_strip(texts))).alias("h_text"))
+        cut = F.coalesce(F.min(F.when(c("h_text").isin(*profile.headings), c("seq"))).over(page), F.lit(_BIG))
+        t = t.select(*[x for x in t.columns if x != "h_text"], cut.alias("cut"))
     else:
         t = t.select("*", F.lit(_BIG).alias("cut"))
 
-    # -- D5 direct-child paragraphs (and their 1-based index).
+    # -- 5. D5 paragraphs, D6 footnotes, D7 math spans, D9 links: one
+    #    running window over the live body.
     live = c("body") & ~c("dropped") & (c("seq") < c("cut"))
-    dc_p = c("opens") & (c("tag") == "p") & live & (c("sd") == c("c_sd"))
-    t = t.select("*", dc_p.alias("dc_p"))
-    t = t.select("*", F.max(F.when(c("dc_p"), F.struct(c("seq").alias("s"), c("end").alias("e")))).over(run).alias("_p"),
-                 F.sum(F.when(c("dc_p"), 1).otherwise(0)).over(run).alias("_pi"))
-    in_p = ((c("seq") > c("_p.s")) & (c("seq") < c("_p.e")) & live) | c("dc_p")
+    t = t.select("*", (c("opens") & (c("tag") == "p") & live & (c("sd") == c("c_sd"))).alias("dc_p"),
+                 live.alias("live"))
+    rw = [F.max(F.when(c("dc_p"), F.struct(c("seq").alias("s"), c("end").alias("e")))).over(run).alias("_p"),
+          F.sum(F.when(c("dc_p"), 1).otherwise(0)).over(run).alias("_pi"),
+          F.max(F.when(c("opens") & (c("tag") == "sup") & c("live"), c("end"))).over(run).alias("_sup")]
+    if profile.math_class:
+        rw.append(_outermost(c("mathc") & c("live"), run).alias("_m"))
+    if profile.annotate_links:
+        rw.append(_outermost(c("internal") & c("live"), run).alias("_l"))
+    t = t.select(*t.columns, *rw)
+    in_p = ((c("seq") > c("_p.s")) & (c("seq") < c("_p.e")) & c("live")) | c("dc_p")
     t = t.select(*[x for x in t.columns if x not in ("_p", "_pi")],
                  F.when(in_p, c("_p.s")).alias("p_seq"), F.when(in_p, c("_pi")).alias("p_index"))
-    # -- D6 footnotes inside paragraphs.
-    sup = c("opens") & (c("tag") == "sup") & c("p_seq").isNotNull() & ~c("dc_p")
-    t = t.select("*", F.coalesce(F.max(F.when(sup, c("end"))).over(run) >= c("seq"), F.lit(False)).alias("in_sup"))
-    kept = c("p_seq").isNotNull() & ~c("dc_p") & ~c("in_sup")
+    kept = c("p_seq").isNotNull() & ~c("dc_p") & ~F.coalesce(c("_sup") >= c("seq"), F.lit(False))
+    m_seq = F.when(kept & (c("_m.e") >= c("seq")), c("_m.s")) if profile.math_class else F.lit(None).cast("int")
+    t = t.select(*[x for x in t.columns if x not in ("_sup", "_m", "mathc")], kept.alias("kept"), m_seq.alias("m_seq"))
+    if profile.annotate_links:
+        in_link = c("kept") & c("m_seq").isNull() & (c("_l.e") >= c("seq"))
+        lsel = [F.when(in_link, c("_l.s")).alias("l_seq"), F.when(in_link, c("_l.e")).alias("l_end")]
+    else:
+        lsel = [F.lit(None).cast("int").alias("l_seq"), F.lit(None).cast("int").alias("l_end")]
+    t = t.select(*[x for x in t.columns if x not in ("_l",)], *lsel,
+                 (c("internal") & c("kept")).alias("link"))
 
-    # -- D7 math spans (outermost) -> alt of first img, else text up to the
-    #    LaTeX marker (no marker: last character dropped).
+    # -- 6. D7 math replacement per span (alt of the first img, else text up
+    #    to the LaTeX marker; without marker the last character is dropped).
     if profile.math_class:
-        mc = c("opens") & (c("tag") == "span") & has_class(c("cls"), profile.math_class) & kept
-        t = t.select("*", F.max(F.when(mc, F.struct(c("end").alias("e"), c("seq").alias("s")))).over(run).alias("_m"))
-        t = t.select(*[x for x in t.columns if x != "_m"], F.when(kept & (c("_m.e") >= c("seq")), c("_m.s")).alias("m_seq"))
         span = Window.partitionBy(key, "m_seq")
         img = F.when(c("m_seq").isNotNull() & (c("tag") == "img") & (c("kind") == "open"),
                      F.struct(c("seq").alias("s"), c("alt").isNotNull().alias("has_alt"), c("alt").alias("alt")))
@@ -235,24 +285,10 @@ def annotate(tokens: DataFrame, profile: SiteProfile, key: str = "pk") -> DataFr
         t = t.select(*[x for x in t.columns if x not in ("_img", "_mt")], math_text.alias("math_text"),
                      math_error.alias("math_error"))
     else:
-        t = t.select("*", F.lit(None).cast("int").alias("m_seq"), F.lit(None).cast("string").alias("math_text"),
-                     F.lit(False).alias("math_error"))
-
-    # -- D8/D9 internal links.
-    internal = (c("opens") & (c("tag") == "a") & F.coalesce(c("href").startswith(profile.article_path), F.lit(False))
-                & c("title").isNotNull() & is_main_ns_title(c("title"), profile) & is_main_ns_url(c("href"), profile))
-    t = t.select("*", F.coalesce(internal & kept, F.lit(False)).alias("link"))
-    if profile.annotate_links:
-        lc = c("link") & c("m_seq").isNull()
-        t = t.select("*", F.max(F.when(lc, F.struct(c("end").alias("e"), c("seq").alias("s")))).over(run).alias("_l"))
-        in_link = kept & (c("_l.e") >= c("seq"))
-        t = t.select(*[x for x in t.columns if x != "_l"], F.when(in_link, c("_l.s")).alias("l_seq"),
-                     F.when(in_link, c("_l.e")).alias("l_end"))
-    else:
-        t = t.select("*", F.lit(None).cast("int").alias("l_seq"), F.lit(None).cast("int").alias("l_end"))
+        t = t.select("*", F.lit(None).cast("string").alias("math_text"), F.lit(False).alias("math_error"))
 
     piece = (F.when(c("dc_p"), F.lit("\n"))
-             .when(~kept, F.lit(None))
+             .when(~c("kept"), F.lit(None))
              .when(c("m_seq").isNotNull(), F.when(c("seq") == c("m_seq"), c("math_text")))
              .when(c("seq") == c("l_seq"),
                    F.concat(F.lit("[E="), F.replace(c("title"), F.lit(" "), F.lit("_")), F.lit("]")))
@@ -272,20 +308,14 @@ def page_results(annotated: DataFrame, profile: SiteProfile, key: str = "pk") ->
     no Exchange).  ``text`` = direct-child paragraph texts joined by newline,
     stripped."""
     c = F.col
-    aggs = [
+    return annotated.groupBy(key).agg(
         F.max("has_container").alias("has_container"),
         F.max("math_error").alias("math_error"),
         py_strip(_ordered_concat(F.when(c("piece").isNotNull(), F.struct(c("seq").alias("s"), c("piece").alias("x")))))
         .alias("text"),
-    ]
-    aggs.append(F.min("exists").alias("exists"))
-    if profile.qid_href_prefix:
-        q = F.when((c("tag") == "a") & (c("kind") == "open") & c("href").startswith(profile.qid_href_prefix),
-                   F.struct(c("seq").alias("s"), c("href").alias("h")))
-        aggs.append(F.coalesce(F.substring_index(F.min(q)["h"], "/", -1), F.lit("")).alias("qid"))
-    else:
-        aggs.append(F.lit("").alias("qid"))
-    return annotated.groupBy(key).agg(*aggs)
+        F.min("exists").alias("exists"),
+        F.min("qid").alias("qid"),
+    )
 
 
 def paragraph_texts(annotated: DataFrame, key: str = "pk") -> DataFrame:

@@ -26,6 +26,10 @@ def cleaned_rows(html_pages: DataFrame, profile: SiteProfile = MEDIAWIKI_FR,
     res = H.page_results(H.annotate(toks, profile), profile)
     meta = pages.select(F.col("input_seq").alias("pk"), F.col("page").alias("title"), "url")
     j = meta.join(res, "pk", "left")
+    # An empty document has no token: it exists and has no container.
+    j = j.withColumn("exists", F.coalesce(F.col("exists"), F.lit(True))) \
+         .withColumn("has_container", F.coalesce(F.col("has_container"), F.lit(False))) \
+         .withColumn("math_error", F.coalesce(F.col("math_error"), F.lit(False)))
     c = F.col
     err_class = (F.when(~c("exists"), F.lit(None))
                  .when(~c("has_container"), F.lit(ERR_NO_CONTAINER[0]))

@@ -352,9 +352,9 @@ def q_entity_types(spark, sf):
 # ----------------------------------------------------------------------------
 # D1-D12 HTML operators
 # ----------------------------------------------------------------------------
-def _pages_tokens(spark, sf):
+def _pages_tokens(spark, sf, keep_token=False):
     p = _tbl(spark, sf, "pages").select(F.col("page_id").alias("pk"), F.col("html"))
-    return H.tokenize(p)
+    return H.tokenize(p, keep_token=keep_token)
 
 
 @query("html_tokens", f"""
@@ -368,7 +368,7 @@ select page_id, seq, tok,
   case when starts_with(tok, '<') and length(tok) > 1 then lower(regexp_extract(tok, '^</?([a-zA-Z][a-zA-Z0-9:-]*)', 1)) else '' end as tag
 from t""")
 def q_html_tokens(spark, sf):
-    t = _pages_tokens(spark, sf)
+    t = _pages_tokens(spark, sf, keep_token=True)
     return t.select(F.col("pk").alias("page_id"), F.col("seq").cast("bigint").alias("seq"), "tok", "kind", "tag")
 
 
@@ -426,7 +426,7 @@ def q_cut_sections(spark, sf):
 def q_drop_footnotes(spark, sf):
     a = _wiki_annotated(spark, sf).filter(F.col("p_index").isNotNull() & F.col("exists"))
     return (a.groupBy(F.col("pk").alias("input_seq"), "p_index")
-            .agg(F.count(F.when(F.col("opens") & (F.col("tag") == "sup") & ~F.col("dc_p"), 1)).alias("n_sup")))
+            .agg(F.count(F.when(F.col("opens") & (F.col("tag") == "sup") & ~F.col("dc_p") & F.col("live"), 1)).alias("n_sup")))
 
 
 @query("math_to_text", f"with {CLEAN_O} select input_seq, i as p_index, math_text, m_err as math_error from mr where has_m",
@@ -569,7 +569,14 @@ def q_fetch_frontier(spark, sf):
 # J5 on cleaned pages, J6 final tables
 # ----------------------------------------------------------------------------
 def _cleaned(spark, sf):
-    return C.clean_pages(_fx(spark, sf, "wiki_pages"))[0]
+    """The cleaned-pages stage, materialised once in the checkpoint folder
+    (a reliable checkpoint: it survives executor loss and cuts the lineage
+    that later stages and the broadcast size checks would otherwise
+    recompute)."""
+    from elcorpus.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    from elcorpus.session import materialize
+    return materialize(C.clean_pages(_fx(spark, sf, "wiki_pages"))[0], "cleaned")
 
 
 ENT_O = f"""{CLEAN_O},
@@ -605,7 +612,8 @@ from cleaned_o c left join typed_o t on t.qid = c.qid and c.qid <> ''"""
 
 def entities_query(spark, sf):
     cleaned = _cleaned(spark, sf)
-    wd = E.entity_features(_fx(spark, sf, "wikidata_dump"), cleaned)
+    from elcorpus.session import materialize
+    wd = materialize(E.entity_features(_fx(spark, sf, "wikidata_dump"), cleaned), "wikidata")
     return D.entities(cleaned, wd)
 
 
@@ -725,3 +733,29 @@ def q_scan_wikidata_dump(spark, sf):
     path = _scratch(spark, "dump_bz2")
     _fx(spark, sf, "wikidata_dump").write.option("compression", "bzip2").text(path)
     return E.dump_lines(read_wikidata_dump(spark, path))
+
+
+@query("stream_incremental_clean", f"with {CLEAN_O} select title, url, qid, text from cleaned_o", ["wiki_pages"])
+def q_stream_incremental_clean(spark, sf):
+    """I1 end to end: the fixture pages arrive as two files (first fetch,
+    then re-fetches), two micro-batches; the output equals the batch J4."""
+    from elcorpus.sources import read_cleaned_pages
+    from elcorpus.streaming import start_incremental_clean
+    base = _scratch(spark, "stream")
+    wp = _fx(spark, sf, "wiki_pages")
+    wp.filter(F.col("input_seq") < 1000000000).coalesce(1).write.json(f"{base}/in/1")
+    wp.filter(F.col("input_seq") >= 1000000000).coalesce(1).write.json(f"{base}/in/2")
+    # move the part files into one input folder, first fetch first
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(base).getFileSystem(conf)
+    fs.mkdirs(Path(f"{base}/inbox"))
+    for k in ("1", "2"):
+        for st in fs.listStatus(Path(f"{base}/in/{k}")):
+            if st.getPath().getName().startswith("part-"):
+                fs.rename(st.getPath(), Path(f"{base}/inbox/batch-{k}.json"))
+    q = start_incremental_clean(spark, f"{base}/inbox", f"{base}/out", f"{base}/err",
+                                checkpoint=f"{base}/ckpt", max_files_per_trigger=1)
+    q.awaitTermination()
+    return read_cleaned_pages(spark, f"{base}/out")

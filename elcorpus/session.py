@@ -25,6 +25,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # a window group is one page: keep a whole page in the fast buffer
+        .config("spark.sql.windowExec.buffer.in.memory.threshold", "262144")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -56,3 +58,17 @@ def stage_path(spark: SparkSession, name: str) -> str:
     if not base:
         raise RuntimeError(f"{CHECKPOINT_CONF} is not set; cannot place stage table {name}")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a parquet stage table under the checkpoint
+    folder and return a DataFrame reading it back.
+
+    This cuts the lineage (later stages and size checks read the table,
+    they do not recompute the plan), survives executor loss (the table is
+    on shared storage), and costs one pass - unlike ``checkpoint()``, which
+    computes an unpersisted plan twice."""
+    spark = df.sparkSession
+    path = stage_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
