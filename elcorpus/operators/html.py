@@ -58,15 +58,18 @@ P_CLOSERS = ("address", "article", "aside", "blockquote", "center", "dd", "detai
 _BIG = 2 ** 31 - 1
 
 
-def _attr(tok: Column, name: str, decode: bool = True) -> Column:
+def _attr(tok: Column, name: str, decode: bool = True, bare: bool = False) -> Column:
     """Value of attribute ``name`` of a tag token (null if absent), with
-    character references decoded unless ``decode`` is false."""
-    raw = F.regexp_extract(tok, r"(?is)^<[a-z][^\s/>]*(?:\s+[^>]*?)?\s" + name +
-                           r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    character references decoded unless ``decode`` is false.  With ``bare``,
+    an attribute written without value (``<a title>``) gives ``''``; the
+    second pattern only runs when the first found nothing."""
+    raw = F.regexp_extract(tok, r"(?i)\s" + name + r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
     unq = F.when(raw.startswith('"') | raw.startswith("'"),
                  F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    present = tok.rlike(r"(?is)^<[a-z][^\s/>]*\s(?:[^>]*\s)?" + name + r"(?:\s*=|\s|/?>)")
-    return F.when(present, decode_entities(unq) if decode else unq)
+    out = F.when(raw != "", decode_entities(unq) if decode else unq)
+    if bare:
+        out = out.when(tok.rlike(r"(?i)\s" + name + r"(?:\s|/?>)"), F.lit(""))
+    return out
 
 
 def has_class(cls: Column, token: str) -> Column:
@@ -83,13 +86,23 @@ def _matches(tag: Column, cls: Column, ident: Column, step) -> Column:
     return cond
 
 
+def partition_pages(pages: DataFrame, key: str = "pk", num_partitions: int | None = None) -> DataFrame:
+    """Hash-partition page rows on their key: the one Exchange of the HTML
+    chain (every later window and per-page aggregation reuses it)."""
+    return pages.repartition(num_partitions, key) if num_partitions else pages.repartition(key)
+
+
 def tokenize(pages: DataFrame, key: str = "pk", html: str = "html",
-             num_partitions: int | None = None, keep_token: bool = False) -> DataFrame:
+             num_partitions: int | None = None, keep_token: bool = False,
+             partitioned: bool = False) -> DataFrame:
     """(key, seq, kind, tag, opens, closes, cls, ident, href, title, alt,
     txt) with seq = 0-based document order; ``tok`` (raw token) is kept only
-    when asked for, to keep the rows that flow through the windows narrow."""
+    when asked for, to keep the rows that flow through the windows narrow.
+    ``partitioned=True`` when ``pages`` already come from
+    ``partition_pages``."""
     src = pages.select(key, html)
-    src = src.repartition(num_partitions, key) if num_partitions else src.repartition(key)
+    if not partitioned:
+        src = partition_pages(src, key, num_partitions)
     t = src.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(TOKEN_PATTERN), 0))
                    .alias("seq", "tok"))
     tok = F.col("tok")
@@ -104,15 +117,17 @@ def tokenize(pages: DataFrame, key: str = "pk", html: str = "html",
     is_open_tag = F.col("kind") == "open"
     opens = is_open_tag & ~F.col("tag").isin(*VOID_TAGS) & ~tok.rlike(r"/\s*>$")
     cols = [key, "seq"] + (["tok"] if keep_token else []) + ["kind", "tag"]
+    # id is only read by container selectors (of any profile): div/article/main/section
+    id_tags = ("div", "article", "main", "section", "span", "table")
     return t.select(
         *cols,
         opens.alias("opens"),
         (F.col("kind") == "close").alias("closes"),
         F.when(is_open_tag, _attr(tok, "class", decode=False)).alias("cls"),
-        F.when(is_open_tag, _attr(tok, "id", decode=False)).alias("ident"),
+        F.when(is_open_tag & F.col("tag").isin(*id_tags), _attr(tok, "id", decode=False)).alias("ident"),
         F.when(is_open_tag & (F.col("tag") == "a"), _attr(tok, "href")).alias("href"),
-        F.when(is_open_tag & (F.col("tag") == "a"), _attr(tok, "title")).alias("title"),
-        F.when(is_open_tag & (F.col("tag") == "img"), _attr(tok, "alt")).alias("alt"),
+        F.when(is_open_tag & (F.col("tag") == "a"), _attr(tok, "title", bare=True)).alias("title"),
+        F.when(is_open_tag & (F.col("tag") == "img"), _attr(tok, "alt", bare=True)).alias("alt"),
         F.when(F.col("kind") == "text", decode_entities(tok)).alias("txt"),
     )
 

@@ -20,11 +20,13 @@ def cleaned_rows(html_pages: DataFrame, profile: SiteProfile = MEDIAWIKI_FR,
     pages = html_pages
     if already is not None:
         pages = pages.join(already.select(F.col("title").alias("page")).distinct(), "page", "left_anti")
-    pages = pages.select("input_seq", "page", "url", "text")
-    toks = H.tokenize(pages.select(F.col("input_seq").alias("pk"), F.col("text").alias("html")),
-                      num_partitions=num_partitions)
+    # One scan and one Exchange feed both the token chain and the page
+    # metadata; the final join on pk is then co-partitioned (no shuffle).
+    src = H.partition_pages(pages.select(F.col("input_seq").alias("pk"), F.col("page").alias("title"), "url",
+                                         F.col("text").alias("html")), "pk", num_partitions)
+    toks = H.tokenize(src, partitioned=True)
     res = H.page_results(H.annotate(toks, profile), profile)
-    meta = pages.select(F.col("input_seq").alias("pk"), F.col("page").alias("title"), "url")
+    meta = src.select("pk", "title", "url")
     j = meta.join(res, "pk", "left")
     # An empty document has no token: it exists and has no container.
     j = j.withColumn("exists", F.coalesce(F.col("exists"), F.lit(True))) \

@@ -630,36 +630,33 @@ def _scratch(spark, name):
     return stage_path(spark, name)
 
 
+def _place_parts(spark, src_dir: str, dst_dir: str, name: str) -> None:
+    """Move the part files Spark wrote into ``src_dir`` to ``dst_dir``
+    under a chosen file name (listing files have fixed names)."""
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(dst_dir).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(Path(dst_dir))
+    for i, st in enumerate(sorted(fs.listStatus(Path(src_dir)), key=lambda x: x.getPath().getName())):
+        if st.getPath().getName().startswith("part-"):
+            fs.rename(st.getPath(), Path(f"{dst_dir}/{name}_{i}.txt"))
+
+
 @query("scan_category_lines", "select value from category_lines", ["category_lines"])
 def q_scan_category_lines(spark, sf):
+    """A1 over listing files: lines split over one file per category kind
+    (names matching the globs) plus a decoy file that must be ignored."""
     from elcorpus.profile import CATEGORY_FILE_GLOBS
     from elcorpus.sources import read_category_lines
     base = _scratch(spark, "categories")
     lines = _fx(spark, sf, "category_lines")
-    # Two listing files per category kind (matching the globs) and one
-    # decoy that does not match them.
-    names = [g.replace("_2*", "_2021") for g in CATEGORY_FILE_GLOBS]
-    h = F.abs(F.hash("value")) % 2
-    lines.filter(h == 0).write.text(f"{base}/a")
-    lines.filter(h == 1).write.text(f"{base}/b")
-    import os
-    from pyspark.sql import SparkSession  # noqa: F401
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(conf)
-    os_dir = f"{base}/listing"
-    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(os_dir))
-    for sub, name in zip(("a", "b"), names):
-        for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/{sub}")):
-            pn = st.getPath().getName()
-            if pn.startswith("part-"):
-                fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{os_dir}/{name}_{sub}{pn[5:10]}.txt"))
-    spark.createDataFrame([("* decoy {{a-label|Decoy}}",)], "value string").write.text(f"{base}/d")
-    for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/d")):
-        if st.getPath().getName().startswith("part-"):
-            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{os_dir}/Autre_liste_2021.txt"))
-    del os
-    return read_category_lines(spark, os_dir)
+    half = F.abs(F.hash("value")) % 2
+    for k, glob in enumerate(CATEGORY_FILE_GLOBS):
+        lines.filter(half == k).write.text(f"{base}/w{k}")
+        _place_parts(spark, f"{base}/w{k}", f"{base}/listing", glob.replace("_2*", "_2021"))
+    spark.createDataFrame([("* decoy {{a-label|Decoy}}",)], "value string").write.text(f"{base}/wd")
+    _place_parts(spark, f"{base}/wd", f"{base}/listing", "Autre_liste_2021")
+    return read_category_lines(spark, f"{base}/listing")
 
 
 @query("sorted_title_file", f"with {GOOD_O} select title from good_o", ["category_lines"])
@@ -745,16 +742,9 @@ def q_stream_incremental_clean(spark, sf):
     wp = _fx(spark, sf, "wiki_pages")
     wp.filter(F.col("input_seq") < 1000000000).coalesce(1).write.json(f"{base}/in/1")
     wp.filter(F.col("input_seq") >= 1000000000).coalesce(1).write.json(f"{base}/in/2")
-    # move the part files into one input folder, first fetch first
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs = Path(base).getFileSystem(conf)
-    fs.mkdirs(Path(f"{base}/inbox"))
-    for k in ("1", "2"):
-        for st in fs.listStatus(Path(f"{base}/in/{k}")):
-            if st.getPath().getName().startswith("part-"):
-                fs.rename(st.getPath(), Path(f"{base}/inbox/batch-{k}.json"))
+    # one input folder, first fetch first (file names order the micro-batches)
+    _place_parts(spark, f"{base}/in/1", f"{base}/inbox", "batch-1")
+    _place_parts(spark, f"{base}/in/2", f"{base}/inbox", "batch-2")
     q = start_incremental_clean(spark, f"{base}/inbox", f"{base}/out", f"{base}/err",
                                 checkpoint=f"{base}/ckpt", max_files_per_trigger=1)
     q.awaitTermination()

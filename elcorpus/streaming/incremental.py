@@ -23,14 +23,29 @@ from elcorpus.session import ensure_checkpoint_dir, stage_path
 from elcorpus.sources.readers import HTML_PAGES_SCHEMA, read_existing_titles
 
 
+def _titles_index(spark: SparkSession, index_path: str):
+    """Titles cleaned so far (small parquet index next to the output, so a
+    batch never re-parses the cleaned texts)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(index_path)
+    if not hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath):
+        return None
+    return spark.read.parquet(index_path)
+
+
 def _batch_writer(out_path: str, err_path: str, profile: SiteProfile):
+    index_path = out_path.rstrip("/") + "_titles"
+
     def process(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        already = read_existing_titles(spark, out_path)
+        already = _titles_index(spark, index_path)
+        if already is None:
+            already = read_existing_titles(spark, out_path)
         rows = cleaned_rows(batch, profile, already).persist()
         try:
             ok = first_clean_per_title(rows).select("title", "url", "qid", "text")
             ok.write.mode("append").json(out_path)
+            first_clean_per_title(rows).select("title").write.mode("append").parquet(index_path)
             errs = clean_errors(rows).withColumn("epoch", F.lit(epoch_id))
             errs.write.mode("append").json(err_path)
         finally:
