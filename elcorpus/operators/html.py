@@ -249,15 +249,16 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
     #    the same level; <p> ends at the next paragraph boundary (lead over
     #    boundary tokens only).  Unclosed elements run to the page end.
     delta = F.when(c("paired") & c("opens"), 1).when(c("paired") & c("closes"), -1).otherwise(0)
-    t = t.select("*", F.sum(delta).over(same_tag).alias("d"), F.lead("seq").over(bnd_win).alias("bnext"),
-                 F.sum("sdelta").over(run).alias("sd"))
+    t = t.select("*", F.sum(delta).over(same_tag).alias("d"), F.lead("seq").over(bnd_win).alias("bnext"))
     t = t.select("*", F.when(c("paired"), F.when(c("opens"), c("d")).otherwise(c("d") + 1)).alias("lvl"))
     end0 = F.when(c("paired") & c("opens"), F.when(F.lead("closes").over(level), F.lead("seq").over(level)))
     end = (F.when(c("tag") == "p", F.coalesce(F.when(c("bnd"), c("bnext")), F.lit(_BIG)))
            .when(c("opens"), F.coalesce(end0, F.lit(_BIG)))
            .otherwise(c("seq")))
-    drop_cols = {"d", "lvl", "bnext", "paired", "bnd", "sdelta", "closes"}
+    drop_cols = {"d", "lvl", "bnext", "paired", "bnd", "closes"}
     t = t.select(*[x for x in t.columns if x not in drop_cols], end.alias("end"))
+    # structural depth (in page order; the page window below reuses the sort)
+    t = t.select(*[x for x in t.columns if x != "sdelta"], F.sum("sdelta").over(run).alias("sd"))
 
     # -- 2. page facts in one page window: container steps (D2), missing
     #    marker (C9), first wikidata link.
@@ -283,16 +284,34 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
                  found.isNotNull().alias("has_container"), body.alias("body"))
     t = t.filter(c("body") | (c("seq") == 0))
 
-    # -- 3. D3 dropped subtrees and heading candidates (one running window).
+    # -- 3. one running window over the body: D3 dropped subtrees, heading
+    #    candidates, D5 direct-child paragraphs, D6 footnotes, D7 math spans,
+    #    D9 links.  Candidates only need ``body``: whatever lies inside a
+    #    dropped subtree or after the cut is masked below (subtrees nest and
+    #    the frame only looks back, so later candidates never leak into
+    #    earlier tokens).  A <p> that is itself a drop candidate is never a
+    #    paragraph.
+    body = c("body")
+    dc_p = c("opens") & (c("tag") == "p") & body & (c("sd") == c("c_sd"))
     if profile.drop_blocks:
-        dropped = F.coalesce(F.max(F.when(c("dropc") & c("body"), c("end"))).over(run) >= c("seq"), F.lit(False))
+        dc_p = dc_p & ~c("dropc")
+    hd = c("opens") & c("tag").startswith("h") & body
+    t = t.select("*", dc_p.alias("dc_p0"))
+    rw = [F.max(F.when(c("dc_p0"), F.struct(c("seq").alias("s"), c("end").alias("e")))).over(run).alias("_p"),
+          F.sum(F.when(c("dc_p0"), 1).otherwise(0)).over(run).alias("_pi"),
+          F.max(F.when(c("opens") & (c("tag") == "sup") & body, c("end"))).over(run).alias("_sup")]
+    if profile.drop_blocks:
+        rw.append(F.coalesce(F.max(F.when(c("dropc") & body, c("end"))).over(run) >= c("seq"),
+                             F.lit(False)).alias("dropped"))
     else:
-        dropped = F.lit(False)
-    hd = c("opens") & c("tag").startswith("h") & c("body")
-    sel = [dropped.alias("dropped")]
+        rw.append(F.lit(False).alias("dropped"))
     if profile.headings:
-        sel.append(_outermost(hd, run).alias("_h"))
-    t = t.select(*[x for x in t.columns if x != "dropc"], *sel)
+        rw.append(_outermost(hd, run).alias("_h"))
+    if profile.math_class:
+        rw.append(_outermost(c("mathc") & body, run).alias("_m"))
+    if profile.annotate_links:
+        rw.append(_outermost(c("internal") & body, run).alias("_l"))
+    t = t.select(*[x for x in t.columns if x != "dropc"], *rw)
 
     # -- 4. D4 section cut: first kept heading whose text is boilerplate.
     if profile.headings:
@@ -308,19 +327,9 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
     else:
         t = t.select("*", F.lit(_BIG).alias("cut"))
 
-    # -- 5. D5 paragraphs, D6 footnotes, D7 math spans, D9 links: one
-    #    running window over the live body.
+    # -- 5. masks: live body, paragraph membership, kept tokens, math, links.
     live = c("body") & ~c("dropped") & (c("seq") < c("cut"))
-    t = t.select("*", (c("opens") & (c("tag") == "p") & live & (c("sd") == c("c_sd"))).alias("dc_p"),
-                 live.alias("live"))
-    rw = [F.max(F.when(c("dc_p"), F.struct(c("seq").alias("s"), c("end").alias("e")))).over(run).alias("_p"),
-          F.sum(F.when(c("dc_p"), 1).otherwise(0)).over(run).alias("_pi"),
-          F.max(F.when(c("opens") & (c("tag") == "sup") & c("live"), c("end"))).over(run).alias("_sup")]
-    if profile.math_class:
-        rw.append(_outermost(c("mathc") & c("live"), run).alias("_m"))
-    if profile.annotate_links:
-        rw.append(_outermost(c("internal") & c("live"), run).alias("_l"))
-    t = t.select(*t.columns, *rw)
+    t = t.select(*[x for x in t.columns if x != "dc_p0"], (c("dc_p0") & live).alias("dc_p"), live.alias("live"))
     in_p = ((c("seq") > c("_p.s")) & (c("seq") < c("_p.e")) & c("live")) | c("dc_p")
     t = t.select(*[x for x in t.columns if x not in ("_p", "_pi")],
                  F.when(in_p, c("_p.s")).alias("p_seq"), F.when(in_p, c("_pi")).alias("p_index"))

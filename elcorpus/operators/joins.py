@@ -18,9 +18,11 @@ def _row_bytes(df: DataFrame) -> Column:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES, check: bool = True) -> bool:
     """Bounded check that ``df`` is small: reads at most ``max_rows + 1``
     rows and compares their count and string bytes with the limits."""
+    if not check:
+        return False
     row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
     return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 

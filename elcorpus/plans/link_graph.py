@@ -7,17 +7,25 @@ from pyspark.sql import functions as F
 
 from elcorpus.functions.titles import cache_key, wikipedia_url
 from elcorpus.operators import html as H
+from elcorpus.operators.joins import fits_broadcast
 from elcorpus.profile import MEDIAWIKI_FR, SiteProfile
 
 
-def seed_pages(good: DataFrame, html_pages: DataFrame) -> DataFrame:
+def seed_pages(good: DataFrame, html_pages: DataFrame, **join_kw) -> DataFrame:
     """Each good title with its page HTML (the first fetched row of the
-    title).  Grouped min = partial aggregation, safe for repeated titles."""
-    first = (html_pages.groupBy("page")
-             .agg(F.min(F.struct("input_seq", "text")).alias("f"))
-             .select(F.col("page").alias("title"), F.col("f.input_seq").alias("input_seq"),
-                     F.col("f.text").alias("text")))
-    return first.join(good.select("title").distinct(), "title", "left_semi")
+    title).  Pages are narrowed to good titles first, the first fetch is a
+    primitive grouped min (partial aggregation, so a title fetched in a
+    third of all rows stays cheap), and the HTML is picked by the unique
+    ``input_seq`` - the HTML itself is never sorted or grouped.  One size
+    check on the good titles bounds both broadcasts (the first-fetch table
+    has at most one row per good title)."""
+    good_t = good.select(F.col("title").alias("page")).distinct()
+    small = fits_broadcast(good_t, **join_kw)
+    bc = F.broadcast if small else (lambda d: d)
+    cand = html_pages.select("input_seq", "page", "text").join(bc(good_t), "page", "left_semi")
+    first = cand.groupBy("page").agg(F.min("input_seq").alias("input_seq")).select("input_seq")
+    picked = cand.join(bc(first), "input_seq", "left_semi")
+    return picked.select(F.col("page").alias("title"), "input_seq", "text")
 
 
 def link_graph(good: DataFrame, html_pages: DataFrame, profile: SiteProfile = MEDIAWIKI_FR,
@@ -29,11 +37,11 @@ def link_graph(good: DataFrame, html_pages: DataFrame, profile: SiteProfile = ME
     good = good.select("title").distinct()
     seeds = good.select(F.col("title").alias("page"), F.lit("").alias("linked_from"),
                         wikipedia_url(F.col("title"), profile).alias("url"))
-    sp = seed_pages(good, html_pages)
-    toks = H.tokenize(sp.select(F.col("input_seq").alias("pk"), F.col("text").alias("html")),
-                      num_partitions=num_partitions)
-    links = H.link_tokens(H.annotate(toks, profile))
-    edges = links.join(sp.select(F.col("input_seq").alias("pk"), F.col("title").alias("linked_from")), "pk")
+    sp = H.partition_pages(seed_pages(good, html_pages).select(
+        F.col("input_seq").alias("pk"), F.col("title").alias("linked_from"), F.col("text").alias("html")),
+        "pk", num_partitions)
+    links = H.link_tokens(H.annotate(H.tokenize(sp, partitioned=True), profile))
+    edges = links.join(sp.select("pk", "linked_from"), "pk")
     edges = edges.select(F.replace(F.col("title"), F.lit(" "), F.lit("_")).alias("page"), "linked_from",
                          F.concat(F.lit(profile.host), F.col("href")).alias("url"))
     return seeds.unionByName(edges)
