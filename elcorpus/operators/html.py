@@ -133,8 +133,16 @@ def _matches(tag: Column, cls: Column, ident: Column, step) -> Column:
 
 def partition_pages(pages: DataFrame, key: str = "pk", num_partitions: int | None = None) -> DataFrame:
     """Hash-partition page rows on their key: the one Exchange of the HTML
-    chain (every later window and per-page aggregation reuses it)."""
-    return pages.repartition(num_partitions, key) if num_partitions else pages.repartition(key)
+    chain (every later window and per-page aggregation reuses it).
+
+    The partition count is explicit (default: the session's
+    ``spark.sql.shuffle.partitions``).  The work after this Exchange is CPU
+    bound (tokens x window passes), not byte bound, so AQE must not coalesce
+    it by shuffle bytes: raw HTML is small relative to the work it causes,
+    and byte-based coalescing would fold the whole chain into a few tasks."""
+    if not num_partitions:
+        num_partitions = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pages.repartition(num_partitions, key)
 
 
 def tokenize(pages: DataFrame, key: str = "pk", html: str = "html",
@@ -181,11 +189,28 @@ def _tokenize_chain(src, key: str, html: str, keep_token: bool):
     )
 
 
+_SHIFT = 1 << 32
+
+
+def _pack(hi: Column, lo: Column) -> Column:
+    """Two non-negative ints in one long (hi * 2^32 + lo): a running max of
+    the pair is then a primitive max (no struct compare or copy per row)."""
+    return hi.cast("long") * F.lit(_SHIFT) + lo.cast("long")
+
+
+def _hi(v: Column) -> Column:
+    return F.shiftright(v, 32).cast("int")
+
+
+def _lo(v: Column) -> Column:
+    return (v % F.lit(_SHIFT)).cast("int")
+
+
 def _outermost(cond: Column, window) -> Column:
-    """Running max of (end, seq) over candidate opens: the outermost
-    candidate that started at or before this token (enclosing it when
-    ``end >= seq``)."""
-    return F.max(F.when(cond, F.struct(F.col("end").alias("e"), F.col("seq").alias("s")))).over(window)
+    """Running max of (end, seq) over candidate opens, packed in a long: the
+    outermost candidate that started at or before this token (enclosing it
+    when ``end >= seq``).  Read back with ``_hi`` (end) and ``_lo`` (seq)."""
+    return F.max(F.when(cond, _pack(F.col("end"), F.col("seq")))).over(window)
 
 
 def annotate(tokens: DataFrame, profile: SiteProfile, key: str = "pk") -> DataFrame:
@@ -297,7 +322,7 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
         dc_p = dc_p & ~c("dropc")
     hd = c("opens") & c("tag").startswith("h") & body
     t = t.select("*", dc_p.alias("dc_p0"))
-    rw = [F.max(F.when(c("dc_p0"), F.struct(c("seq").alias("s"), c("end").alias("e")))).over(run).alias("_p"),
+    rw = [F.max(F.when(c("dc_p0"), _pack(c("seq"), c("end")))).over(run).alias("_p"),
           F.sum(F.when(c("dc_p0"), 1).otherwise(0)).over(run).alias("_pi"),
           F.max(F.when(c("opens") & (c("tag") == "sup") & body, c("end"))).over(run).alias("_sup")]
     if profile.drop_blocks:
@@ -315,7 +340,7 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
 
     # -- 4. D4 section cut: first kept heading whose text is boilerplate.
     if profile.headings:
-        t = t.select(*[x for x in t.columns if x != "_h"], F.when(c("_h.e") >= c("seq"), c("_h.s")).alias("h_seq"))
+        t = t.select(*[x for x in t.columns if x != "_h"], F.when(_hi(c("_h")) >= c("seq"), _lo(c("_h"))).alias("h_seq"))
         heading = Window.partitionBy(key, "h_seq")
         piece = F.when(c("h_seq").isNotNull() & (c("kind") == "text") & ~c("dropped"),
                        F.struct(c("seq").alias("s"), c("txt").alias("x")))
@@ -330,15 +355,15 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
     # -- 5. masks: live body, paragraph membership, kept tokens, math, links.
     live = c("body") & ~c("dropped") & (c("seq") < c("cut"))
     t = t.select(*[x for x in t.columns if x != "dc_p0"], (c("dc_p0") & live).alias("dc_p"), live.alias("live"))
-    in_p = ((c("seq") > c("_p.s")) & (c("seq") < c("_p.e")) & c("live")) | c("dc_p")
+    in_p = ((c("seq") > _hi(c("_p"))) & (c("seq") < _lo(c("_p"))) & c("live")) | c("dc_p")
     t = t.select(*[x for x in t.columns if x not in ("_p", "_pi")],
-                 F.when(in_p, c("_p.s")).alias("p_seq"), F.when(in_p, c("_pi")).alias("p_index"))
+                 F.when(in_p, _hi(c("_p"))).alias("p_seq"), F.when(in_p, c("_pi")).alias("p_index"))
     kept = c("p_seq").isNotNull() & ~c("dc_p") & ~F.coalesce(c("_sup") >= c("seq"), F.lit(False))
-    m_seq = F.when(kept & (c("_m.e") >= c("seq")), c("_m.s")) if profile.math_class else F.lit(None).cast("int")
+    m_seq = F.when(kept & (_hi(c("_m")) >= c("seq")), _lo(c("_m"))) if profile.math_class else F.lit(None).cast("int")
     t = t.select(*[x for x in t.columns if x not in ("_sup", "_m", "mathc")], kept.alias("kept"), m_seq.alias("m_seq"))
     if profile.annotate_links:
-        in_link = c("kept") & c("m_seq").isNull() & (c("_l.e") >= c("seq"))
-        lsel = [F.when(in_link, c("_l.s")).alias("l_seq"), F.when(in_link, c("_l.e")).alias("l_end")]
+        in_link = c("kept") & c("m_seq").isNull() & (_hi(c("_l")) >= c("seq"))
+        lsel = [F.when(in_link, _lo(c("_l"))).alias("l_seq"), F.when(in_link, _hi(c("_l"))).alias("l_end")]
     else:
         lsel = [F.lit(None).cast("int").alias("l_seq"), F.lit(None).cast("int").alias("l_end")]
     t = t.select(*[x for x in t.columns if x not in ("_l",)], *lsel,
