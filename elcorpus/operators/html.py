@@ -141,10 +141,39 @@ def partition_pages(pages: DataFrame, key: str = "pk", num_partitions: int | Non
     it by shuffle bytes: raw HTML is small relative to the work it causes,
     and byte-based coalescing would fold the whole chain into a few tasks."""
     if not num_partitions:
-        num_partitions = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        num_partitions = page_partitions(pages)
     return pages.repartition(num_partitions, key)
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+_SAMPLE_FILES = 2000
+
+
+def page_partitions(pages: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Partition count for the page shuffle: the session default, raised so
+    that each partition holds about ``target_bytes`` of input.  Input bytes
+    are the sizes of the scanned files (sampled beyond a few thousand files,
+    so the driver work stays bounded)."""
+    spark = pages.sparkSession
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        files = pages.inputFiles()
+    except Exception:  # noqa: BLE001 - not a file-based plan
+        return default
+    if not files:
+        return default
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    step = max(1, len(files) // _SAMPLE_FILES)
+    sample = files[::step]
+    total = 0
+    for f in sample:
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    estimate = total * (len(files) / len(sample))
+    return max(default, int(-(-estimate // target_bytes)))
+
+
 def tokenize(pages: DataFrame, key: str = "pk", html: str = "html",
              num_partitions: int | None = None, keep_token: bool = False,
              partitioned: bool = False) -> DataFrame:
