@@ -76,10 +76,11 @@ from documents
 )
 select value from items
 union all
-select concat('{"type":"item","id":"Q', cast(i.doc_id as varchar(20)), '","labels":{"fr":{"language":"fr","value":"Autre ',
+select concat('{"type":"', case when i.doc_id % 10 = 9 then 'property","id":"P' else 'item","id":"Q' end,
+ cast(i.doc_id as varchar(20)), '","labels":{"fr":{"language":"fr","value":"Autre ',
  cast(i.doc_id as varchar(20)), '"}},"descriptions":{},"aliases":{},"claims":{}},') as value
 from items i join labels l on l.doc_id = i.doc_id
-where l.quality = 0 and i.doc_id % 10 <> 9
+where l.quality = 0
 union all select '[' as value
 union all select ']' as value
 """
