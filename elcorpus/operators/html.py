@@ -135,8 +135,7 @@ def partition_pages(pages: DataFrame, key: str = "pk", num_partitions: int | Non
     """Hash-partition page rows on their key: the one Exchange of the HTML
     chain (every later window and per-page aggregation reuses it).
 
-    The partition count is explicit (default: the session's
-    ``spark.sql.shuffle.partitions``).  The work after this Exchange is CPU
+    The partition count is explicit (default: ``page_partitions``).  The work after this Exchange is CPU
     bound (tokens x window passes), not byte bound, so AQE must not coalesce
     it by shuffle bytes: raw HTML is small relative to the work it causes,
     and byte-based coalescing would fold the whole chain into a few tasks."""
@@ -150,12 +149,13 @@ _SAMPLE_FILES = 2000
 
 
 def page_partitions(pages: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
-    """Partition count for the page shuffle: the session default, raised so
-    that each partition holds about ``target_bytes`` of input.  Input bytes
-    are the sizes of the scanned files (sampled beyond a few thousand files,
-    so the driver work stays bounded)."""
+    """Partition count for the page shuffle: two tasks per core of the
+    cluster at least (the stage is CPU bound), raised so that each partition
+    holds about ``target_bytes`` of input.  Input bytes are the sizes of the
+    scanned files (sampled beyond a few thousand files, so the driver work
+    stays bounded)."""
     spark = pages.sparkSession
-    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    default = 2 * spark.sparkContext.defaultParallelism
     try:
         files = pages.inputFiles()
     except Exception:  # noqa: BLE001 - not a file-based plan

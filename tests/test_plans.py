@@ -67,6 +67,6 @@ def _compare_paths(spark, keys):
 
 def test_page_partitions_grow_with_input(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
-    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    default = 2 * spark.sparkContext.defaultParallelism
     assert H.page_partitions(pages) == default
     assert H.page_partitions(pages, target_bytes=1000) > default
