@@ -16,7 +16,8 @@ Fixture rules (all rows of ``documents`` take part):
   (later ``input_seq``, other URL), which gives duplicate titles.
 * ``wikidata_dump``: one dump line per document (trailing comma), a
   property line instead of an item for some ids, the ``[``/``]`` rows, and a
-  second line for items of documents with ``quality = 0``.
+  second line (same id, other content) for every document with
+  ``quality = 0``.
 * ``category_lines``: one listing line per document: bullets with one or
   two labels, bullets without a label, non-bullet lines.
 """
