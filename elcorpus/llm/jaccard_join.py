@@ -17,7 +17,9 @@ Candidates pass a size and a position bound and are verified on the whole
 texts.  Only components are returned, so a signature's members are first
 compared with its first ``HUBS`` members; only where members of a larger
 group are then still apart are the remaining pairs between different
-components compared, so near copies of one text are not paired off.
+components compared, so near copies of one text are not paired off.  Before
+whole texts are fetched, a pair's sketches (the quarter of each set with the
+smallest hashes) must allow the link; the bound is exact, never an estimate.
 
 Defined results: null, empty and wordless texts have an empty set and are
 linked with nothing; fewer than k words are one shingle; repeated rows are
@@ -46,8 +48,8 @@ TOKEN_CLASS_BITS = 20
 CHUNKS = 64
 #: Members of a signature with which all its members are compared first.
 HUBS = 8
-#: Salted groups of one hub's comparisons.
-SALTS = 16
+#: Comparisons of a hub in one salted group.
+GROUP_ROWS = 256
 
 
 def set_hash(s: np.ndarray) -> int:
@@ -57,27 +59,29 @@ def set_hash(s: np.ndarray) -> int:
 
 
 def _classes(docs: DataFrame, k: int) -> DataFrame:
-    """A row (doc_id, n, h) for each document and, from each task, rows
-    (chunk, counts) of its token-class counts."""
+    """A row (doc_id, n, h, sketch) for each document and, from each task,
+    rows (chunk, counts) of its token-class counts.  The sketch is the set's
+    quarter with the smallest hashes, cut to 16 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << TOKEN_CLASS_BITS, np.int64)
-        kind = None
+        kind, names = None, ["doc_id", "n", "h", "sketch", "chunk", "counts"]
         for batch in batches:
             kind = batch.schema.field("doc_id").type
-            n, h = [], []
+            n, h, sketch = [], [], []
             for _, _, words in T.texts_of(batch, T.SPACE_WORDS):
                 sets = list(T.shingles(words, k))
                 counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - TOKEN_CLASS_BITS)).astype(np.int64), minlength=len(counts))
                 n += [len(s) for s in sets]
                 h += [set_hash(s) for s in sets]
+                sketch += [(s[:len(s) // 4 + 1] >> np.uint64(48)).astype("<u2").tobytes() for s in sets]
             none = pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(h, pa.int64()), *none], ["doc_id", "n", "h", "chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(h, pa.int64()), pa.array(sketch, pa.binary()), *none], names)
         if kind is not None:
             parts = [x.astype("<i8").tobytes() for x in counts.reshape(CHUNKS, -1)]
-            yield pa.RecordBatch.from_arrays([pa.nulls(CHUNKS, kind), pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int64()), pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], ["doc_id", "n", "h", "chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(CHUNKS, kind), pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.binary()), pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, h long, chunk int, counts binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, h long, sketch binary, chunk int, counts binary")
 
 
 def _frequent(classes: DataFrame) -> np.ndarray:
@@ -202,37 +206,74 @@ def _possible_sql(percent: int):
     return F.expr(f"100L * least(x.n, y.n) >= {percent}L * greatest(x.n, y.n) and 100L * {most} >= {percent}L * (x.n + y.n - {most})")
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that are linked, by their whole sets.
+def _sketches_allow(x: np.ndarray, n: int, y: np.ndarray, m: int, percent: int) -> bool:
+    """Whether two sets can be linked: below the smaller of the sketches'
+    last hashes both sketches are complete, so the shared tokens there are
+    counted, and all others may be shared."""
+    top = min(x[-1], y[-1])
+    x, y = x[:np.searchsorted(x, top)], y[:np.searchsorted(y, top)]
+    both = min(int(np.isin(x, y).sum()), int(np.isin(y, x).sum())) if len(x) and len(y) else 0
+    most = both + min(n - len(x), m - len(y))
+    return 100 * most >= percent * (n + m - most)
+
 
-    The text of b comes to a's, in salted groups of a; within a group a's
-    text is first and the others stream by."""
-    named = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt"))
+def _compared(pairs: DataFrame, payload: DataFrame, on, columns: list[str], read, allow) -> DataFrame:
+    """The pairs (a, b) that ``allow`` accepts.  What b brings comes to a's,
+    in salted groups of a; in a group a's own row is first, the others
+    stream by.  ``read`` yields (row, payload or None) of a batch."""
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("salts"))
+    named = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
     wanted = named.select("a", F.col("b").alias("h"), "salt", F.lit(1).alias("kind")).unionByName(named.select("a", F.col("a").alias("h"), "salt", F.lit(0).alias("kind")).distinct())
-    by_class = reps.join(named.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "h").select("h", F.col("rep").alias("doc_id"))
-    texts = written(docs.select("doc_id", "text").alias("d").join(by_class.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))).select("h", "text"), "texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, hub = None, None
         for batch in batches:
             a, h, salt, kind = (batch.column(c).to_pylist() for c in ("a", "h", "salt", "kind"))
             out = []
-            for i, j, words in T.texts_of(batch, T.SPACE_WORDS):
-                for row, s in zip(range(i, j), T.shingles(words, k), strict=True):
-                    if set_hash(s) != h[row]:  # another row of a repeated id
-                        continue
-                    if kind[row] == 0:
-                        key, hub = (a[row], salt[row]), s
-                    elif key == (a[row], salt[row]):
-                        both = len(np.intersect1d(hub, s, assume_unique=True))
-                        if 100 * both >= percent * (len(hub) + len(s) - both):
-                            out.append((a[row], h[row]))
+            for row, own in read(batch, h):
+                if own is None:
+                    continue
+                if kind[row] == 0:
+                    key, hub = (a[row], salt[row]), own
+                elif key == (a[row], salt[row]) and allow(hub, own):
+                    out.append((a[row], h[row]))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
 
-    grouped = wanted.join(texts, "h").select("a", "salt", "kind", "h", "text").repartition("a", "salt").sortWithinPartitions("a", "salt", "kind")
+    grouped = on(wanted, payload).select("a", "salt", "kind", "h", *columns).repartition("a", "salt").sortWithinPartitions("a", "salt", "kind")
     return grouped.mapInArrow(run, "a long, b long").distinct()
 
 
+def _by_sketch(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches allow a link."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    sketches = classes.where("n > 0").join(wanted, "h").select("h", "n", "sketch").dropDuplicates(["h"])
+
+    def read(batch, h):
+        for row, (n, x) in enumerate(zip(batch.column("n").to_pylist(), batch.column("sketch"), strict=True)):
+            yield row, (np.frombuffer(x.as_buffer(), "<u2"), n)
+
+    return _compared(pairs, sketches, lambda w, p: w.join(p, "h"), ["n", "sketch"], read, lambda x, y: _sketches_allow(*x, *y, percent))
+
+
+def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that are linked, by their whole texts."""
+
+    def read(batch, h):
+        for i, j, words in T.texts_of(batch, T.SPACE_WORDS):
+            for row, s in zip(range(i, j), T.shingles(words, k), strict=True):
+                yield row, s if set_hash(s) == h[row] else None  # None: another row of a repeated id
+
+    def linked(x, y):
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= percent * (len(x) + len(y) - both)
+
+    def on(wanted, texts):
+        named = written(wanted.join(reps, "h").select("a", "salt", "kind", "h", "rep"), "wanted")
+        return texts.join(named, texts["doc_id"].eqNullSafe(named["rep"]))
+
+    return _compared(pairs, docs.select("doc_id", "text"), on, ["text"], read, linked)
+
+
 def near_duplicates(documents: DataFrame, k: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     if percent < PERCENT:
@@ -243,7 +284,7 @@ def near_duplicates(documents: DataFrame, k: int = WORDS, percent: int = PERCENT
     reps = written(rows.where("n > 0").groupBy("h").agg(F.min("doc_id").alias("rep")), "reps")
     found = written(_candidates(_postings(docs, _frequent(classes), k, percent), percent), "candidates")
     first = written(found.where("sig is null").select("a", "b").distinct(), "pairs")
-    links = written(_verified(first, reps, docs, k, percent), "links")
+    links = written(_verified(written(_by_sketch(first, classes, percent), "likely"), reps, docs, k, percent), "links")
     near = written(components(links), "near")
     # members of larger groups that are still apart
     members = found.where("sig is not null").select("sig", F.col("a").alias("h"), "n", "i", "rare")
@@ -254,7 +295,7 @@ def near_duplicates(documents: DataFrame, k: int = WORDS, percent: int = PERCENT
     rest = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.h") < F.col("y.h")) & (F.col("x.c") != F.col("y.c")) & _possible_sql(percent)).select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
     rest = written(rest.join(first, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        links = links.unionByName(_verified(rest, reps, docs, k, percent))
+        links = links.unionByName(_verified(written(_by_sketch(rest, classes, percent), "likely"), reps, docs, k, percent))
         near = written(components(links), "near")
     named = reps.join(near, F.col("h") == F.col("node"), "left").select("h", "rep", F.coalesce("component", "h").alias("c"))
     least = named.groupBy("c").agg(F.min("rep").alias("component_id"))
