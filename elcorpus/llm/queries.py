@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from elcorpus.llm import decontaminate, jaccard_join, packing
+from elcorpus.llm import decontaminate, jaccard_join, packing, suffix_dedup
 from elcorpus.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_jaccard_join, op8_packing, op9_decontamination)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_jaccard_join, op8_packing, op9_decontamination, op10_suffix_dedup)}
 
 ORACLES: dict[str, str] = {"op4_jaccard_join": jaccard_join.ORACLE, "op9_decontamination": decontaminate.ORACLE}
