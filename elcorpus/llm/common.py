@@ -67,3 +67,12 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def shuffle_parts(spark: SparkSession) -> int:
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def sampled(rows: DataFrame, by: str, per_value: int, seed: int, key: str = "doc_id") -> DataFrame:
+    """About ``per_value`` rows (at most twice as many overall) of each value
+    of ``by``, by a hash of the key: a bounded sample for a classifier."""
+    sizes = rows.groupBy(by).count().withColumnRenamed("count", "value_rows")
+    share = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
+    values = sizes.count()
+    return rows.join(F.broadcast(sizes), by).where(share < per_value / F.col("value_rows")).orderBy(F.xxhash64(F.lit(seed + 1), F.col(key)), key).limit(2 * per_value * max(1, values)).drop("value_rows")

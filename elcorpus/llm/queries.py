@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from elcorpus.llm import decontaminate, jaccard_join, lm_score, packing, suffix_dedup
+from elcorpus.llm import decontaminate, jaccard_join, language_id, lm_score, packing, quality, suffix_dedup
 from elcorpus.llm.common import table
 
 
@@ -16,6 +16,10 @@ def _tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,10 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.scores(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), _tokenizer())
 
@@ -36,6 +44,6 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_jaccard_join, op5_lm_score, op8_packing, op9_decontamination, op10_suffix_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_language, op4_jaccard_join, op5_lm_score, op6_quality, op8_packing, op9_decontamination, op10_suffix_dedup)}
 
 ORACLES: dict[str, str] = {"op4_jaccard_join": jaccard_join.ORACLE, "op9_decontamination": decontaminate.ORACLE}
