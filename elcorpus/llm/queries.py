@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from elcorpus.llm import decontaminate, jaccard_join, language_id, lm_score, packing, quality, suffix_dedup
+from elcorpus.llm import decontaminate, jaccard_join, language_id, lm_score, packing, quality, secrets, suffix_dedup, url_filter
 from elcorpus.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(table(spark, sf_dir, "documents"))
 
 
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), _tokenizer())
 
@@ -44,6 +52,6 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_language, op4_jaccard_join, op5_lm_score, op6_quality, op8_packing, op9_decontamination, op10_suffix_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_language, op3_urls, op4_jaccard_join, op5_lm_score, op6_quality, op7_secrets, op8_packing, op9_decontamination, op10_suffix_dedup)}
 
 ORACLES: dict[str, str] = {"op4_jaccard_join": jaccard_join.ORACLE, "op9_decontamination": decontaminate.ORACLE}
