@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from elcorpus.llm import decontaminate, jaccard_join, language_id, lm_score, packing, quality, secrets, suffix_dedup, url_filter
+from elcorpus.llm import decontaminate, fingerprints, jaccard_join, language_id, lm_score, packing, quality, secrets, suffix_dedup, url_filter
 from elcorpus.llm.common import table
 
 
@@ -16,6 +16,10 @@ def _tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,6 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_language, op3_urls, op4_jaccard_join, op5_lm_score, op6_quality, op7_secrets, op8_packing, op9_decontamination, op10_suffix_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fingerprints, op2_language, op3_urls, op4_jaccard_join, op5_lm_score, op6_quality, op7_secrets, op8_packing, op9_decontamination, op10_suffix_dedup)}
 
 ORACLES: dict[str, str] = {"op4_jaccard_join": jaccard_join.ORACLE, "op9_decontamination": decontaminate.ORACLE}
