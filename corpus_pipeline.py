@@ -7,16 +7,34 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from elcorpus.llm import decontaminate, jaccard_join, packing
+from elcorpus.llm import decontaminate, jaccard_join, language_id, packing, secrets
 from elcorpus.llm.common import scratch_dir, table
 from elcorpus.llm.queries import _tokenizer
 
 
+#: Documents whose language is less probable than this are rejected.
+LEAST_LANGUAGE_SCORE = 0.4
+
+
+def language_identification(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter (null and empty ones too) or without a
+    probable language go; ``lang`` stays as it was given."""
+    names = ["lang_pred", "score"]
+    while set(names) & set(docs.columns):
+        names = [n + "_" for n in names]
+    learn = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull())
+    judged = language_id.predictions(docs, language_id.train(learn), names=tuple(names))
+    return judged.where((F.col(names[0]) != "und") & (F.col(names[1]) >= LEAST_LANGUAGE_SCORE)).drop(*names)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one that names its component
     (of repeated rows of that id, one for each text)."""
-    kept = jaccard_join.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    found = jaccard_join.near_duplicates(docs)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("kept_rows"))
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"])).drop("kept_id")
+    once = rows.where("kept_rows = 1").drop("kept_rows")
+    return once.unionByName(rows.where("kept_rows > 1").drop("kept_rows").dropDuplicates(["doc_id", "text"]))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,14 +43,21 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret is replaced by a mark; no document goes."""
+    return secrets.redacted(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document that is left."""
     return packing.pack(docs, _tokenizer())
 
 
 STAGES = [
+    ("language_identification", language_identification),
     ("near_duplicates", near_duplicates),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scan", secret_scan),
     ("sequence_packing", sequence_packing),
 ]
 

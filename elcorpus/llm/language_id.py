@@ -20,9 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from elcorpus.llm import textops as T
-from elcorpus.llm.common import crc_mod, keyed, sampled
+from elcorpus.llm.common import crc_mod, keyed, sampled, ship
 
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 14
@@ -189,8 +190,10 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> LanguageModel:
     return LanguageModel(langs, idf, w, temperature(logits, np.array([y for _, _, y in held], np.int64)))
 
 
-def predictions(documents: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``documents`` with lang_pred and score."""
+def predictions(documents: DataFrame, model: LanguageModel, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``documents`` with the predicted language and its probability, in new
+    columns of these names."""
+    ship(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,10 +217,10 @@ def predictions(documents: DataFrame, model: LanguageModel, text_col: str = "tex
                         rows.append(r)
                         block.append(counts)
                 flush()
-            yield batch.append_column("lang_pred", pa.array(langs, pa.string())).append_column("score", pa.array(score))
+            yield batch.append_column(names[0], pa.array(langs, pa.string())).append_column(names[1], pa.array(score))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
-    return documents.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    schema = StructType([*documents.schema, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
+    return documents.mapInArrow(run, schema)
 
 
 def languages(documents: DataFrame, holdout: tuple[int, int] = HOLDOUT, per_lang: int = PER_LANG, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
