@@ -69,8 +69,9 @@ def _chosen(prefix: np.ndarray, offs: np.ndarray, anchor: int) -> np.ndarray:
 
 
 def entries(docs: DataFrame, length: int) -> DataFrame:
-    """Suffix entries of a batch.  Of equal texts a task gives the entries of
-    two; the others are marked as covered whole (``before`` = -1)."""
+    """Suffix entries of a batch.  Of equal texts and neighbourhoods a task
+    gives two; the others are marked as covered (``before`` = -1, ``pos`` the
+    end and ``after`` the length of what is covered)."""
     anchor, reach = length - WINDOW + 1, WINDOW - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,9 +100,17 @@ def entries(docs: DataFrame, length: int) -> DataFrame:
                 p, doc, before, after = p[some], doc[some], before[some], after[some]
                 a = T.span_hash(prefix, p, p + anchor)
                 b = T.mix(T.span_hash(prefix, p - before, p + anchor + after) + before.astype(np.uint64))
+                # of a neighbourhood that is here more than twice, two go on; the others are covered
+                order = np.lexsort((np.arange(len(b)), b, a))
+                third = np.zeros(len(b), bool)
+                third[order[2:]] = (a[order[2:]] == a[order[:-2]]) & (b[order[2:]] == b[order[:-2]])
                 w = np.array(whole, np.int64)
-                unique = T.mix(keys[i + w].astype(np.uint64) + np.uint64(0x632BE59BD9B4E019))
-                cols = [np.r_[a, unique].view(np.int64), np.r_[b, unique].view(np.int64), keys[np.r_[i + doc, i + w].astype(np.int64)], np.r_[p - at[doc], at[w + 1] - at[w]], np.r_[before, -np.ones(len(w))].astype(np.int32), np.r_[after, np.zeros(len(w))].astype(np.int32)]
+                end = np.r_[(p - at[doc] + anchor + after)[third], at[w + 1] - at[w]]
+                long = np.r_[(before + anchor + after)[third], at[w + 1] - at[w]]
+                row = keys[np.r_[i + doc[third], i + w].astype(np.int64)]
+                spread = T.mix(row.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019) + end.astype(np.uint64))
+                p, doc, before, after, a, b = (x[~third] for x in (p, doc, before, after, a, b))
+                cols = [np.r_[a, spread].view(np.int64), np.r_[b, spread].view(np.int64), np.r_[keys[i + doc], row], np.r_[p - at[doc], end], np.r_[before, -np.ones(len(end))].astype(np.int32), np.r_[after, long].astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["anchor", "around", "row_key", "pos", "before", "after"])
 
     return docs.select("row_key", "text").mapInArrow(run, ENTRY)
@@ -123,7 +132,7 @@ def merge_scan(arrays: DataFrame, length: int, keep: bool) -> DataFrame:
             full = dups | (rows[:, 4] < 0)
             r = rows[full]
             mark = r[:, 4] < 0
-            out.append((0, r, np.where(mark, 0, r[:, 3] - r[:, 4]), np.where(mark, r[:, 3], r[:, 3] + anchor + r[:, 5])))
+            out.append((0, r, np.where(mark, r[:, 3] - r[:, 5], r[:, 3] - r[:, 4]), np.where(mark, r[:, 3], r[:, 3] + anchor + r[:, 5])))
             fine = rows[firsts & groups]
             out.append((1, fine, fine[:, 3], fine[:, 3]))
             if keep:
