@@ -20,7 +20,10 @@ are never read; ``<|...|>`` strings in a text are ordinary text.
 
 from __future__ import annotations
 
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,14 +36,24 @@ from elcorpus.llm.common import keyed, shuffle_parts, written
 WINDOW = 2048
 END_ID = 1
 #: Distinct text chunks whose ids a worker remembers.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 500_000
 #: Lengths (the most frequent ones) from which combinations are enumerated.
 PLAN_LENGTHS = 160
 
 
+#: White space of the byte-level scheme's piece pattern (Unicode White_Space).
+_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_VISIBLE = re.compile(f"[^{_SPACE}]")
+
+
 class _Chunks(dict):
-    """Chunk -> ids as little-endian uint32 bytes; None: the chunk has to be
-    joined to the one before (it begins with white space or is empty)."""
+    """Chunk -> ids as little-endian uint32 bytes.
+
+    Pieces of the byte-level scheme never have white space after a visible
+    character, so a text may be encoded chunk by chunk, a chunk being a run
+    of white space and the visible run after it.  A line end before a
+    visible character and a mark after a letter are pieces of their own."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -48,39 +61,24 @@ class _Chunks(dict):
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
 
-    def __missing__(self, chunk: str):
-        # a blank before a visible character always begins a new piece
-        if chunk and not chunk[0].isspace():
-            ids = self.encode(" " + chunk)
+    def __missing__(self, chunk: str) -> bytes:
+        if len(chunk) > 1 and chunk[0] == "\n" and _VISIBLE.match(chunk[1]):
+            ids = self["\n"] + self[chunk[1:]]
+        elif len(chunk) > 1 and chunk[-1] in ".,!?;:" and chunk[-2].isalpha():
+            ids = self[chunk[:-1]] + self[chunk[-1]]
         else:
-            ids = None
+            ids = array("I", self.tok.encode(chunk, add_special_tokens=False).ids)
+            if sys.byteorder == "big":
+                ids.byteswap()
+            ids = ids.tobytes()
         if len(self) >= CACHE_CHUNKS:
             self.clear()
         if len(chunk) < 64:
             self[chunk] = ids
         return ids
 
-    def encode(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
     def ids(self, text: str) -> bytes:
-        """The ids of a text.  Pieces of the byte-level scheme never hold a
-        blank but as their first character, so a text may be encoded chunk
-        by chunk, cut before each blank that a visible character follows."""
-        first, *rest = text.split(" ")
-        got = list(map(self.__getitem__, rest))
-        if None not in got:
-            return self.encode(first) + b"".join(got)
-        out, at = [], first
-        for chunk, ids in zip(rest, got, strict=True):
-            if ids is None:
-                at += " " + chunk
-            else:
-                if at is not None:
-                    out.append(self.encode(at))
-                at = " " + chunk
-        out.append(self.encode(at))
-        return b"".join(out)
+        return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
 
 
 def token_table(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
