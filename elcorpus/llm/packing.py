@@ -35,8 +35,8 @@ from elcorpus.llm.common import keyed, shuffle_parts, written
 
 WINDOW = 2048
 END_ID = 1
-#: Distinct text chunks whose ids a worker remembers.
-CACHE_CHUNKS = 500_000
+#: Distinct text chunks whose ids a worker remembers, twice (two generations).
+CACHE_CHUNKS = 600_000
 #: Lengths (the most frequent ones) from which combinations are enumerated.
 PLAN_LENGTHS = 160
 
@@ -60,8 +60,12 @@ class _Chunks(dict):
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is not None:
+            return self._keep(chunk, ids)
         if len(chunk) > 1 and chunk[0] == "\n" and _VISIBLE.match(chunk[1]):
             ids = self["\n"] + self[chunk[1:]]
         elif len(chunk) > 1 and chunk[-1] in ".,!?;:" and chunk[-2].isalpha():
@@ -71,7 +75,11 @@ class _Chunks(dict):
             if sys.byteorder == "big":
                 ids.byteswap()
             ids = ids.tobytes()
-        if len(self) >= CACHE_CHUNKS:
+        return self._keep(chunk, ids)
+
+    def _keep(self, chunk: str, ids: bytes) -> bytes:
+        if len(self) >= CACHE_CHUNKS:  # two generations: what was used since the last turn stays
+            self.old = dict(self)
             self.clear()
         if len(chunk) < 64:
             self[chunk] = ids
