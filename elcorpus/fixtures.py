@@ -47,7 +47,7 @@ select doc_id as input_seq, concat('Doc_', cast(doc_id as varchar(20))) as page,
   ' <a href="/wiki/Mod%C3%A8le:X" title="X">tpl</a> <a href="/wiki/Doc_9#Vie" title="Doc 9">frag</a> <a href="/wiki/Aide_sociale" title="Aide sociale">aide</a>',
   ' <a href="/wiki/Doc_', cast((doc_id * 13 + 5) % 250 as varchar(20)), '" title="Doc ', cast((doc_id * 13 + 5) % 250 as varchar(20)), '">lien &amp; b</a>', chr(10), '</p>',
   '<h2>Histoire<span class="mw-editsection">[modifier]</span></h2><ul><li>liste</li></ul>',
-  case when doc_id % 2 = 0 then concat('<h2>Notes et ', 'r', chr(233), 'f', chr(233), 'rences<span class="mw-editsection">[modifier]</span></h2>') else '' end,
+  case when doc_id % 2 = 0 then '<h2>Notes et références<span class="mw-editsection">[modifier]</span></h2>' else '' end,
   '<p>fin', chr(10), '</p></div></div>',
   case when doc_id % 6 = 1 then '' else concat('<a href="https://www.wikidata.org/wiki/Special:EntityPage/Q', cast(doc_id as varchar(20)), '">wd</a>') end,
   '</body></html>') end as text
@@ -96,16 +96,6 @@ union all select '*{{a-label|Y}}' as value
 union all select '* sans modele' as value
 """
 
-TITLE_SAMPLES_SQL = r"""
-select * from (values (1, 'Paris'), (2, '  Tour Eiffel '), (3, 'Projet Manhattan'), (4, 'Projet:Math'), (5, 'Paris#Histoire'),
- (6, 'Discussion utilisateur:A'), (7, 'MODULE lunaire'), (8, 'A/B & C+D~*'), (9, 'L''Assommoir (roman)'), (10, 'Cours')) as t(id, title)
-"""
-
-URL_SAMPLES_SQL = r"""
-select * from (values (1, '/wiki/Paris'), (2, '/wiki/Mod%C3%A8le:X'), (3, '/wiki/'), (4, '/w/index.php?title=X'), (5, '/wiki/Paris#H'),
- (6, 'https://fr.wikipedia.org/wiki/Fichier:A.jpg'), (7, '/WIKI/Lyon'), (8, '/wiki/D%C3%A9finition_de_gadget:Z')) as t(id, url)
-"""
-
 # Titles and URLs for the scalar predicates: the hand samples plus one
 # derived value per document (namespace, fragment, accent, quote variants).
 TITLE_INPUTS_SQL = r"""
@@ -132,8 +122,6 @@ FIXTURES = {
     "wiki_pages": WIKI_PAGES_SQL,
     "wikidata_dump": WIKIDATA_DUMP_SQL,
     "category_lines": CATEGORY_LINES_SQL,
-    "title_samples": TITLE_SAMPLES_SQL,
-    "url_samples": URL_SAMPLES_SQL,
     "title_inputs": TITLE_INPUTS_SQL,
     "url_inputs": URL_INPUTS_SQL,
 }

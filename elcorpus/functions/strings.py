@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 STRIP_PATTERN = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 # A character reference: named, decimal or hexadecimal, with semicolon.
-ENTITY_PATTERN = r"&(?:[a-zA-Z][a-zA-Z0-9]*|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});"
+ENTITY_PATTERN = r"&(?:[a-zA-Z][a-zA-Z0-9]*|#[0-9]+|#[xX][0-9a-fA-F]+);"
 
 
 def py_strip(c: Column) -> Column:
@@ -59,8 +59,10 @@ def _decode_one(ref: Column, names: Column) -> Column:
     body = F.substring(ref, 2, F.length(ref) - 2)        # without & and ;
     is_hex = body.startswith("#x") | body.startswith("#X")
     is_dec = body.startswith("#") & ~is_hex
-    hex_val = F.conv(F.substring(body, 3, 16), 16, 10).cast("int")
-    dec_val = F.substring(body, 2, 16).cast("int")
+    digits = F.regexp_replace(body, "^#[xX]?0*", "")
+    short = F.when(F.length(digits) <= 8, digits)        # longer ones are no code points
+    hex_val = F.conv(F.when(is_hex, short), 16, 10).cast("long")
+    dec_val = F.when(is_dec, short).try_cast("long")
     valid = lambda n: (n > 0) & (n <= 0x10FFFF) & ((n < 0xD800) | (n > 0xDFFF))
     decoded = (
         F.when(is_hex & valid(hex_val), _code_point_to_string(hex_val))

@@ -1,49 +1,16 @@
-"""Join helpers: size-checked broadcast and hot-key splitting."""
+"""Join helpers: hot-key splitting."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    parts = [F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in df.columns]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out + p
-    return out
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                   max_bytes: int = DEFAULT_BROADCAST_BYTES, check: bool = True) -> bool:
-    """Bounded check that ``df`` is small: reads at most ``max_rows + 1``
-    rows and compares their count and string bytes with the limits."""
-    if not check:
-        return False
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
-    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
-
-
-def sized_join(left: DataFrame, right: DataFrame, on, how: str,
-               max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-               check: bool = True) -> DataFrame:
-    """Join that broadcasts ``right`` only after a bounded size check proves
-    it small; otherwise a shuffle join (AQE splits skewed partitions)."""
-    if check and fits_broadcast(right, max_rows, max_bytes):
-        right = F.broadcast(right)
-    return left.join(right, on, how)
-
-
-def left_join_hot_key(left: DataFrame, right: DataFrame, key: str, hot_values,
-                      **kw) -> DataFrame:
+def left_join_hot_key(left: DataFrame, right: DataFrame, key: str, hot_values) -> DataFrame:
     """Left equi-join where rows whose key is a known hot value (e.g. ``''``)
     bypass the join and get null right-side columns, so they never pile up
     in one shuffle partition."""
     hot = F.col(key).isin(*hot_values) | F.col(key).isNull()
-    joined = sized_join(left.filter(~hot), right, key, "left", **kw)
+    joined = left.filter(~hot).join(right, key, "left")
     extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
     bypass = left.filter(hot).select(*left.columns, *extra)
     return joined.unionByName(bypass)

@@ -17,15 +17,15 @@ def corpus(good: DataFrame, cleaned: DataFrame) -> DataFrame:
     return cleaned.join(good.select("title").distinct(), "title", "left_semi").select("title", "qid", "text")
 
 
-def entities(cleaned: DataFrame, wikidata: DataFrame, **join_kw) -> DataFrame:
+def entities(cleaned: DataFrame, wikidata: DataFrame) -> DataFrame:
     """Every cleaned page with its description and knowledge-base
     features; null features when the qid is '' or unknown.  Pages without
     qid bypass the join (hot key)."""
     frwiki = cleaned.select("qid", "title", "url", wikipedia_description(F.col("text")).alias("wikipedia_description"))
     wd = wikidata.select("qid", "wikidata_description", "label", "aliases", "type")
-    return left_join_hot_key(frwiki, wd, "qid", [""], **join_kw).select(*ENTITY_COLUMNS)
+    return left_join_hot_key(frwiki, wd, "qid", [""]).select(*ENTITY_COLUMNS)
 
 
-def build_dataset(good: DataFrame, cleaned: DataFrame, wikidata: DataFrame, **join_kw):
+def build_dataset(good: DataFrame, cleaned: DataFrame, wikidata: DataFrame):
     """J6 -> (corpus, entities)."""
-    return corpus(good, cleaned), entities(cleaned, wikidata, **join_kw)
+    return corpus(good, cleaned), entities(cleaned, wikidata)

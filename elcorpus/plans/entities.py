@@ -10,7 +10,6 @@ from elcorpus.functions.wikidata import (
     dump_item_qid, entity_aliases, entity_description, entity_label, entity_type, parse_item,
     p31_ids,
 )
-from elcorpus.operators.joins import sized_join
 from elcorpus.profile import ALIAS_SEPARATOR, MEDIAWIKI_FR, SiteProfile
 
 
@@ -32,10 +31,10 @@ def known_qids(cleaned: DataFrame) -> DataFrame:
     return cleaned.select("qid").filter(F.col("qid") != "").distinct()
 
 
-def wanted_items(items: DataFrame, qids: DataFrame, **join_kw) -> DataFrame:
+def wanted_items(items: DataFrame, qids: DataFrame) -> DataFrame:
     """E1 + Q7: items whose qid was seen, one row per qid (smallest line),
-    still unparsed.  The qid set is broadcast only after a size check."""
-    kept = sized_join(items, qids, "qid", "left_semi", **join_kw)
+    still unparsed.  The join carries no hint (adaptive execution decides)."""
+    kept = items.join(qids, "qid", "left_semi")
     return kept.groupBy("qid").agg(F.min("line").alias("line"))
 
 
@@ -52,8 +51,7 @@ def features(items: DataFrame, profile: SiteProfile = MEDIAWIKI_FR) -> DataFrame
     )
 
 
-def entity_features(raw_dump: DataFrame, cleaned: DataFrame, profile: SiteProfile = MEDIAWIKI_FR,
-                    **join_kw) -> DataFrame:
+def entity_features(raw_dump: DataFrame, cleaned: DataFrame, profile: SiteProfile = MEDIAWIKI_FR) -> DataFrame:
     """(qid, wikidata_description, label, aliases, type)."""
     items = dump_items(dump_lines(raw_dump))
-    return features(wanted_items(items, known_qids(cleaned), **join_kw), profile)
+    return features(wanted_items(items, known_qids(cleaned)), profile)

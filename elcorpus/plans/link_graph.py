@@ -7,24 +7,20 @@ from pyspark.sql import functions as F
 
 from elcorpus.functions.titles import cache_key, wikipedia_url
 from elcorpus.operators import html as H
-from elcorpus.operators.joins import fits_broadcast
 from elcorpus.profile import MEDIAWIKI_FR, SiteProfile
 
 
-def seed_pages(good: DataFrame, html_pages: DataFrame, **join_kw) -> DataFrame:
+def seed_pages(good: DataFrame, html_pages: DataFrame) -> DataFrame:
     """Each good title with its page HTML (the first fetched row of the
     title).  Pages are narrowed to good titles first, the first fetch is a
     primitive grouped min (partial aggregation, so a title fetched in a
     third of all rows stays cheap), and the HTML is picked by the unique
-    ``input_seq`` - the HTML itself is never sorted or grouped.  One size
-    check on the good titles bounds both broadcasts (the first-fetch table
-    has at most one row per good title)."""
+    ``input_seq`` - the HTML itself is never sorted or grouped.  The joins
+    carry no hint: adaptive execution picks the side to broadcast by size."""
     good_t = good.select(F.col("title").alias("page")).distinct()
-    small = fits_broadcast(good_t, **join_kw)
-    bc = F.broadcast if small else (lambda d: d)
-    cand = html_pages.select("input_seq", "page", "text").join(bc(good_t), "page", "left_semi")
+    cand = html_pages.select("input_seq", "page", "text").join(good_t, "page", "left_semi")
     first = cand.groupBy("page").agg(F.min("input_seq").alias("input_seq")).select("input_seq")
-    picked = cand.join(bc(first), "input_seq", "left_semi")
+    picked = cand.join(first, "input_seq", "left_semi")
     return picked.select(F.col("page").alias("title"), "input_seq", "text")
 
 
@@ -58,13 +54,13 @@ def frontier_distinct(page_links: DataFrame) -> DataFrame:
 
 
 def fetch_frontier(page_links: DataFrame, cached: DataFrame | None = None) -> DataFrame:
-    """Distinct (page, url) whose cache key is not cached yet."""
+    """Distinct (page, url) whose title is not fetched yet (E4).  Pages
+    are keyed by title: titles that share a cache key are all fetched."""
     todo = frontier_distinct(page_links)
     if cached is None:
         return todo
-    keys = cached.select(cache_key(F.col("page")).alias("key")).distinct()
-    return (todo.withColumn("key", cache_key(F.col("page")))
-            .join(keys, "key", "left_anti").drop("key"))
+    done = cached.select(F.replace(F.col("page"), F.lit(" "), F.lit("_")).alias("page")).distinct()
+    return todo.join(done, "page", "left_anti")
 
 
 def cache_key_collisions(titles: DataFrame, title: str = "title") -> DataFrame:

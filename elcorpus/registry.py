@@ -552,12 +552,11 @@ def q_frontier_distinct(spark, sf):
     return L.frontier_distinct(_links(spark, sf))
 
 
-_O_PKEY = _O_KEY.replace("title", "page")
 
 
 @query("fetch_frontier", f"""with {LINKS_O},
-cached as (select distinct {_O_PKEY} as key from wiki_pages where input_seq in (select doc_id from labels))
-select distinct page, url from links_o where {_O_PKEY} not in (select key from cached)""", ["category_lines", "wiki_pages"])
+cached as (select distinct replace(page, ' ', '_') as page from wiki_pages where page is not null and input_seq in (select doc_id from labels))
+select distinct page, url from links_o where page not in (select page from cached)""", ["category_lines", "wiki_pages"])
 def q_fetch_frontier(spark, sf):
     # The HTML cache holds the pages of the labelled documents so far.
     wp = _fx(spark, sf, "wiki_pages")

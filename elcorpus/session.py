@@ -2,8 +2,8 @@
 
 Library code never invents storage locations: stage outputs that cut
 lineage go to the folder named by ``spark.checkpoint.dir`` (a shared
-folder on a cluster).  Only ``local_session`` (tests, bench) sets one, and
-only when the session has none.
+folder on a cluster).  Where the session has none, a local one gets a
+scratch folder, and any other is refused.
 """
 
 from __future__ import annotations
@@ -41,10 +41,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; create a scratch one only
-    when the session names none (local runs)."""
+    """Return the session's checkpoint folder.  Only a local session that
+    names none gets a scratch folder; a cluster must name a shared one."""
     current = spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder")
         current = tempfile.mkdtemp(prefix="elcorpus-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     if spark.sparkContext.getCheckpointDir() is None:

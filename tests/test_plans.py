@@ -33,8 +33,8 @@ def test_scan_prunes_columns(spark):
 
 
 def test_shuffle_paths_equal_broadcast_paths(spark):
-    """The paths a cluster takes when the small sides are not small: no
-    hint (size check fails) and Spark's own broadcast thresholds off."""
+    """The paths a cluster takes when the small sides are not small:
+    Spark's broadcast thresholds off."""
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k, None) for k in keys}
     try:
@@ -57,16 +57,30 @@ def _compare_paths(spark, keys):
     ents_b = sorted(map(key, ent_b.collect()))
     for k in keys:
         spark.conf.set(k, "-1")
-    wd_s = E.entity_features(dump, cleaned, max_rows=0)        # size check fails -> shuffle join
+    wd_s = E.entity_features(dump, cleaned)
     assert rows_b == sorted(map(tuple, wd_s.collect()))
     assert "BroadcastHashJoin" not in _physical(wd_s)
-    ent_s = D.entities(cleaned, wd_s, max_rows=0)
+    ent_s = D.entities(cleaned, wd_s)
     assert "BroadcastHashJoin" not in _physical(ent_s)
     assert ents_b == sorted(map(key, ent_s.collect()))
 
 
-def test_page_partitions_grow_with_input(spark):
-    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
-    default = 2 * spark.sparkContext.defaultParallelism
-    assert H.page_partitions(pages) == default
-    assert H.page_partitions(pages, target_bytes=1000) > default
+def test_page_partitions_follow_the_session(spark):
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").withColumnRenamed("page_id", "pk")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert H.partition_pages(pages).rdd.getNumPartitions() == n
+    assert H.partition_pages(pages, num_partitions=3).rdd.getNumPartitions() == 3
+
+
+def test_frontier_is_keyed_by_title(spark):
+    from elcorpus.plans import link_graph as L
+    links = spark.createDataFrame([("Cote", "", "u1"), ("Côté", "", "u2"), ("Côte", "", "u3")], "page string, linked_from string, url string")
+    cached = spark.createDataFrame([("Côte",)], "page string")
+    assert sorted(r["page"] for r in L.fetch_frontier(links, cached).collect()) == ["Cote", "Côté"]
+
+
+def test_long_character_references(spark):
+    from elcorpus.functions.strings import decode_entities
+    from pyspark.sql import functions as F
+    x = spark.createDataFrame([("&#00000233;&#x0000000e9;&#99999999999;&#233;",)], "t string")
+    assert x.select(decode_entities(F.col("t")).alias("t")).first()["t"] == "éé&#99999999999;é"
