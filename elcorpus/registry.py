@@ -649,7 +649,7 @@ def q_scan_category_lines(spark, sf):
     from elcorpus.sources import read_category_lines
     base = _scratch(spark, "categories")
     lines = _fx(spark, sf, "category_lines")
-    half = F.abs(F.hash("value")) % 2
+    half = F.pmod(F.hash("value"), F.lit(2))
     for k, glob in enumerate(CATEGORY_FILE_GLOBS):
         lines.filter(half == k).write.text(f"{base}/w{k}")
         _place_parts(spark, f"{base}/w{k}", f"{base}/listing", glob.replace("_2*", "_2021"))

@@ -2,9 +2,9 @@
 
 from elcorpus.sources.readers import (
     CLEANED_SCHEMA, HTML_PAGES_SCHEMA, read_category_lines, read_cleaned_pages, read_csv_strings,
-    read_existing_titles, read_html_pages, read_title_list, read_wikidata_dump,
+    read_existing_titles, read_html_pages, read_title_list, read_wikidata_dump, with_input_seq,
 )
 
 __all__ = ["CLEANED_SCHEMA", "HTML_PAGES_SCHEMA", "read_category_lines", "read_cleaned_pages",
            "read_csv_strings", "read_existing_titles", "read_html_pages", "read_title_list",
-           "read_wikidata_dump"]
+           "read_wikidata_dump", "with_input_seq"]

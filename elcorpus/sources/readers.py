@@ -43,8 +43,14 @@ def read_html_pages(spark: SparkSession, path: str) -> DataFrame:
     """A4: fetched pages as JSON lines (page, url, text).  ``input_seq`` is
     taken from the records when present; otherwise it is an ingest id
     (stable for a given file layout), which orders duplicates of a title."""
-    df = spark.read.schema(HTML_PAGES_SCHEMA).json(path)
-    return df.withColumn("input_seq", F.coalesce(F.col("input_seq"), F.monotonically_increasing_id()))
+    return with_input_seq(spark.read.schema(HTML_PAGES_SCHEMA).json(path))
+
+
+def with_input_seq(pages: DataFrame) -> DataFrame:
+    """Fill a missing ``input_seq`` by the row's place.  The ids made here are
+    negative, so they never meet an id that a record carries."""
+    made = F.monotonically_increasing_id() - F.lit(1 << 62)
+    return pages.withColumn("input_seq", F.coalesce(F.col("input_seq"), made))
 
 
 def read_cleaned_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from elcorpus.plans.clean import clean_errors, cleaned_rows, first_clean_per_title
 from elcorpus.profile import MEDIAWIKI_FR, SiteProfile
 from elcorpus.session import ensure_checkpoint_dir, stage_path
-from elcorpus.sources.readers import HTML_PAGES_SCHEMA, read_existing_titles
+from elcorpus.sources.readers import HTML_PAGES_SCHEMA, read_existing_titles, with_input_seq
 
 
 def _titles_index(spark: SparkSession, index_path: str):
@@ -38,10 +38,12 @@ def _batch_writer(out_path: str, err_path: str, profile: SiteProfile):
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        already = _titles_index(spark, index_path)
-        if already is None:
-            already = read_existing_titles(spark, out_path)
-        rows = cleaned_rows(batch, profile, already).persist()
+        # the output counts too: it may be older than the index or ahead of it
+        known = [t for t in (_titles_index(spark, index_path), read_existing_titles(spark, out_path)) if t is not None]
+        already = known[0] if known else None
+        for titles in known[1:]:
+            already = already.unionByName(titles).distinct()
+        rows = cleaned_rows(with_input_seq(batch), profile, already).persist()
         try:
             ok = first_clean_per_title(rows).select("title", "url", "qid", "text")
             ok.write.mode("append").json(out_path)

@@ -17,3 +17,22 @@ def test_dedupe_titles_stream(spark):
     q.stop()
     got = sorted(r.title for r in spark.table("dedup_titles").collect())
     assert got == ["A", "B"]
+
+
+def test_stream_of_records_without_ids_over_earlier_output(spark):
+    """Records (page, url, text) as they are fetched; titles of an output
+    that is older than the index are not cleaned again."""
+    import json
+    import os
+
+    from elcorpus.streaming.incremental import start_incremental_clean
+    base = tempfile.mkdtemp(prefix="elcorpus-stream-")
+    html = '<html><body><div id="mw-content-text"><div class="mw-parser-output"><p>text of %s</p></div></div></body></html>'
+    spark.createDataFrame([("T0", "u", "", "earlier")], CLEANED_SCHEMA).coalesce(1).write.json(f"{base}/out")
+    os.mkdir(f"{base}/in")
+    for k, titles in enumerate((["T1", "T2"], ["T0", "T3", "T1"])):
+        with open(f"{base}/in/{k}.json", "w") as f:
+            f.writelines(json.dumps({"page": t, "url": "u", "text": html % t}) + "\n" for t in titles)
+        start_incremental_clean(spark, f"{base}/in", f"{base}/out", f"{base}/err", checkpoint=f"{base}/ckpt").awaitTermination()
+    got = sorted((r.title, r.text) for r in spark.read.schema(CLEANED_SCHEMA).json(f"{base}/out").collect())
+    assert got == [("T0", "earlier"), ("T1", "text of T1"), ("T2", "text of T2"), ("T3", "text of T3")]
