@@ -1,26 +1,26 @@
 """HTML pages as a token table, processed with windows per page.
 
 A page is never parsed into a tree.  It is cut into document-order tokens
-(``posexplode`` of ``regexp_extract_all``), and every structural question
-becomes a window over ``partitionBy(key).orderBy(seq)``:
-
-* element end  - ``lead(seq)`` over tokens of the same tag at the same
-  nesting level (running same-tag depth);
+(``posexplode`` of ``regexp_extract_all``).  Before they become rows, one
+pass over the page's token array makes the nesting explicit (``balanced``):
+end tags that HTML lets authors leave out are put in where the next tag or
+the end of the parent implies them, and end tags of nothing open go.  After
+that every element has its end, and every structural question becomes a
+window over ``partitionBy(key).orderBy(seq)``:
+
+* depth        - running count of opens less closes;
+* element end  - ``lead(seq)`` over markup of the same depth;
 * inside a subtree - running ``max(end)`` of candidate opens >= ``seq``;
-* enclosing element - running ``max(struct(end, seq))`` (outermost one);
-* paragraph end - next paragraph boundary (``</p>``, ``<p>``, block tag),
-  which also closes unclosed paragraphs;
-* direct child of the container - running count of open block containers
-  equals the container's own count.
+* enclosing element - running ``max`` of packed (end, seq) (outermost one);
+* direct child of the container - depth one below the container's.
 
 The input is hash-partitioned on the page key once, before tokenising; the
 Generate and every Window keep that partitioning, so the whole chain runs
 with that single Exchange (plus sorts).  A page is the unit of work: memory
 per task is bounded by the largest page, not by the data size.
 
-Limits (documented, tested): mis-nested inline tags, ``>`` inside attribute
-values, nested links (the outermost is annotated) and links without a
-closing tag (no ``[/E]``).
+Limits: mis-nested inline elements end with the outer one and are not
+reopened; a page nested thousands of levels deep costs time by its square.
 """
 
 from __future__ import annotations
@@ -36,23 +36,44 @@ from elcorpus.profile import SiteProfile
 
 # FIXED VALUES ---------------------------------------------------------------
 # One token: comment, script block, style block, tag, declaration, text run,
-# or a lone '<'.  Java and RE2 agree on it.
+# or a lone '<'.  A '>' inside a quoted attribute value does not end a tag.
 TOKEN_PATTERN = (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-                 r"|</?[a-z][^>]*>|<![^>]*>|[^<]+|<")
+                 r"""|</?[a-z][^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+>"""
+                 r"|<![^>]*>|[^<]+|<")
 # Elements that never have content.
 VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link",
              "meta", "param", "source", "track", "wbr")
-# Block containers: they must be closed explicitly and they can hold <p>;
-# they decide whether a <p> is a direct child of the content container.
-STRUCT_TAGS = ("article", "aside", "blockquote", "center", "dd", "details", "div", "dl", "dt",
-               "fieldset", "figcaption", "figure", "footer", "form", "header", "li", "main",
-               "nav", "ol", "section", "span", "table", "tbody", "td", "tfoot", "th", "thead",
-               "tr", "ul")
-# Tags whose start or end closes an open <p>.
+# Block containers: the end tag of an inline element or a paragraph does not
+# reach through them.
+BLOCK_TAGS = ("address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd",
+              "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form",
+              "header", "html", "li", "main", "nav", "object", "ol", "section", "table", "tbody", "td",
+              "tfoot", "th", "thead", "tr", "ul")
+# Tags whose start closes an open <p>.
 P_CLOSERS = ("address", "article", "aside", "blockquote", "center", "dd", "details", "div", "dl",
              "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4",
              "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "p", "pre", "section",
              "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul")
+# Start tag -> (elements that it ends, elements at which the search for them stops).
+IMPLIED_ENDS = (
+    (("li",), ("li",), ("ul", "ol", "menu", "dir", "table", "td", "th")),
+    (("dt", "dd"), ("dt", "dd"), ("dl", "table", "td", "th")),
+    (("td", "th"), ("td", "th"), ("tr", "tbody", "thead", "tfoot", "table")),
+    (("tr",), ("tr",), ("tbody", "thead", "tfoot", "table")),
+    (("tbody", "thead", "tfoot"), ("tbody", "thead", "tfoot"), ("table",)),
+    (("a",), ("a",), BLOCK_TAGS),
+    (P_CLOSERS, ("p",), ("table", "td", "th", "caption", "button", "object")),
+)
+# End tags -> elements that they do not reach through (others: BLOCK_TAGS).
+END_STOPS = (
+    (("html", "body", "table"), ()),
+    (("td", "th", "tr", "tbody", "thead", "tfoot", "caption"), ("table",)),
+    (("li",), ("ul", "ol", "table", "td", "th")),
+    (("dt", "dd"), ("dl", "table", "td", "th")),
+    (tuple(t for t in BLOCK_TAGS + ("pre", "h1", "h2", "h3", "h4", "h5", "h6")
+           if t not in ("html", "body", "table", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "li", "dt", "dd")),
+     ("table", "td", "th", "caption")),
+)
 # -----------------------------------------------------------------------------
 
 _BIG = 2 ** 31 - 1
@@ -103,20 +124,86 @@ def _replayed(name: str, build, df: DataFrame, *params) -> DataFrame:
     return df
 
 
+def _attr_pattern(name: str) -> str:
+    """The first attribute ``name`` of a tag, met by stepping over the
+    attributes before it (never inside their values); group 1: its value."""
+    value = r"""\s*+=\s*+(%s"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+    return (r"(?i)^<[a-z][^\s/>]*+(?:[\s/]++(?!" + name + r"[\s=/>])[^\s=/>]++(?:" + value % "?:" + r")?+)*+[\s/]++"
+            + name + r"(?=[\s=/>])(?:" + value % "" + ")?+")
+
+
 def _attr(tok: Column, name: str, decode: bool = True, bare: bool = False) -> Column:
     """Value of attribute ``name`` of a tag token (null if absent), with
     character references decoded unless ``decode`` is false.  With ``bare``,
     an attribute written without value (``<a title>``) gives ``''``; the
     second pattern only runs when the first found nothing."""
-    raw = F.regexp_extract(tok, r"(?i)\s" + name + r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
-    unq = F.when(raw.startswith('"') | raw.startswith("'"),
+    raw = F.regexp_extract(tok, _attr_pattern(name), 1)
+    unq = F.when(raw.rlike(r"""^(?s)(?:".*"|'.*')$"""),
                  F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
     out = F.when(raw != "", decode_entities(unq) if decode else unq)
     if bare:
-        out = out.when(tok.rlike(r"(?i)\s" + name + r"(?:\s|/?>)"), F.lit(""))
+        out = out.when(tok.rlike(_attr_pattern(name)), F.lit(""))
     return out
 
 
+def _sql_text(s: str) -> str:
+    return "r'" + s + "'"
+
+
+def _one_of(names) -> str:
+    return "</(?:" + "|".join(names) + ")>"
+
+
+#: Tokens whose nesting is followed in one go before the next block of them.
+_BLOCK = 512
+
+
+def _balanced_sql(toks: str) -> str:
+    """SQL for the token array with every element's end tag in its place.
+
+    The open elements are kept as the text of the end tags still to come,
+    innermost first (``</i></a></p>``).  What stands before an element's own
+    end tag is then what has to be put in when it ends.  ``fix`` holds that
+    text for each token (null: the token goes); it is gathered in blocks, so
+    that appending stays linear."""
+    mark = ("case when not startswith(x, '<') or length(x) = 1 then '' when startswith(x, '</') then "
+            "lower(regexp_extract(x, '^<(/[a-zA-Z][a-zA-Z0-9:-]*)', 1)) when x rlike "
+            + _sql_text("(?i)^<(?:" + "|".join(("script", "style") + VOID_TAGS) + ")(?![a-z0-9:-])")
+            + " or x rlike " + _sql_text(r"/\s*>$") + " then case when x rlike '(?i)^<hr(?![a-z0-9:-])' then '*hr' else '' end "
+            "else lower(regexp_extract(x, '^<([a-zA-Z][a-zA-Z0-9:-]*)', 1)) end")
+    names = lambda ts: "(" + ", ".join(f"'{t}'" for t in ts) + ")"
+    stops = "case " + " ".join(
+        f"when substring(m, 2) in {names(tags)} then " + (f"before rlike '{_one_of(stop)}'" if stop else "false")
+        for tags, stop in END_STOPS) + f" else before rlike '{_one_of(BLOCK_TAGS)}' end"
+    found = []
+    for tags, ended, stop in IMPLIED_ENDS:
+        stop = [t for t in stop if t not in ended]
+        pattern = "^(?:(?!" + _one_of(ended) + "|" + _one_of(stop) + ")</[^>]*+>)*+" + _one_of(ended)
+        tags = tuple(tags) + (("*hr",) if "hr" in tags else ())
+        found.append(f"case when m in {names(tags)} then nullif(regexp_extract(acc.stack, {_sql_text(pattern)}, 0), '') end")
+    found.insert(-1, "case when m in ('h1', 'h2', 'h3', 'h4', 'h5', 'h6') then nullif(regexp_extract(acc.stack, '^</h[1-6]>', 0), '') end")
+    ends = "coalesce(" + ", ".join(found) + ", '')"
+    one = lambda value, var, body: f"transform(array({value}), {var} -> {body})[0]"
+    state = lambda stack, fix: f"named_struct('stack', {stack}, 'fix', array_append(acc.fix, {fix}))"
+    close = one("instr(acc.stack, concat('<', m, '>'))", "at", one(
+        "substring(acc.stack, 1, at - 1)", "before",
+        f"case when at = 0 or {stops} then {state('acc.stack', 'cast(null as string)')} "
+        f"else {state('substring(acc.stack, at + length(m) + 2)', 'before')} end"))
+    start = one(ends, "cl", state("concat(case when startswith(m, '*') then '' else concat('</', m, '>') end, "
+                                  "substring(acc.stack, length(cl) + 1))", "cl"))
+    step = f"case when m = '' then {state('acc.stack', chr(39) * 2)} when startswith(m, '/') then {close} else {start} end"
+    none = "cast(array() as array<string>)"
+    block = (f"aggregate(slice(marks, b, {_BLOCK}), named_struct('stack', page.stack, 'fix', {none}), (acc, m) -> {step}, "
+             "acc -> named_struct('stack', acc.stack, 'fix', array_append(page.fix, acc.fix)))")
+    whole = (f"aggregate(sequence(1, greatest(size(marks), 1), {_BLOCK}), named_struct('stack', '', 'fix', cast(array() as array<array<string>>)), "
+             f"(page, b) -> {block}, page -> named_struct('fix', flatten(page.fix), 'rest', page.stack))")
+    put_in = "regexp_extract_all(f, '</[^>]*>', 0)"
+    merged = (f"concat(flatten(zip_with({toks}, done.fix, (x, f) -> case when f is null then {none} when f = '' then array(x) "
+              f"else concat({put_in}, array(x)) end)), {put_in.replace('(f,', '(done.rest,')})")
+    fixed = f"case when done.rest = '' and not exists(done.fix, f -> f is null or f <> '') then {toks} else {merged} end"
+    return one(f"transform({toks}, x -> {mark})", "marks", one(whole, "done", fixed))
+
+
 def has_class(cls: Column, token: str) -> Column:
     return F.coalesce(cls.rlike(r"(?:^|\s)" + re.escape(token) + r"(?:\s|$)"), F.lit(False))
 
@@ -149,8 +236,9 @@ def tokenize(pages: DataFrame, key: str = "pk", html: str = "html",
              num_partitions: int | None = None, keep_token: bool = False,
              partitioned: bool = False) -> DataFrame:
     """(key, seq, kind, tag, opens, closes, cls, ident, href, title, alt,
-    txt) with seq = 0-based document order; ``tok`` (raw token) is kept only
-    when asked for, to keep the rows that flow through the windows narrow.
+    txt) with seq = 0-based document order over the balanced tokens.  With
+    ``keep_token`` they are the page's own tokens as they stand, not
+    balanced, and ``tok`` (the raw token) is kept.
     ``partitioned=True`` when ``pages`` already come from
     ``partition_pages``."""
     src = pages.select(key, html)
@@ -160,8 +248,11 @@ def tokenize(pages: DataFrame, key: str = "pk", html: str = "html",
 
 
 def _tokenize_chain(src, key: str, html: str, keep_token: bool):
-    t = src.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(TOKEN_PATTERN), 0))
-                   .alias("seq", "tok"))
+    toks = F.regexp_extract_all(F.col(html), F.lit(TOKEN_PATTERN), 0)
+    if keep_token:
+        t = src.select(key, F.posexplode(toks).alias("seq", "tok"))
+    else:
+        t = src.select(key, toks.alias("toks")).select(key, F.posexplode(F.expr(_balanced_sql("toks"))).alias("seq", "tok"))
     tok = F.col("tok")
     is_markup = tok.startswith("<") & (F.length(tok) > 1)
     tag = F.when(is_markup, F.lower(F.regexp_extract(tok, r"^</?([a-zA-Z][a-zA-Z0-9:-]*)", 1))).otherwise("")
@@ -236,18 +327,12 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
     c = F.col
     run = Window.partitionBy(key).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     page = Window.partitionBy(key)
-    same_tag = Window.partitionBy(key, "tag").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    level = Window.partitionBy(key, "tag", "lvl").orderBy("seq")
-    bnd_win = Window.partitionBy(key, "bnd").orderBy("seq")
+    level = Window.partitionBy(key, "lvl").orderBy("seq")
     nsteps = len(profile.container)
 
     # -- 0. per-token flags (each class/tag test evaluated once).
     opens, kind, tag, cls = c("opens"), c("kind"), c("tag"), c("cls")
     flags = [
-        ((opens | c("closes")) & (tag != "p") & (tag != "")).alias("paired"),
-        ((opens | c("closes") | (kind == "open")) & tag.isin(*P_CLOSERS)).alias("bnd"),
-        (F.when(opens & tag.isin(*STRUCT_TAGS), 1).when(c("closes") & tag.isin(*STRUCT_TAGS), -1)
-         .otherwise(0)).alias("sdelta"),
         F.coalesce(F.array_position(F.array(*[opens & _matches(tag, cls, c("ident"), st) for st in profile.container]),
                                     True), F.lit(0)).alias("cstep"),
     ]
@@ -270,43 +355,32 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
     base = [key, "seq", "kind", "tag", "opens", "closes", "href", "title", "alt", "txt"]
     t = tokens.select(*base, *flags)
 
-    # -- 1. element ends: same-tag running depth -> next token of that tag at
-    #    the same level; <p> ends at the next paragraph boundary (lead over
-    #    boundary tokens only).  Unclosed elements run to the page end.
-    delta = F.when(c("paired") & c("opens"), 1).when(c("paired") & c("closes"), -1).otherwise(0)
-    t = t.select("*", F.sum(delta).over(same_tag).alias("d"), F.lead("seq").over(bnd_win).alias("bnext"))
-    t = t.select("*", F.when(c("paired"), F.when(c("opens"), c("d")).otherwise(c("d") + 1)).alias("lvl"))
-    end0 = F.when(c("paired") & c("opens"), F.when(F.lead("closes").over(level), F.lead("seq").over(level)))
-    end = (F.when(c("tag") == "p", F.coalesce(F.when(c("bnd"), c("bnext")), F.lit(_BIG)))
-           .when(c("opens"), F.coalesce(end0, F.lit(_BIG)))
-           .otherwise(c("seq")))
-    drop_cols = {"d", "lvl", "bnext", "paired", "bnd", "closes"}
-    t = t.select(*[x for x in t.columns if x not in drop_cols], end.alias("end"))
-    # structural depth (in page order; the page window below reuses the sort)
-    t = t.select(*[x for x in t.columns if x != "sdelta"], F.sum("sdelta").over(run).alias("sd"))
+    # -- 1. depth, and element ends: the next markup of the same depth is the
+    #    element's own end tag.
+    t = t.select("*", F.sum(F.when(opens, 1).when(c("closes"), -1).otherwise(0)).over(run).alias("sd"))
+    t = t.select("*", F.when(opens, c("sd")).when(c("closes"), c("sd") + 1).alias("lvl"))
+    end = F.when(opens, F.coalesce(F.lead("seq").over(level), F.lit(_BIG))).otherwise(c("seq"))
+    t = t.select(*[x for x in t.columns if x not in ("lvl", "closes")], end.alias("end"))
 
     # -- 2. page facts in one page window: container steps (D2), missing
     #    marker (C9), first wikidata link.
-    cands = F.collect_list(F.when(c("cstep") > 0, F.struct(c("seq").alias("s"), c("end").alias("e"),
-                                                           c("sd").alias("sd"), c("cstep").alias("k")))).over(page)
-    pf = [cands.alias("_cands")]
+    pf = []
     pf.append((~F.max("missing").over(page)).alias("exists") if profile.missing_marker else F.lit(True).alias("exists"))
     if profile.qid_href_prefix:
         pf.append(F.coalesce(F.substring_index(F.min("qidc").over(page)["h"], "/", -1), F.lit("")).alias("qid"))
     else:
         pf.append(F.lit("").alias("qid"))
     t = t.select(*[x for x in t.columns if x not in ("missing", "qidc")], *pf)
-    def step_filter(i, prev):
-        if prev is None:
-            return lambda x: x["k"] == i
-        return lambda x: (x["k"] == i) & (x["s"] > prev["s"]) & (x["s"] < prev["e"])
-
-    found = None
+    found = F.lit(None)
     for i in range(1, nsteps + 1):
-        found = F.array_min(F.filter(c("_cands"), step_filter(i, found)))
-    body = F.coalesce((c("seq") > found["s"]) & (c("seq") < found["e"]), F.lit(False))
-    t = t.select(*[x for x in t.columns if x not in ("_cands", "cstep")], found["sd"].alias("c_sd"),
-                 found.isNotNull().alias("has_container"), body.alias("body"))
+        cand = c("cstep") == i
+        if i > 1:
+            cand = cand & (c("seq") > c("_in")["s"]) & (c("seq") < c("_in")["e"])
+        found = F.min(F.when(cand, F.struct(c("seq").alias("s"), c("end").alias("e"), c("sd").alias("sd")))).over(page)
+        t = t.select(*[x for x in t.columns if x != "_in"], found.alias("_in"))
+    body = F.coalesce((c("seq") > c("_in")["s"]) & (c("seq") < c("_in")["e"]), F.lit(False))
+    t = t.select(*[x for x in t.columns if x not in ("_in", "cstep")], c("_in")["sd"].alias("c_sd"),
+                 c("_in").isNotNull().alias("has_container"), body.alias("body"))
     t = t.filter(c("body") | (c("seq") == 0))
 
     # -- 3. one running window over the body: D3 dropped subtrees, heading
@@ -317,7 +391,7 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
     #    earlier tokens).  A <p> that is itself a drop candidate is never a
     #    paragraph.
     body = c("body")
-    dc_p = c("opens") & (c("tag") == "p") & body & (c("sd") == c("c_sd"))
+    dc_p = c("opens") & (c("tag") == "p") & body & (c("sd") == c("c_sd") + 1)
     if profile.drop_blocks:
         dc_p = dc_p & ~c("dropc")
     hd = c("opens") & c("tag").startswith("h") & body
@@ -331,7 +405,8 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
     else:
         rw.append(F.lit(False).alias("dropped"))
     if profile.headings:
-        rw.append(_outermost(hd, run).alias("_h"))
+        rank = c("tag").rlike("^h[1-6]$")  # inside another h-tag (header, hgroup) it counts for itself
+        rw += [_outermost(hd & rank, run).alias("_h"), _outermost(hd & ~rank, run).alias("_ho")]
     if profile.math_class:
         rw.append(_outermost(c("mathc") & body, run).alias("_m"))
     if profile.annotate_links:
@@ -340,7 +415,8 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
 
     # -- 4. D4 section cut: first kept heading whose text is boilerplate.
     if profile.headings:
-        t = t.select(*[x for x in t.columns if x != "_h"], F.when(_hi(c("_h")) >= c("seq"), _lo(c("_h"))).alias("h_seq"))
+        t = t.select(*[x for x in t.columns if x not in ("_h", "_ho")],
+                     F.when(_hi(c("_h")) >= c("seq"), _lo(c("_h"))).when(_hi(c("_ho")) >= c("seq"), _lo(c("_ho"))).alias("h_seq"))
         heading = Window.partitionBy(key, "h_seq")
         piece = F.when(c("h_seq").isNotNull() & (c("kind") == "text") & ~c("dropped"),
                        F.struct(c("seq").alias("s"), c("txt").alias("x")))

@@ -88,7 +88,9 @@ def o_strip(x: str) -> str:
     return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
 
-TOK = H.TOKEN_PATTERN
+# The oracle's own tokeniser (a SQL literal: quotes doubled).
+TOK = (r"(?is)<!--.*?-->|<(?:script\b.*?</script|style\b.*?</style)\s*>|</?[a-z](?:\"[^\"]*\"|''[^'']*''|[^\"''>])*>"
+       r"|<![^>]*>|[^<]+|<").replace('\\"', '"')
 _HEADS = "|".join(FR_BOILERPLATE_HEADINGS)
 
 # Regex cleaner for the wiki_pages fixture (its markup is regular: one

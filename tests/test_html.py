@@ -82,3 +82,41 @@ def test_tokens_keep_script_whole(spark):
 def test_attribute_forms(spark, attr_html, title):
     r = clean(spark, wrap(f"<p>{attr_html}</p>"))[0]
     assert r.text == f"[E={title}]x[/E]"
+
+
+@pytest.mark.parametrize("body, text", [
+    ("<ul><li>a<li>b</ul><p>after list</p>", "after list"),
+    ("<p><span>one</p><p>two</p><p>three</p>", "one\ntwo\nthree"),
+    ("<p>a<sup>1</p><p>second</p>", "a\nsecond"),
+    ('<p><a href="/wiki/A" title="A">x</p><p><a href="/wiki/B" title="B">y</a></p>', "[E=A]x[/E]\n[E=B]y[/E]"),
+    ("<address><p>in address</p></address><p>ok</p>", "ok"),
+    ("<pre><p>in pre</p></pre><b><p>in b</p></b><p>ok</p>", "ok"),
+    ("<dl><dt>a<dd><p>b<dt>c</dl><table><tr><td><p>x<td>y<tr><td>z</table><p>ok", "ok"),
+    ("</div2></span><p>a</b>b</p>", "ab"),
+    ("<p>a</p><header>Top <h2>Notes et références</h2></header><p>gone</p>", "a"),
+    ('<p><a href="/wiki/R" data-x="the title=Wrong" title="Right">x</a></p>', "[E=Right]x[/E]"),
+    ('<p><a href="/wiki/R" class="some title here">x</a></p>', "x"),
+    ('<p><a href="/wiki/R" title="A > B">x</a> 1 > 0</p>', "[E=A_>_B]x[/E] 1 > 0"),
+    ("<p>x<hr>y<p>z<br/>w</p>", "x\nzw"),
+    ('<p><a href="/wiki/A" title="A">x<sup>1</sup></a><i>i<p>b', "[E=A]x[/E]i\nb"),
+])
+def test_tags_left_out_and_quoted_values(spark, body, text):
+    assert clean(spark, wrap(body))[0].text == text
+
+
+def test_every_element_gets_its_end(spark):
+    html = "<div><ul><li>a<li><b>b</ul></i><p>c<p>d</div>e"
+    df = spark.createDataFrame([(1, html)], "pk long, html string")
+    toks = df.select(F.regexp_extract_all("html", F.lit(H.TOKEN_PATTERN), 0).alias("toks"))
+    got = toks.select(F.expr(H._balanced_sql("toks")).alias("b")).first()["b"]
+    assert "".join(got) == "<div><ul><li>a</li><li><b>b</b></li></ul><p>c</p><p>d</p></div>e"
+
+
+def test_balancing_goes_across_blocks_of_tokens(spark):
+    n = H._BLOCK * 3 + 7
+    df = spark.createDataFrame([(1, "<ul>" + "<li>x" * n + "</ul>"), (2, "<p>well</p>" * n), (3, ""), (4, None)], "pk long, html string")
+    toks = df.select("pk", F.regexp_extract_all("html", F.lit(H.TOKEN_PATTERN), 0).alias("toks"))
+    got = {r["pk"]: r["b"] for r in toks.select("pk", F.expr(H._balanced_sql("toks")).alias("b")).collect()}
+    assert "".join(got[1]) == "<ul>" + "<li>x</li>" * n + "</ul>"
+    assert "".join(got[2]) == "<p>well</p>" * n
+    assert not got[3] and not got[4]
