@@ -29,3 +29,12 @@ def entities(cleaned: DataFrame, wikidata: DataFrame) -> DataFrame:
 def build_dataset(good: DataFrame, cleaned: DataFrame, wikidata: DataFrame):
     """J6 -> (corpus, entities)."""
     return corpus(good, cleaned), entities(cleaned, wikidata)
+
+
+def last_write_wins(rows: DataFrame, key: str = "title", order: str = "input_seq") -> DataFrame:
+    """Of the rows of a key the one written last, ``order`` being unique
+    within a key.  The last one is found by a primitive grouped max (partial
+    aggregation, so a hot key costs one row per map task); the rows' texts
+    are never sorted or grouped.  A null key counts as a key."""
+    last = rows.groupBy(F.col(key).alias("_key")).agg(F.max(order).alias("_last"))
+    return rows.join(last, rows[key].eqNullSafe(F.col("_key")) & (rows[order] == F.col("_last")), "left_semi")

@@ -346,6 +346,13 @@ def q_type_flags(spark, sf):
     return f.select("qid", *[(F.col(f"inst_{t}") | F.col(f"prop_{t}")).alias(f"is_{t}") for t in _TYPES])
 
 
+@query("last_write_wins", """
+select input_seq, page, url, text from wiki_pages
+qualify row_number() over (partition by page order by input_seq desc) = 1""", ["wiki_pages"])
+def q_last_write_wins(spark, sf):
+    return D.last_write_wins(_fx(spark, sf, "wiki_pages"), key="page").select("input_seq", "page", "url", "text")
+
+
 @query("entity_types", f"with {DUMP_O}, {o_features('uitems_o')} select qid, type from typed_o", ["wikidata_dump"])
 def q_entity_types(spark, sf):
     return E.features(_uitems(spark, sf)).select("qid", "type")
