@@ -50,6 +50,8 @@ CHUNKS = 64
 HUBS = 8
 #: Comparisons of a hub in one salted group.
 GROUP_ROWS = 256
+#: Rows of 64 bits in a broadcast filter of wanted keys, at most.
+FILTER_WORDS = 1 << 18
 
 
 def set_hash(s: np.ndarray) -> int:
@@ -243,10 +245,20 @@ def _compared(pairs: DataFrame, payload: DataFrame, on, columns: list[str], read
     return grouped.mapInArrow(run, "a long, b long").distinct()
 
 
+def _narrowed(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``key`` (null is a value) is not
+    in ``wanted``, before anything is exchanged: a bit for the hash of each
+    wanted key, in at most FILTER_WORDS broadcast rows whatever the data.
+    Where the bits fill up, rows pass that the join after it drops."""
+    at = f"pmod(xxhash64({key}), {64 * FILTER_WORDS}L)"
+    words = wanted.selectExpr(f"cast({at} div 64 as int) as word", f"shiftleft(1L, cast({at} % 64 as int)) as bits").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits"))
+    return rows.join(F.broadcast(words), F.expr(f"cast({at} div 64 as int) = word and getbit(bits, cast({at} % 64 as int)) = 1"), "left_semi")
+
+
 def _by_sketch(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sketches allow a link."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    sketches = classes.where("n > 0").join(wanted, "h").select("h", "n", "sketch").dropDuplicates(["h"])
+    sketches = _narrowed(classes.where("n > 0"), "h", wanted).join(wanted, "h").select("h", "n", "sketch").dropDuplicates(["h"])
 
     def read(batch, h):
         for row, (n, x) in enumerate(zip(batch.column("n").to_pylist(), batch.column("sketch"), strict=True)):
@@ -269,6 +281,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percen
 
     def on(wanted, texts):
         named = written(wanted.join(reps, "h").select("a", "salt", "kind", "h", "rep"), "wanted")
+        texts = _narrowed(texts, "doc_id", named.select(F.col("rep").alias("doc_id")))
         return texts.join(named, texts["doc_id"].eqNullSafe(named["rep"]))
 
     return _compared(pairs, docs.select("doc_id", "text"), on, ["text"], read, linked)
