@@ -18,8 +18,8 @@ texts.  Only components are returned, so a signature's members are first
 compared with its first ``HUBS`` members; only where members of a larger
 group are then still apart are the remaining pairs between different
 components compared, so near copies of one text are not paired off.  Before
-whole texts are fetched, a pair's sketches (the quarter of each set with the
-smallest hashes) must allow the link; the bound is exact, never an estimate.
+whole texts are fetched, a pair's sketches (parity bits of each set's hashes)
+must allow the link; the bound is exact, never an estimate.
 
 Defined results: null, empty and wordless texts have an empty set and are
 linked with nothing; fewer than k words are one shingle; repeated rows are
@@ -60,10 +60,16 @@ def set_hash(s: np.ndarray) -> int:
         return int(T.mix(np.array([T.mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64)).view(np.int64)[0])
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """The set's sketch: for each value of the hashes' last bits, whether an
+    odd number of them has it.  It has 1 to 2 bits a shingle, 64 at least."""
+    width = max(64, 1 << (len(s) - 1).bit_length()) if len(s) else 64
+    return np.packbits((np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8), bitorder="little")
+
+
 def _classes(docs: DataFrame, k: int) -> DataFrame:
     """A row (doc_id, n, h, sketch) for each document and, from each task,
-    rows (chunk, counts) of its token-class counts.  The sketch is the set's
-    quarter with the smallest hashes, cut to 16 bits."""
+    rows (chunk, counts) of its token-class counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << TOKEN_CLASS_BITS, np.int64)
@@ -76,7 +82,7 @@ def _classes(docs: DataFrame, k: int) -> DataFrame:
                 counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - TOKEN_CLASS_BITS)).astype(np.int64), minlength=len(counts))
                 n += [len(s) for s in sets]
                 h += [set_hash(s) for s in sets]
-                sketch += [(s[:len(s) // 4 + 1] >> np.uint64(48)).astype("<u2").tobytes() for s in sets]
+                sketch += [parities(s).tobytes() for s in sets]
             none = pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(h, pa.int64()), pa.array(sketch, pa.binary()), *none], names)
         if kind is not None:
@@ -209,13 +215,13 @@ def _possible_sql(percent: int):
 
 
 def _sketches_allow(x: np.ndarray, n: int, y: np.ndarray, m: int, percent: int) -> bool:
-    """Whether two sets can be linked: below the smaller of the sketches'
-    last hashes both sketches are complete, so the shared tokens there are
-    counted, and all others may be shared."""
-    top = min(x[-1], y[-1])
-    x, y = x[:np.searchsorted(x, top)], y[:np.searchsorted(y, top)]
-    both = min(int(np.isin(x, y).sum()), int(np.isin(y, x).sum())) if len(x) and len(y) else 0
-    most = both + min(n - len(x), m - len(y))
+    """Whether two sets can be linked: where their parities differ, a
+    shingle is in one of the sets alone.  The wider sketch is folded."""
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    most = (n + m - int(np.bitwise_count(x ^ y).sum())) // 2
     return 100 * most >= percent * (n + m - most)
 
 
@@ -262,7 +268,7 @@ def _by_sketch(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     def read(batch, h):
         for row, (n, x) in enumerate(zip(batch.column("n").to_pylist(), batch.column("sketch"), strict=True)):
-            yield row, (np.frombuffer(x.as_buffer(), "<u2"), n)
+            yield row, (np.frombuffer(x.as_buffer(), np.uint8), n)
 
     return _compared(pairs, sketches, lambda w, p: w.join(p, "h"), ["n", "sketch"], read, lambda x, y: _sketches_allow(*x, *y, percent))
 

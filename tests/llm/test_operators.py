@@ -143,7 +143,7 @@ def test_jaccard_join_near_copies(spark):
 
 
 def test_signatures_lose_no_link():
-    """Linked sets share a signature whatever is frequent."""
+    """Linked sets share a signature whatever is frequent, and their sketches allow the link."""
     rng = np.random.default_rng(8)
     for _ in range(3000):
         n = int(rng.integers(2, 40))
@@ -151,7 +151,11 @@ def test_signatures_lose_no_link():
         extra = rng.integers(0, 1 << 62, int(rng.integers(0, n // 3 + 1))).astype(np.uint64) * np.uint64(4)
         b = np.unique(np.concatenate([rng.choice(a, max(1, len(a) - int(rng.integers(0, n // 3 + 1))), replace=False), extra]))
         both = len(np.intersect1d(a, b))
-        if 100 * both < 75 * (len(a) + len(b) - both) or np.array_equal(a, b):
+        linked = 100 * both >= 75 * (len(a) + len(b) - both)
+        mixed = [jaccard_join.T.mix(s) for s in (a, b)]
+        x, y = map(jaccard_join.parities, mixed)
+        assert jaccard_join._sketches_allow(x, len(a), y, len(b), 75) or not linked
+        if not linked or np.array_equal(a, b):
             continue
         often = rng.random(1 << jaccard_join.TOKEN_CLASS_BITS) < rng.choice([0, 0.5, 0.9, 1])
         x, y = (jaccard_join.signatures(s, often, 75)[0] for s in (a, b))
