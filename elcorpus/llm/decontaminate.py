@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from elcorpus.llm import textops as T
-from elcorpus.llm.common import keyed, ship
+from elcorpus.llm.common import keyed, ship, written
 
 WINDOW = 10
 #: Windows in one broadcast block (about 100 bytes each).
@@ -165,36 +165,87 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS, text_col: str = "text") -> DataFrame:
     """``documents`` without the hit spans (from the first hit word's start to
-    the last one's end, until no window is left); a document of which
-    nothing but white space remains goes.  Clean texts stay as they are."""
-    out = documents
-    for block in blocks(benchmark, window, block_windows):
-        shared = documents.sparkSession.sparkContext.broadcast([tuple(r) for r in block.collect()])
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known = NgramSet(shared.value)
-            for batch in batches:
-                at = batch.schema.get_field_index(text_col)
-                texts, gone = None, []
-                data, offs = T.utf8(batch.column(at))
-                for i, j in T.slices(offs):
-                    own = data[offs[i]:offs[j]]
-                    w = T.Words(own, offs[i:j + 1] - offs[i], T.ALNUM_WORDS)
-                    first, _, _ = known.hits(own, w)
-                    for k in np.unique(np.searchsorted(w.by_doc, first, "right") - 1).tolist():
-                        texts = batch.column(at).to_pylist() if texts is None else texts
-                        texts[i + k] = _cleaned(known, texts[i + k])
-                        if not texts[i + k].strip():
-                            gone.append(i + k)
-                if texts is not None:
-                    batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-                    keep = np.ones(batch.num_rows, bool)
-                    keep[gone] = False
-                    batch = batch.filter(pa.array(keep))
-                yield batch
-
-        out = out.mapInArrow(run, out.schema)
-    return out
+    the last one's end, until no window of any block is left); a document of
+    which nothing but white space remains goes.  Clean texts stay as they are."""
+    parts = blocks(benchmark, window, block_windows)
+    if len(parts) > 1:
+        return _by_rounds(documents, parts, text_col)
+    shared = documents.sparkSession.sparkContext.broadcast([tuple(r) for r in parts[0].collect()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = NgramSet(shared.value)
+        for batch in batches:
+            at = batch.schema.get_field_index(text_col)
+            texts, gone = None, []
+            data, offs = T.utf8(batch.column(at))
+            for i, j in T.slices(offs):
+                own = data[offs[i]:offs[j]]
+                w = T.Words(own, offs[i:j + 1] - offs[i], T.ALNUM_WORDS)
+                first, _, _ = known.hits(own, w)
+                for k in np.unique(np.searchsorted(w.by_doc, first, "right") - 1).tolist():
+                    texts = batch.column(at).to_pylist() if texts is None else texts
+                    texts[i + k] = _cleaned(known, texts[i + k])
+                    if not texts[i + k].strip():
+                        gone.append(i + k)
+            if texts is not None:
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+                keep = np.ones(batch.num_rows, bool)
+                keep[gone] = False
+                batch = batch.filter(pa.array(keep))
+            yield batch
+
+    return documents.mapInArrow(run, documents.schema)
+
+
+def _by_rounds(documents: DataFrame, parts: list[DataFrame], text_col: str) -> DataFrame:
+    """The same with many blocks: a round finds the spans of all blocks in the
+    uncut texts and cuts them at once; the next reads the cut texts alone."""
+    key, names = "row_key", documents.columns
+    while {key, key + "_text"} & {n.lower() for n in names}:
+        key += "_"
+    docs = written(documents.withColumn(key, F.monotonically_increasing_id()), "decontaminate-rows")
+    now = docs.select(F.col(key).alias("row_key"), F.lit(None).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+    changed = None
+    while True:
+        found = None
+        for block in parts:
+            own = scan(now, block).where(F.length("spans") > 0).select("row_key", "spans")
+            found = own if found is None else found.unionByName(own)
+        hits = written(found.groupBy("row_key").agg(F.collect_list("spans").alias("many")), "decontaminate-hits")
+        if hits.isEmpty():
+            break
+        cut = now.join(hits, "row_key").select("row_key", "text", "many").mapInArrow(_cut_batches, "row_key long, text string")
+        now = written(cut.select("row_key", F.lit(None).cast("string").alias("doc_id"), "text"), "decontaminate-cut")
+        latest = now.select("row_key", F.col("text").alias("cut_text"))
+        # a text cut again replaces what the rounds before made of it
+        changed = latest if changed is None else written(changed.join(latest, "row_key", "left_anti").unionByName(latest), "decontaminate-changed")
+    if changed is None:
+        return docs.select(*names)
+    text = F.col(key + "_text")
+    out = docs.join(changed.toDF(key, key + "_text"), key, "left").where(text.isNull() | (text != ""))
+    return out.select(*[F.coalesce(text, F.col(n)).alias(n) if n == text_col else F.col(n) for n in names])
+
+
+def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row_key, text) without the spans of all blocks; white space alone
+    becomes the empty text."""
+    for batch in batches:
+        texts = []
+        for text, many in zip(batch.column("text").to_pylist(), batch.column("many").to_pylist(), strict=True):
+            runs = np.frombuffer(b"".join(many), "<i8").reshape(-1, 2)
+            runs = runs[np.argsort(runs[:, 0], kind="stable")]
+            data = np.frombuffer(text.encode(), np.uint8)
+            text = _cut(data, T.Words(data, np.array([0, len(data)]), T.ALNUM_WORDS), runs[:, 0], runs[:, 1])
+            texts.append(text if text.strip() else "")
+        yield pa.RecordBatch.from_arrays([batch.column("row_key"), pa.array(texts, pa.string())], ["row_key", "text"])
+
+
+def _cut(data: np.ndarray, w: T.Words, first: np.ndarray, last: np.ndarray) -> str:
+    kept, at = [], 0
+    for a, b in _merged(first, last).tolist():
+        kept.append(data[at:w.start[a]].tobytes())
+        at = int(w.end[b - 1])
+    return b"".join([*kept, data[at:].tobytes()]).decode()
 
 
 def _cleaned(known: NgramSet, text: str) -> str:
@@ -204,11 +255,7 @@ def _cleaned(known: NgramSet, text: str) -> str:
         first, last, _ = known.hits(data, w)
         if not len(first):
             return text
-        kept, at = [], 0
-        for a, b in _merged(first, last).tolist():
-            kept.append(data[at:w.start[a]].tobytes())
-            at = int(w.end[b - 1])
-        text = b"".join([*kept, data[at:].tobytes()]).decode()
+        text = _cut(data, w, first, last)
 
 
 #: DuckDB SQL for ``contamination`` with windows of 10 words.

@@ -271,6 +271,22 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.contamination(docs, bench.where("1 = 0")).where("contaminated").count() == 0
 
 
+def test_decontamination_blocks(spark):
+    """Many blocks cut what one block cuts: long passages, and windows that
+    appear where a span of another block was cut out."""
+    words = [f"p{i}" for i in range(30)]
+    inner = [f"q{i}" for i in range(12)]
+    items = [(1, " ".join(words)), (2, " ".join(inner)), (3, "short one")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "before " + " ".join(words) + " after"), (2, " ".join([*words[:9], *inner, *words[9:]])), (3, " ".join(["keep", *inner[:6], *words[:5], "short", *inner, "one", *words[5:], *inner[6:], "kept."])), (4, " ".join(words)), (4, " ".join(words)), (5, None), (6, ""), (7, " \n"), (8, "clean, text")]
+    frame = spark.createDataFrame([(i, t, "x", i) for i, t in rows], "doc_id long, text string, row_key string, row_key_ long").repartition(3)
+    one = decontaminate.decontaminate(frame, bench)
+    many = decontaminate.decontaminate(frame, bench, block_windows=8)
+    assert len(decontaminate.blocks(bench, block_windows=8)) > 2
+    assert many.schema == one.schema and Counter(map(tuple, many.collect())) == Counter(map(tuple, one.collect()))
+    assert dict((r["doc_id"], r["text"]) for r in many.collect())[1] == "before  after" and many.where("doc_id = 4").count() == 0
+
+
 @pytest.mark.parametrize(("members", "batches"), [(8192, 2), (2, 3)])
 def test_repeats(docs, empty, members, batches):
     rows = [(i, t.encode()) for i, t in pairs(docs)]
