@@ -6,8 +6,9 @@ attention network (trained in numpy on document labels alone) weights the
 passages, and the weighted representation is scored.
 
 The network is fitted on a bounded sample of labelled documents
-(``sample_docs``, of at most ``sample_passages`` passages each); every whole
-text is scored.
+(``sample_docs`` of each label), whatever their length; of a document of more
+than ``sample_passages`` passages it learns from so many, drawn at random
+(with a seed) over the whole text.  Every whole text is scored.
 
 Defined results: null, empty and wordless texts are one passage without
 features and get its score; null labels are never learnt from; repeated rows
@@ -17,6 +18,7 @@ empty result; other columns are never read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,6 +135,13 @@ class AttentionMil:
 def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_passages: int = SAMPLE_PASSAGES) -> AttentionMil | None:
     """Learn from rows (text, label 0 or 1); ``sample_docs`` of each label."""
 
+    def drawn(x: np.ndarray) -> np.ndarray:
+        """A document's passages, or a seeded choice among all of them."""
+        if len(x) <= sample_passages:
+            return x
+        seed = zlib.crc32(x[:64].tobytes() + x[-64:].tobytes(), len(x))
+        return x[np.sort(np.random.default_rng(seed).choice(len(x), sample_passages, replace=False))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             y, out = batch.column("label").to_pylist(), []
@@ -141,7 +150,7 @@ def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_passages:
                 own = data[offs[i]:offs[j]]
                 x, n = passages(own, T.Words(own, offs[i:j + 1] - offs[i], T.SPACE_WORDS))
                 at = np.cumsum(n) - n
-                out += [(y[i + k], x[at[k]:at[k] + n[k]].astype("<f2").tobytes()) for k in range(j - i) if n[k] <= sample_passages]
+                out += [(y[i + k], drawn(x[at[k]:at[k] + n[k]]).astype("<f2").tobytes()) for k in range(j - i)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.binary())], ["label", "x"])
 
     sample = sorted(tuple(r) for r in labelled.select("label", "text").mapInArrow(run, "label int, x binary").toLocalIterator())

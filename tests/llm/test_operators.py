@@ -192,6 +192,22 @@ def test_quality(spark, docs, empty):
     assert quality.quality(empty, labels).count() == 0 and quality.quality(docs, labels.where("1 = 0")).where("score = 0.5").count() == len(got)
 
 
+def test_quality_learns_from_long_texts(spark):
+    """Labelled documents of more than sample_passages passages are learnt
+    from, by passages of the whole text."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(24):
+        plain = [f"word{k}" for k in rng.integers(0, 50, 27000)]
+        if i % 2:  # the sign of the label comes after the first 400 passages
+            plain[25700:] = ["#!?$"] * 1300
+        rows.append((i, " ".join(plain), i % 2))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(2).cache()
+    got = {r["doc_id"]: r for r in quality.quality(frame, frame.select("doc_id", "quality"), holdout=(1000, 999)).collect()}
+    assert len({r["score"] for r in got.values()}) > 1
+    assert sum(got[i]["predicted"] == label for i, _, label in rows) >= 20
+
+
 def test_quality_held_out(spark):
     from tests.conftest import SF_SMALL
     sf = SF_SMALL.replace("0.001", "0.01")
