@@ -38,9 +38,15 @@ SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 1.0, "sec
 THRESHOLD = 1.0
 LITERAL_LEAST = 8
 
-_LEX = re.compile(r"""(?P<name>[A-Za-z_][A-Za-z0-9_.-]*)|(?P<text>"[^"\n]{0,4096}"|'[^'\n]{0,4096}')|(?P<op>:=|=>|[:=+,;(){}\[\]])|(?P<line>\n)|(?P<bare>[0-9][A-Za-z0-9+/_.=-]*)""")
+_NAME = r"[A-Za-z_][A-Za-z0-9_.-]*"
+_OTHERS = r"""(?P<text>"[^"\n]{0,4096}"|'[^'\n]{0,4096}')|(?P<op>:=|=>|[:=+,;(){}\[\]])|(?P<line>\n)"""
+_LEX = re.compile(rf"(?P<name>{_NAME})|{_OTHERS}|(?P<bare>[0-9][A-Za-z0-9+/_.=-]*)")
+#: Where a value is due: literals of any length without white space (others
+#: are no keys), and unquoted runs whole.
+_VALUE = re.compile(rf"""(?P<long>"[^"\s]*+"|'[^'\s]*+')|(?P<run>[A-Za-z0-9+/_.-][A-Za-z0-9+/_.=-]*+)|{_OTHERS}""")
+_LAST_NAME = re.compile(rf"{_NAME}$")
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
-_PAIR = re.compile(r"[:=]>?\s*(?:[\"'A-Za-z0-9_])")
+_PAIR = re.compile(r"[:=]>?\s*(?:[\"'A-Za-z0-9_+/.-])")
 
 
 def sensitivity(name: str) -> float:
@@ -72,8 +78,9 @@ def literals(text: str) -> Iterator[tuple[str, int, int, str]]:
             for a, b, lit in spans:
                 yield name, a, b, lit if not joined else "".join(x for _, _, x in spans)
 
-    for m in _LEX.finditer(text):
-        kind, tok = m.lastgroup, m.group()
+    at = 0
+    while m := (_VALUE if name is not None and value is None else _LEX).search(text, at):
+        kind, tok, at = m.lastgroup, m.group(), m.end()
         if kind == "op" and tok in (":=", "=>", ":", "="):
             if last is not None:
                 yield from done()
@@ -84,21 +91,56 @@ def literals(text: str) -> Iterator[tuple[str, int, int, str]]:
         elif kind in ("line", "op"):
             yield from done()
             name, spans, joined, last, value = None, [], False, None, None
-        elif kind in ("text", "bare", "name"):
+        elif kind == "run":
+            if not any(c.isalnum() or c == "_" for c in tok):
+                joined = joined or (tok == "+" and bool(spans))
+                continue
+            pieces = tok.split("+")
+            if len(pieces) > 1 and any(p in known for p in pieces):  # constants joined
+                place = m.start()
+                for p in pieces:
+                    if p in known:
+                        spans.extend(known[p][:8])
+                    elif any(c.isdigit() for c in p):
+                        spans.append((place, place + len(p), p))
+                    place += len(p) + 1
+                joined, value, last = True, tok if pieces[-1] else None, _tail(pieces[-1])
+                continue
+            value = tok
+            if tok in known:  # a constant by its name
+                spans.extend(known[tok][:8])
+            elif any(c.isdigit() for c in tok):
+                spans.append((m.start(), m.end(), tok))
+            last = _tail(tok)
+            if "=" in tok:  # assignments inside the run
+                most, place = 0.0, m.start()
+                parts = tok.split("=")
+                for k, part in enumerate(parts[:-1]):
+                    place += len(part) + 1
+                    inner = _tail(part)
+                    if inner is None:
+                        continue
+                    yield from done()
+                    # the rest of the run for each more sensitive name, else the next part
+                    how = sensitivity(inner)
+                    end = m.end() if how > most else place + len(parts[k + 1])
+                    most, own = max(most, how), text[place:end]
+                    name, joined, value, last = inner, False, own or None, _tail(parts[-1])
+                    spans = list(known[own][:8]) if own in known else [(place, end, own)] if any(c.isdigit() for c in own) else []
+        elif kind in ("text", "long", "bare", "name"):
             if name is not None and value is None:
                 value = tok
-                if kind == "text":
-                    spans.append((m.start() + 1, m.end() - 1, tok[1:-1]))
-                elif kind == "bare":
-                    spans.append((m.start(), m.end(), tok))
-                elif tok in known:  # a constant by its name
-                    spans.extend(known[tok][:8])
-                elif any(c.isdigit() for c in tok):
-                    spans.append((m.start(), m.end(), tok))
-            last = tok.strip("\"'") if kind in ("name", "text") and len(tok) <= 130 else None
+                spans.append((m.start() + 1, m.end() - 1, tok[1:-1]))
+            last = tok.strip("\"'") if kind != "bare" and len(tok) <= 130 else None
     yield from done()
 
 
+def _tail(run: str) -> str | None:
+    """The name at a run's end."""
+    found = _LAST_NAME.search(run[-131:])
+    return found.group() if found and len(found.group()) <= 130 else None
+
+
 def spans_of(text: str) -> list[tuple[int, int, int]]:
     """(start, kind's place, end) of all spans, in order."""
     out = {(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= ASSIGN_LEAST}

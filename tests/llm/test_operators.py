@@ -232,6 +232,27 @@ def test_secrets(docs, empty):
     assert clean.columns == docs.columns and clean.where("text like '%deadbeef%'").count() == 0 and clean.count() == docs.count()
 
 
+def test_secrets_whole_literals():
+    """A literal is read to its end, whatever characters it has."""
+    def found(text):
+        return {text[a:b] for a, k, b in secrets.spans_of(text) if k == 3}
+
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    for text in (f"AWS_SECRET_ACCESS_KEY={key}", f"aws_secret_access_key: {key}\n", f"x = 1\nauth_key = {key}; y = 2", f"my_auth_key => {key},", f"url: host/a1?auth_key={key}&b=c", f"b=auth_key={key}", f"run = auth_key={key}"):
+        assert found(text) == {key}
+    assert found("auth_key = abcDEF+12/x==") == {"abcDEF+12/x=="} and found("auth_key = +a/Zq7Lk29Bx") == {"+a/Zq7Lk29Bx"}
+    long = "aB3/+x9Q" * 1200
+    assert found(f'auth_key = "{long}"') == found(f"auth_key = '{long}'") == found(f"auth_key = {long}") == {long}
+    assert found('a = "A1b2C3d4E5"\nb = "f6G7h8"\nauth_key=a+b') == {"A1b2C3d4E5", "f6G7h8"}
+    assert found('auth_key=other="A1b2C3d4E5f6G7h8"') == set() and found('other=auth_key="A1b2C3d4E5f6G7h8"') == {"A1b2C3d4E5f6G7h8"}
+    assert found('auth_key = - "A1b2C3d4E5f6G7h8"') == {"A1b2C3d4E5f6G7h8"}
+    import time
+    for text in ('a="' * 200_000, "a=" * 300_000, "a='\"" * 150_000, "k=" + "-" * 500_000, "a:" + "b+" * 300_000, 'x="' + "y" * 500_000, "=" * 500_000):
+        start = time.perf_counter()
+        secrets.spans_of(text)
+        assert time.perf_counter() - start < 20
+
+
 def test_packing(docs, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
