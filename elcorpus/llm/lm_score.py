@@ -9,8 +9,8 @@ so the log-probabilities are normalised over all words and one unseen word.
 Every training task makes a pass of stochastic steps over its own documents,
 from common parameters, with noise words shared by a minibatch; the
 parameters are then averaged by the number of tokens, ``rounds`` times.  They
-have a fixed size, and so have the counts of the ``head_words`` most frequent
-words, which are broadcast.  The counts of the other words reach a document
+have a fixed size, and so have the counts of the end and of the ``head_words``
+most frequent words, which are broadcast.  The counts of the other words reach a document
 by a join.
 
 Defined results: null, empty and wordless texts consist of the end alone;
@@ -258,7 +258,9 @@ def scores(documents: DataFrame, holdout: tuple[int, int] = HOLDOUT, model_words
     learn = docs.where(~F.col("held_out"))
     counts = written(_counted(learn), "counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    head = [(r["h"], r["c"]) for r in counts.orderBy(F.desc("c"), "h").limit(head_words).collect()]
+    is_end = F.col("h") == int(np.array([END_HASH], np.uint64).view(np.int64)[0])
+    head = [(r["h"], r["c"]) for r in counts.where(~is_end).orderBy(F.desc("c"), "h").limit(head_words).collect()]
+    head += [(r["h"], r["c"]) for r in counts.where(is_end).collect()]  # whatever words are more frequent
     vocabulary = Vocabulary(head, n, v, model_words)
     model = train(learn, vocabulary, rounds)
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, model))

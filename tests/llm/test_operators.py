@@ -178,6 +178,16 @@ def test_lm_scores(docs, empty):
     assert lm_score.scores(empty).count() == 0
 
 
+def test_lm_end_is_known(spark):
+    """The end's count is used though many words are more frequent."""
+    rows = [(i, " ".join(f"w{(i + k) % 9}" for k in range(3000))) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = {r["doc_id"]: r for r in lm_score.scores(docs, holdout=(1000, 999)).collect()}
+    cut = lm_score.scores(docs, holdout=(1000, 999), head_words=1).collect()
+    assert len(cut) == 6 and all(r["n_known"] == r["n_tokens"] == 3001 for r in cut)
+    assert all(r["base_score"] == pytest.approx(whole[r["doc_id"]]["base_score"]) for r in cut)
+
+
 def test_lm_is_normalised():
     model = lm_score.LogBilinear(np.full(9, 1 / 9))
     score = model.scorer()
