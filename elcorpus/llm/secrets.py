@@ -58,25 +58,64 @@ def sensitivity(name: str) -> float:
 
 def randomness(literal: str) -> float:
     """From 0 (one character, plain words) to 1 (like a random key)."""
-    n = len(literal)
-    if n < LITERAL_LEAST or any(c.isspace() for c in literal):
+    return _randomness(Counter(literal)) if len(literal) >= LITERAL_LEAST else 0.0
+
+
+def _randomness(chars: dict[str, float]) -> float:
+    n = sum(chars.values())
+    if n < LITERAL_LEAST or any(c.isspace() for c in chars):
         return 0.0
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(literal).values())
-    kinds = sum(bool(re.search(p, literal)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    entropy = -sum(c / n * math.log2(c / n) for c in chars.values())
+    kinds = len({"a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if "0" <= c <= "9" else "_" for c in chars})
     return min(1.0, entropy / math.log2(min(n, 64))) * (0.35 + 0.2 * min(kinds, 3) + 0.05 * (n >= 16))
 
 
-def literals(text: str) -> Iterator[tuple[str, int, int, str]]:
-    """(name, start, end, literal) pairs, propagated ones included."""
-    known: dict[str, list[tuple[int, int, str]]] = {}
-    name, value, joined, spans = None, None, False, []
+class Constant:
+    """A literal with its place, or joined constants, which are shared."""
+
+    __slots__ = ("place", "text", "parts", "counts", "tried")
+
+    def __init__(self, start: int = 0, end: int = 0, text: str = "", parts: tuple[Constant, ...] = ()):
+        self.place, self.text, self.parts, self.tried = (start, end), text, parts, 0.0
+        self.counts = None
+        if parts:
+            self.counts = Counter()
+            for p in parts:
+                for c, k in p.chars().items():
+                    self.counts[c] += k
+            if sum(self.counts.values()) > 1e12:  # doubled again and again: only shares matter
+                self.counts = Counter({c: k * 1e-6 for c, k in self.counts.items() if k > 1e-100})
+
+    def chars(self) -> Counter:
+        if self.counts is None:
+            self.counts = Counter(self.text)
+        return self.counts
+
+    def report(self, score: float, out: set) -> None:
+        """Add the places of all literals if the whole looks random enough,
+        else of the parts that do; none is visited twice for one score."""
+        wait = [(self, False)]
+        while wait:
+            one, whole = wait.pop()
+            if one.tried >= (9.0 if whole else score):
+                continue
+            whole = whole or score + (_randomness(one.counts) if one.counts is not None else randomness(one.text)) >= THRESHOLD + 0.4
+            one.tried = 9.0 if whole else score
+            if whole and not one.parts:
+                out.add((one.place[0], 3, one.place[1]))
+            wait += [(p, whole) for p in one.parts]
+
+
+def literals(text: str) -> Iterator[tuple[str, Constant]]:
+    """(name, constant) pairs, propagated ones included."""
+    known: dict[str, Constant] = {}
+    name, value, spans = None, None, []
     last = None  # the name before an operator
 
     def done():
         if name is not None and spans:
-            known[name] = list(spans)
-            for a, b, lit in spans:
-                yield name, a, b, lit if not joined else "".join(x for _, _, x in spans)
+            known[name] = spans[0] if len(spans) == 1 else Constant(parts=tuple(spans))
+            yield name, known[name]
 
     at = 0
     while m := (_VALUE if name is not None and value is None else _LEX).search(text, at):
@@ -84,33 +123,32 @@ def literals(text: str) -> Iterator[tuple[str, int, int, str]]:
         if kind == "op" and tok in (":=", "=>", ":", "="):
             if last is not None:
                 yield from done()
-                name, spans, joined, value = last, [], False, None
+                name, spans, value = last, [], None
             last = None
         elif kind == "op" and tok == "+":
-            joined, value = bool(spans), None
+            value = None
         elif kind in ("line", "op"):
             yield from done()
-            name, spans, joined, last, value = None, [], False, None, None
+            name, spans, last, value = None, [], None, None
         elif kind == "run":
             if not any(c.isalnum() or c == "_" for c in tok):
-                joined = joined or (tok == "+" and bool(spans))
                 continue
             pieces = tok.split("+")
             if len(pieces) > 1 and any(p in known for p in pieces):  # constants joined
                 place = m.start()
                 for p in pieces:
                     if p in known:
-                        spans.extend(known[p][:8])
+                        spans.append(known[p])
                     elif any(c.isdigit() for c in p):
-                        spans.append((place, place + len(p), p))
+                        spans.append(Constant(place, place + len(p), p))
                     place += len(p) + 1
-                joined, value, last = True, tok if pieces[-1] else None, _tail(pieces[-1])
+                value, last = tok if pieces[-1] else None, _tail(pieces[-1])
                 continue
             value = tok
             if tok in known:  # a constant by its name
-                spans.extend(known[tok][:8])
+                spans.append(known[tok])
             elif any(c.isdigit() for c in tok):
-                spans.append((m.start(), m.end(), tok))
+                spans.append(Constant(m.start(), m.end(), tok))
             last = _tail(tok)
             if "=" in tok:  # assignments inside the run
                 most, place = 0.0, m.start()
@@ -125,12 +163,12 @@ def literals(text: str) -> Iterator[tuple[str, int, int, str]]:
                     how = sensitivity(inner)
                     end = m.end() if how > most else place + len(parts[k + 1])
                     most, own = max(most, how), text[place:end]
-                    name, joined, value, last = inner, False, own or None, _tail(parts[-1])
-                    spans = list(known[own][:8]) if own in known else [(place, end, own)] if any(c.isdigit() for c in own) else []
+                    name, value, last = inner, own or None, _tail(parts[-1])
+                    spans = [known[own]] if own in known else [Constant(place, end, own)] if any(c.isdigit() for c in own) else []
         elif kind in ("text", "long", "bare", "name"):
             if name is not None and value is None:
                 value = tok
-                spans.append((m.start() + 1, m.end() - 1, tok[1:-1]))
+                spans.append(Constant(m.start() + 1, m.end() - 1, tok[1:-1]))
             last = tok.strip("\"'") if kind != "bare" and len(tok) <= 130 else None
     yield from done()
 
@@ -148,11 +186,11 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
     out |= {(m.start(), 2, m.end()) for m in HEX.finditer(text)}
     if _PAIR.search(text):
         scores: dict[str, float] = {}
-        for name, a, b, literal in literals(text):
+        for name, constant in literals(text):
             if name not in scores:
                 scores[name] = sensitivity(name)
-            if scores[name] and scores[name] + randomness(literal) >= THRESHOLD + 0.4:
-                out.add((a, 3, b))
+            if scores[name]:
+                constant.report(scores[name], out)
     return sorted(out)
 
 

@@ -263,6 +263,23 @@ def test_secrets_whole_literals():
         assert time.perf_counter() - start < 20
 
 
+def test_secrets_joined_constants():
+    """A propagated constant keeps all of its pieces and is scored whole."""
+    def found(text):
+        return {text[a:b] for a, k, b in secrets.spans_of(text) if k == 3}
+
+    pieces = [f"p{i}xQ{i}" for i in range(12)]
+    joined = " + ".join(f'"{p}"' for p in pieces)
+    assert found(f"a = {joined}\nb = a\nauth_key = b") == set(pieces) == found(f"auth_key = {joined}")
+    assert found('a = "p1x9" + "Q7z2"\nb = "Lk4"\nauth_key = a + b') == {"p1x9", "Q7z2", "Lk4"}
+    assert found('a = "Bearer " + "A1b2C3d4E5f6G7h8"\nauth_key = a') == {"A1b2C3d4E5f6G7h8"}
+    import time
+    for text in ('a = "p1xQ"\n' + "a = a + a\n" * 20_000 + "auth_key = a\n" * 20_000, 'a = "p1xQ"\n' + 'a = a + "p2xQ"\nauth_key = a\n' * 20_000):
+        start = time.perf_counter()
+        assert "p1xQ" in found(text)
+        assert time.perf_counter() - start < 20
+
+
 def test_packing(docs, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
