@@ -39,6 +39,9 @@ END_ID = 1
 CACHE_CHUNKS = 600_000
 #: Lengths (the most frequent ones) from which combinations are enumerated.
 PLAN_LENGTHS = 160
+#: Combinations given to the least squares: every exact pair, then triples by
+#: how many remainders they can use.
+COMBINATIONS = 6000
 
 
 #: White space of the byte-level scheme's piece pattern (Unicode White_Space).
@@ -169,14 +172,17 @@ class Plan:
     def _combos(self, left: np.ndarray, lengths: int) -> list[tuple[int, ...]]:
         have = np.flatnonzero(left)
         have = have[have > 0]
-        out = {(int(r), int(self.window - r)) for r in have if r <= self.window - r and left[self.window - r]}
+        pairs = [(int(r), int(self.window - r)) for r in have if r <= self.window - r and left[self.window - r]]
+        triples: dict[tuple[int, ...], int] = {}  # and how often the counts allow each
         often = sorted(have[np.argsort(-left[have], kind="stable")][:lengths].tolist())
         for i, r in enumerate(often):
             for s in often[i:]:
                 t = self.window - r - s
                 if t >= s and left[t]:
-                    out.add((r, s, t))
-        return sorted(out)[:6000]
+                    c = (r, s, t)
+                    triples[c] = int(min(left[x] // c.count(x) for x in c))
+        best = sorted(triples, key=lambda c: (-triples[c], c))
+        return sorted(pairs + best[:max(0, COMBINATIONS - len(pairs))])
 
     def place(self, r: int, rank: int) -> tuple[list[tuple[int, int, int, int]], bool]:
         """Pieces (start in the remainder, length, sequence, offset) of the

@@ -313,6 +313,20 @@ def test_chunked_ids_equal_whole(texts):
         assert np.frombuffer(chunks.ids(t), "<u4").tolist() == chunks.tok.encode(t, add_special_tokens=False).ids
 
 
+def test_packing_keeps_exact_pairs():
+    """On diverse lengths no exact pair is left out, and of the triples those
+    that use the most remainders are kept."""
+    counts = {r: 1000 if r % 128 in (1, 63, 64) else 3 for r in range(1, 2048) if r % 128 in (1, 63, 64) or r % 8 < 4}
+    counts |= {2048 - r: 3 for r in list(counts) if 2048 - r not in counts}
+    left = np.zeros(2049, np.int64)
+    left[list(counts)] = list(counts.values())
+    plan = packing.Plan(counts)
+    combos = plan._combos(left, packing.PLAN_LENGTHS)
+    assert {(r, 2048 - r) for r in counts if r <= 1024} <= set(combos) and len(combos) <= packing.COMBINATIONS
+    often = sorted(r for r in counts if counts[r] == 1000)
+    assert {(r, s, 2048 - r - s) for r in often for s in often if r <= s <= 2048 - r - s and counts.get(2048 - r - s) == 1000 and len({r, s, 2048 - r - s}) == 3} <= set(combos)
+
+
 def test_decontamination(spark, docs, empty):
     items = [(1, " ".join(BASE.split()[20:40])), (2, "One, two!"), (2, "One, two!"), (3, None), (4, ""), (None, "DEADBEEFDEADBEEFDEADBEEF"), (5, "absent " * 12)]
     bench = spark.createDataFrame(items, "item_id long, text string")
