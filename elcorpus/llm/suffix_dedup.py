@@ -1,5 +1,4 @@
-"""Removal of repeated byte strings with a logarithmic family of sparse
-suffix arrays.
+"""Removal of repeated byte strings with sparse suffix arrays.
 
 Every ``WINDOW`` consecutive positions of a text give one suffix (winnowing:
 the rightmost smallest hash of GRAM bytes), so each string of ``length``
@@ -10,12 +9,12 @@ the whole neighbourhood in which strings through it may lie; arrays are kept
 in fingerprint order, which brings equal strings together as content order
 does.
 
-A new batch's array is merge-scanned with the levels of the index: entries
+A new batch's array is merge-scanned with the level of the index: entries
 with an equal neighbourhood are covered whole; entries with an equal anchor
 only are handed to a byte-exact comparison of their neighbourhoods (grouped
 by anchor; the keys of groups beyond MEMBERS rows are shuffled instead).
-Levels of one rank are merged into the next, and keep one entry for each
-neighbourhood.
+The result replaces the level, with one entry for each neighbourhood; so n
+batches write the index n times.
 
 Defined results: null and empty texts have no bytes and nothing removed;
 repeated rows count as further occurrences, so equal texts of ``length``
