@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from elcorpus.llm import decontaminate, fingerprints, jaccard_join, language_id, lm_score, packing, quality, secrets, suffix_dedup, url_filter
+from elcorpus.llm import decontaminate, fingerprints, hard_negatives, jaccard_join, language_id, lm_score, packing, quality, secrets, spelling, suffix_dedup, toxicity, url_filter
 from elcorpus.llm.common import table
 
 
@@ -56,6 +56,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fingerprints, op2_language, op3_urls, op4_jaccard_join, op5_lm_score, op6_quality, op7_secrets, op8_packing, op9_decontamination, op10_suffix_dedup)}
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
-ORACLES: dict[str, str] = {"op4_jaccard_join": jaccard_join.ORACLE, "op9_decontamination": decontaminate.ORACLE}
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fingerprints, op2_language, op3_urls, op4_jaccard_join, op5_lm_score, op6_quality, op7_secrets, op8_packing, op9_decontamination, op10_suffix_dedup, op11_toxicity, op12_hard_negatives, op13_spelling)}
+
+ORACLES: dict[str, str] = {"op4_jaccard_join": jaccard_join.ORACLE, "op9_decontamination": decontaminate.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE}
