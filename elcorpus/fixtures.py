@@ -96,24 +96,32 @@ union all select '*{{a-label|Y}}' as value
 union all select '* sans modele' as value
 """
 
-# Titles and URLs for the scalar predicates: the hand samples plus one
-# derived value per document (namespace, fragment, accent, quote variants).
-TITLE_INPUTS_SQL = r"""
+# Titles and URLs for the scalar predicates: the hand samples, and from every
+# document's first line a title (with namespace, fragment, quote, script and
+# accent variants) and a second one that differs from it in its quotes alone.
+_FIRST_LINE = "split_part(coalesce(text, ''), chr(10), 1)"
+
+TITLE_INPUTS_SQL = f"""
 select id, title from (values (1, 'Paris'), (2, '  Tour Eiffel '), (3, 'Projet Manhattan'), (4, 'Projet:Math'), (5, 'Paris#Histoire'),
  (6, 'Discussion utilisateur:A'), (7, 'MODULE lunaire'), (8, 'A/B & C+D~*'), (9, 'L''Assommoir (roman)'), (10, 'Cours'),
  (11, 'TourEiffel'), (12, 'L’Assommoir (roman)'), (13, 'Éléphant'), (14, 'Elephant')) as t(id, title)
 union all
-select doc_id + 1000 as id, concat(case doc_id % 6 when 0 then 'Projet:' when 1 then 'Aide ' when 2 then '  ' when 3 then 'L''' when 4 then 'Discussion utilisateur:' else '' end,
- 'Doc ', cast(doc_id as varchar(20)), case doc_id % 7 when 0 then '#Vie' when 1 then ' (été)' when 2 then ' / « B »' when 3 then ' ' else '' end) as title
+select 2 * doc_id + 1000 as id, concat(case doc_id % 6 when 0 then 'Projet:' when 1 then 'Aide ' when 2 then '  ' when 3 then 'L''' when 4 then 'Discussion utilisateur:' else '' end,
+ {_FIRST_LINE}, case doc_id % 11 when 0 then '#Vie' when 1 then ' (été)' when 2 then ' / « B »' when 3 then ' ' when 4 then ' Iași Việt Łódź Þór straße'
+ when 5 then ' Ελλάδα Ψυχή Χάος' when 6 then ' Владимир Щукин Хрущёв объезд Київ' when 7 then ' 서울 한국어' when 8 then ' さくら カタカナ' when 9 then ' Ⅷ ½ ﬁn Ａｂ' else ' 東京' end) as title
 from documents
+union all
+select 2 * doc_id + 1001 as id, concat('L’', {_FIRST_LINE}) as title from documents
+union all
+select -1 - doc_id as id, concat('L''', {_FIRST_LINE}) as title from documents
 """
 
-URL_INPUTS_SQL = r"""
+URL_INPUTS_SQL = f"""
 select id, url from (values (1, '/wiki/Paris'), (2, '/wiki/Mod%C3%A8le:X'), (3, '/wiki/'), (4, '/w/index.php?title=X'), (5, '/wiki/Paris#H'),
  (6, 'https://fr.wikipedia.org/wiki/Fichier:A.jpg'), (7, '/WIKI/Lyon'), (8, '/wiki/D%C3%A9finition_de_gadget:Z')) as t(id, url)
 union all
 select doc_id + 1000 as id, concat(case doc_id % 4 when 0 then '/wiki/' when 1 then 'https://fr.wikipedia.org/wiki/' when 2 then '/w/index.php?title=' else '/WIKI/' end,
- case doc_id % 5 when 0 then 'Projet:' when 1 then 'Mod%C3%A8le:' when 2 then 'Aide_' else '' end, 'Doc_', cast(doc_id as varchar(20)),
+ case doc_id % 5 when 0 then 'Projet:' when 1 then 'Mod%C3%A8le:' when 2 then 'Aide_' else '' end, replace({_FIRST_LINE}, ' ', '_'),
  case when doc_id % 9 = 0 then '#H' else '' end) as url
 from documents
 """

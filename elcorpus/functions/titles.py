@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import re
-import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from elcorpus.functions.ascii_fold import to_ascii
 from elcorpus.functions.strings import py_strip
 from elcorpus.profile import CACHE_KEY_FORBIDDEN, MEDIAWIKI_FR, SiteProfile
 
@@ -39,33 +39,10 @@ def wikipedia_url(title: Column, profile: SiteProfile = MEDIAWIKI_FR) -> Column:
     return F.concat(F.lit(profile.page_url_prefix), enc)
 
 
-def _latin_fold_tables():
-    """Single-letter ASCII folds of Latin-1 and Latin Extended-A letters
-    (canonical decomposition, marks dropped) and the multi-letter ones."""
-    src, dst = [], []
-    for cp in range(0xC0, 0x180):
-        ch = chr(cp)
-        base = "".join(c for c in unicodedata.normalize("NFD", ch) if not unicodedata.combining(c))
-        if len(base) == 1 and base.isascii() and base != ch:
-            src.append(ch)
-            dst.append(base)
-    # FIXED VALUES: letters and signs whose ASCII form is not a decomposition.
-    multi = (("Æ", "AE"), ("æ", "ae"), ("Œ", "OE"), ("œ", "oe"), ("ß", "ss"), ("Ø", "O"),
-             ("ø", "o"), ("Đ", "D"), ("đ", "d"), ("Ł", "L"), ("ł", "l"), ("Þ", "Th"),
-             ("þ", "th"), ("Ð", "D"), ("ð", "d"), ("ı", "i"), ("’", "'"), ("‘", "'"),
-             ("“", '"'), ("”", '"'), ("«", "<<"), ("»", ">>"), ("–", "-"), ("—", "-"),
-             ("…", "..."), (" ", " "))
-    return "".join(src), "".join(dst), multi
-
-
 def cache_key(title: Column) -> Column:
-    """File-name key of a title: Latin letters folded to ASCII, then the
-    forbidden characters removed.  Letters outside Latin are kept."""
-    src, dst, multi = _latin_fold_tables()
-    k = F.translate(title, src, dst)
-    for a, b in multi:
-        k = F.replace(k, F.lit(a), F.lit(b))
-    return F.translate(k, CACHE_KEY_FORBIDDEN, "")
+    """File-name key of a title: folded to ASCII, then the forbidden
+    characters removed.  Characters without an ASCII form are kept."""
+    return F.translate(to_ascii(title), CACHE_KEY_FORBIDDEN, "")
 
 
 _EXT = {"html": ".html", "txt": ".txt"}

@@ -1,26 +1,30 @@
-"""HTML pages as a token table, processed with windows per page.
+"""HTML pages as a table of markup, processed with windows per page.
 
-A page is never parsed into a tree.  It is cut into document-order tokens
-(``posexplode`` of ``regexp_extract_all``).  Before they become rows, one
-pass over the page's token array makes the nesting explicit (``balanced``):
-end tags that HTML lets authors leave out are put in where the next tag or
-the end of the parent implies them, and end tags of nothing open go.  After
-that every element has its end, and every structural question becomes a
-window over ``partitionBy(key).orderBy(seq)``:
+A page is never parsed into a tree.  It is cut into units in document order
+(``posexplode`` of ``regexp_extract_all``): a piece of markup and the text
+that follows it, so text needs no rows of its own and rides along.  Before
+they become rows, one pass over the page's array makes the nesting explicit
+(``balanced``): end tags that HTML lets authors leave out are put in where
+the next tag or the end of the parent implies them, and end tags of nothing
+open go.  After that every element has its end, and every structural question
+becomes a window over ``partitionBy(key).orderBy(seq)``:
 
 * depth        - running count of opens less closes;
 * element end  - ``lead(seq)`` over markup of the same depth;
-* inside a subtree - running ``max(end)`` of candidate opens >= ``seq``;
+* inside a subtree - running ``max(end)`` of candidate opens: markup at
+  ``seq`` is inside if it is >= ``seq``, the text after it if it is > ``seq``;
 * enclosing element - running ``max`` of packed (end, seq) (outermost one);
 * direct child of the container - depth one below the container's.
 
 The input is hash-partitioned on the page key once, before tokenising; the
 Generate and every Window keep that partitioning, so the whole chain runs
-with that single Exchange (plus sorts).  A page is the unit of work: memory
-per task is bounded by the largest page, not by the data size.
+with that single Exchange and four sorts: by place, by depth, by place again,
+and by heading or formula.  A page is the unit of work: memory per task is
+bounded by the largest page, not by the data size.
 
 Limits: mis-nested inline elements end with the outer one and are not
-reopened; a page nested thousands of levels deep costs time by its square.
+reopened; a formula inside a heading inside a paragraph stays as it is; a page
+nested thousands of levels deep costs time by its square.
 """
 
 from __future__ import annotations
@@ -40,6 +44,12 @@ from elcorpus.profile import SiteProfile
 TOKEN_PATTERN = (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
                  r"""|</?[a-z][^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+>"""
                  r"|<![^>]*>|[^<]+|<")
+# One piece of markup, and a unit: markup with the text after it, or text alone.
+_TAG = r"</?[a-z][^>=]*+(?:=\s*+(?:\x22[^\x22]*+\x22|\x27[^\x27]*+\x27)?+[^>=]*+)*+>"
+_MARKUP = r"<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|" + _TAG + r"|<![^>]*>"
+_TEXT = r"(?:[^<]++|(?!" + _MARKUP + r")<)"
+UNIT_PATTERN = "(?is)(?:" + _MARKUP + ")" + _TEXT + "*+|" + _TEXT + "++"
+MARKUP_PATTERN = "(?is)^(?:" + _MARKUP + ")"
 # Elements that never have content.
 VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link",
              "meta", "param", "source", "track", "wbr")
@@ -159,7 +169,8 @@ _BLOCK = 512
 
 
 def _balanced_sql(toks: str) -> str:
-    """SQL for the token array with every element's end tag in its place.
+    """SQL for the array (of tokens or units) with every element's end tag in
+    its place.
 
     The open elements are kept as the text of the end tags still to come,
     innermost first (``</i></a></p>``).  What stands before an element's own
@@ -169,7 +180,8 @@ def _balanced_sql(toks: str) -> str:
     mark = ("case when not startswith(x, '<') or length(x) = 1 then '' when startswith(x, '</') then "
             "lower(regexp_extract(x, '^<(/[a-zA-Z][a-zA-Z0-9:-]*)', 1)) when x rlike "
             + _sql_text("(?i)^<(?:" + "|".join(("script", "style") + VOID_TAGS) + ")(?![a-z0-9:-])")
-            + " or x rlike " + _sql_text(r"/\s*>$") + " then case when x rlike '(?i)^<hr(?![a-z0-9:-])' then '*hr' else '' end "
+            + " or (x rlike " + _sql_text(r"/\s*>") + " and regexp_extract(x, " + _sql_text("(?is)^" + _TAG) + ", 0) rlike " + _sql_text(r"/\s*>$")
+            + ") then case when x rlike '(?i)^<hr(?![a-z0-9:-])' then '*hr' else '' end "
             "else lower(regexp_extract(x, '^<([a-zA-Z][a-zA-Z0-9:-]*)', 1)) end")
     names = lambda ts: "(" + ", ".join(f"'{t}'" for t in ts) + ")"
     stops = "case " + " ".join(
@@ -198,7 +210,8 @@ def _balanced_sql(toks: str) -> str:
     whole = (f"aggregate(sequence(1, greatest(size(marks), 1), {_BLOCK}), named_struct('stack', '', 'fix', cast(array() as array<array<string>>)), "
              f"(page, b) -> {block}, page -> named_struct('fix', flatten(page.fix), 'rest', page.stack))")
     put_in = "regexp_extract_all(f, '</[^>]*>', 0)"
-    merged = (f"concat(flatten(zip_with({toks}, done.fix, (x, f) -> case when f is null then {none} when f = '' then array(x) "
+    after = f"substring(x, length(regexp_extract(x, {_sql_text('(?is)^' + _TAG)}, 0)) + 1)"  # text goes on after an end tag of nothing
+    merged = (f"concat(flatten(zip_with({toks}, done.fix, (x, f) -> case when f is null then filter(array({after}), t -> t <> '') when f = '' then array(x) "
               f"else concat({put_in}, array(x)) end)), {put_in.replace('(f,', '(done.rest,')})")
     fixed = f"case when done.rest = '' and not exists(done.fix, f -> f is null or f <> '') then {toks} else {merged} end"
     return one(f"transform({toks}, x -> {mark})", "marks", one(whole, "done", fixed))
@@ -233,42 +246,57 @@ def partition_pages(pages: DataFrame, key: str = "pk", num_partitions: int | Non
 
 
 def tokenize(pages: DataFrame, key: str = "pk", html: str = "html",
-             num_partitions: int | None = None, keep_token: bool = False,
-             partitioned: bool = False) -> DataFrame:
-    """(key, seq, kind, tag, opens, closes, cls, ident, href, title, alt,
-    txt) with seq = 0-based document order over the balanced tokens.  With
-    ``keep_token`` they are the page's own tokens as they stand, not
-    balanced, and ``tok`` (the raw token) is kept.
+             num_partitions: int | None = None, partitioned: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The balanced units (key, seq, kind, tag, opens, closes, cls, ident,
+    href, title, alt, txt), with seq = 0-based document order and ``txt`` the
+    text that follows the markup (null if none).
     ``partitioned=True`` when ``pages`` already come from
-    ``partition_pages``."""
-    src = pages.select(key, html)
+    ``partition_pages``.  Columns named in ``carry`` are on the page's first
+    unit, null on the others; every page then has a unit (an empty document
+    an empty text), so that nothing has to be joined back."""
+    src = pages.select(key, html, *carry)
     if not partitioned:
         src = partition_pages(src, key, num_partitions)
-    return _replayed("tokenize", _tokenize_chain, src, key, html, keep_token)
+    return _replayed("tokenize", _tokenize_chain, src, key, html, tuple(carry))
 
 
-def _tokenize_chain(src, key: str, html: str, keep_token: bool):
-    toks = F.regexp_extract_all(F.col(html), F.lit(TOKEN_PATTERN), 0)
-    if keep_token:
-        t = src.select(key, F.posexplode(toks).alias("seq", "tok"))
-    else:
-        t = src.select(key, toks.alias("toks")).select(key, F.posexplode(F.expr(_balanced_sql("toks"))).alias("seq", "tok"))
-    tok = F.col("tok")
-    is_markup = tok.startswith("<") & (F.length(tok) > 1)
+def raw_tokens(pages: DataFrame, key: str = "pk", html: str = "html", num_partitions: int | None = None) -> DataFrame:
+    """The page's own tokens as they stand, (key, seq, tok, kind, tag):
+    markup and text each a row, nothing balanced."""
+    src = partition_pages(pages.select(key, html), key, num_partitions)
+    t = src.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(TOKEN_PATTERN), 0)).alias("seq", "tok"))
+    is_markup = F.col("tok").startswith("<") & (F.length("tok") > 1)
+    return t.select(key, "seq", "tok", *_kind_and_tag(F.col("tok"), is_markup))
+
+
+def _kind_and_tag(tok: Column, is_markup: Column) -> tuple[Column, Column]:
     tag = F.when(is_markup, F.lower(F.regexp_extract(tok, r"^</?([a-zA-Z][a-zA-Z0-9:-]*)", 1))).otherwise("")
     kind = (F.when(~is_markup, "text")
             .when(tok.startswith("<!"), "comment")
             .when(tag.isin("script", "style"), "raw")
             .when(tok.startswith("</"), "close")
             .otherwise("open"))
-    t = t.select(key, "seq", "tok", tag.alias("tag"), kind.alias("kind"))
+    return kind.alias("kind"), tag.alias("tag")
+
+
+def _tokenize_chain(src, key: str, html: str, carry: tuple[str, ...]):
+    units = F.regexp_extract_all(F.col(html), F.lit(UNIT_PATTERN), 0)
+    each = F.posexplode_outer if carry else F.posexplode
+    t = src.select(key, *carry, units.alias("units"))
+    t = t.select(key, *carry, each(F.expr(_balanced_sql("units"))).alias("seq", "unit"))
+    if carry:
+        t = t.select(key, F.coalesce("seq", F.lit(0)).alias("seq"), F.coalesce("unit", F.lit("")).alias("unit"),
+                     *[F.when(F.coalesce("seq", F.lit(0)) == 0, F.col(c)).alias(c) for c in carry])
+    t = t.select(key, *carry, "seq", "unit", F.regexp_extract("unit", MARKUP_PATTERN, 0).alias("tok"))
+    tok = F.col("tok")
+    text = F.substring(F.col("unit"), F.length(tok) + 1, F.length("unit"))
+    t = t.select(key, *carry, "seq", "tok", *_kind_and_tag(tok, tok != ""), F.when(F.length("unit") > F.length(tok), text).alias("text"))
     is_open_tag = F.col("kind") == "open"
     opens = is_open_tag & ~F.col("tag").isin(*VOID_TAGS) & ~tok.rlike(r"/\s*>$")
-    cols = [key, "seq"] + (["tok"] if keep_token else []) + ["kind", "tag"]
     # id is only read by container selectors (of any profile): div/article/main/section
     id_tags = ("div", "article", "main", "section", "span", "table")
     return t.select(
-        *cols,
+        key, "seq", "kind", "tag", *carry,
         opens.alias("opens"),
         (F.col("kind") == "close").alias("closes"),
         F.when(is_open_tag, _attr(tok, "class", decode=False)).alias("cls"),
@@ -276,7 +304,7 @@ def _tokenize_chain(src, key: str, html: str, keep_token: bool):
         F.when(is_open_tag & (F.col("tag") == "a"), _attr(tok, "href")).alias("href"),
         F.when(is_open_tag & (F.col("tag") == "a"), _attr(tok, "title", bare=True)).alias("title"),
         F.when(is_open_tag & (F.col("tag") == "img"), _attr(tok, "alt", bare=True)).alias("alt"),
-        F.when(F.col("kind") == "text", decode_entities(tok)).alias("txt"),
+        decode_entities(F.col("text")).alias("txt"),
     )
 
 
@@ -304,33 +332,37 @@ def _outermost(cond: Column, window) -> Column:
     return F.max(F.when(cond, _pack(F.col("end"), F.col("seq")))).over(window)
 
 
-def annotate(tokens: DataFrame, profile: SiteProfile, key: str = "pk") -> DataFrame:
+def annotate(tokens: DataFrame, profile: SiteProfile, key: str = "pk", carry: tuple[str, ...] = ()) -> DataFrame:
     """D2-D9 flags on the token table; see ``_annotate_chain``."""
-    return _replayed("annotate", _annotate_chain, tokens, profile, key)
-
-
-def _annotate_chain(tokens, profile: SiteProfile, key: str):
-    """D2-D9 flags on the token table (one row per kept token).
-
-    Output columns: key, seq, kind, tag, opens, title, href, txt, end,
-    page facts (exists C9, has_container D2, qid D12 - carried on every
-    row), p_seq/p_index (D5, direct-child paragraph), dc_p (paragraph open),
-    m_seq/math_text/math_error (D7), link (internal link open usable as an
-    edge, D8), l_seq/l_end (outermost internal link, D9) and piece (text
-    contribution after D3-D9; null for markup and removed tokens).
-
-    Tokens outside the content container are dropped once the page facts
-    are known (the first token of each page stays, carrying them).  Window
-    passes whose candidates do not depend on each other share one Window
-    operator; subtrees nest, so a candidate inside a removed subtree never
-    encloses a kept token."""
+    return _replayed("annotate", _annotate_chain, tokens, profile, key, tuple(carry))
+
+
+def _annotate_chain(tokens, profile: SiteProfile, key: str, carry: tuple[str, ...]):
+    """D2-D9 flags on the units (one row per kept unit).
+
+    A flag of the markup has a twin with ``_t`` for the text after it: that
+    text is inside an element that the markup opens and outside one that it
+    closes.  Output columns: key, seq, kind, tag, opens, title, href, txt,
+    end, page facts (exists C9, has_container D2, qid D12 - carried on every
+    row), body/body_t, dropped/dropped_t (D3), cut (D4), live/live_t,
+    p_seq/p_index (D5, direct-child paragraph), dc_p (paragraph open),
+    kept/kept_t (D6), m_seq/math_text/math_error (D7), link (internal link
+    open usable as an edge, D8), l_seq/l_end (outermost internal link, D9),
+    and mark/text_piece (what markup and text add to the page's text).
+
+    Units outside the content container are dropped once the page facts are
+    known (the first unit of each page stays, carrying them).  Window passes
+    whose candidates do not depend on each other share one Window operator;
+    subtrees nest, so a candidate inside a removed subtree never encloses a
+    kept unit."""
     c = F.col
     run = Window.partitionBy(key).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     page = Window.partitionBy(key)
     level = Window.partitionBy(key, "lvl").orderBy("seq")
     nsteps = len(profile.container)
+    false, none = F.lit(False), F.lit(None).cast("int")
 
-    # -- 0. per-token flags (each class/tag test evaluated once).
+    # -- 0. per-unit flags (each class/tag test evaluated once).
     opens, kind, tag, cls = c("opens"), c("kind"), c("tag"), c("cls")
     flags = [
         F.coalesce(F.array_position(F.array(*[opens & _matches(tag, cls, c("ident"), st) for st in profile.container]),
@@ -352,7 +384,7 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
     internal = (opens & (tag == "a") & F.coalesce(c("href").startswith(profile.article_path), F.lit(False))
                 & c("title").isNotNull() & is_main_ns_title(c("title"), profile) & is_main_ns_url(c("href"), profile))
     flags.append(F.coalesce(internal, F.lit(False)).alias("internal"))
-    base = [key, "seq", "kind", "tag", "opens", "closes", "href", "title", "alt", "txt"]
+    base = [key, *carry, "seq", "kind", "tag", "opens", "closes", "href", "title", "alt", "txt"]
     t = tokens.select(*base, *flags)
 
     # -- 1. depth, and element ends: the next markup of the same depth is the
@@ -378,17 +410,18 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
             cand = cand & (c("seq") > c("_in")["s"]) & (c("seq") < c("_in")["e"])
         found = F.min(F.when(cand, F.struct(c("seq").alias("s"), c("end").alias("e"), c("sd").alias("sd")))).over(page)
         t = t.select(*[x for x in t.columns if x != "_in"], found.alias("_in"))
-    body = F.coalesce((c("seq") > c("_in")["s"]) & (c("seq") < c("_in")["e"]), F.lit(False))
+    body = F.coalesce((c("seq") > c("_in")["s"]) & (c("seq") < c("_in")["e"]), false)
+    body_t = F.coalesce((c("seq") >= c("_in")["s"]) & (c("seq") < c("_in")["e"]), false)
     t = t.select(*[x for x in t.columns if x not in ("_in", "cstep")], c("_in")["sd"].alias("c_sd"),
-                 c("_in").isNotNull().alias("has_container"), body.alias("body"))
-    t = t.filter(c("body") | (c("seq") == 0))
+                 c("_in").isNotNull().alias("has_container"), body.alias("body"), body_t.alias("body_t"))
+    t = t.filter(c("body_t") | (c("seq") == 0))
 
     # -- 3. one running window over the body: D3 dropped subtrees, heading
     #    candidates, D5 direct-child paragraphs, D6 footnotes, D7 math spans,
     #    D9 links.  Candidates only need ``body``: whatever lies inside a
     #    dropped subtree or after the cut is masked below (subtrees nest and
     #    the frame only looks back, so later candidates never leak into
-    #    earlier tokens).  A <p> that is itself a drop candidate is never a
+    #    earlier units).  A <p> that is itself a drop candidate is never a
     #    paragraph.
     body = c("body")
     dc_p = c("opens") & (c("tag") == "p") & body & (c("sd") == c("c_sd") + 1)
@@ -400,10 +433,7 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
           F.sum(F.when(c("dc_p0"), 1).otherwise(0)).over(run).alias("_pi"),
           F.max(F.when(c("opens") & (c("tag") == "sup") & body, c("end"))).over(run).alias("_sup")]
     if profile.drop_blocks:
-        rw.append(F.coalesce(F.max(F.when(c("dropc") & body, c("end"))).over(run) >= c("seq"),
-                             F.lit(False)).alias("dropped"))
-    else:
-        rw.append(F.lit(False).alias("dropped"))
+        rw.append(F.max(F.when(c("dropc") & body, c("end"))).over(run).alias("_drop"))
     if profile.headings:
         rank = c("tag").rlike("^h[1-6]$")  # inside another h-tag (header, hgroup) it counts for itself
         rw += [_outermost(hd & rank, run).alias("_h"), _outermost(hd & ~rank, run).alias("_ho")]
@@ -411,99 +441,128 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str):
         rw.append(_outermost(c("mathc") & body, run).alias("_m"))
     if profile.annotate_links:
         rw.append(_outermost(c("internal") & body, run).alias("_l"))
-    t = t.select(*[x for x in t.columns if x != "dropc"], *rw)
-
-    # -- 4. D4 section cut: first kept heading whose text is boilerplate.
+    t = t.select(*[x for x in t.columns if x not in ("dropc", "mathc")], *rw)
+
+    # what the markup (>=) and the text after it (>) are inside of
+    seq = c("seq")
+    inside = lambda end: F.coalesce(end >= seq, false)
+    inside_t = lambda end: F.coalesce(end > seq, false)
+    masks = [(inside(c("_drop")) if profile.drop_blocks else false).alias("dropped"),
+             (inside_t(c("_drop")) if profile.drop_blocks else false).alias("dropped_t"),
+             (F.coalesce((seq >= _hi(c("_p"))) & (seq < _lo(c("_p"))), false)).alias("_in_p")]
     if profile.headings:
-        t = t.select(*[x for x in t.columns if x not in ("_h", "_ho")],
-                     F.when(_hi(c("_h")) >= c("seq"), _lo(c("_h"))).when(_hi(c("_ho")) >= c("seq"), _lo(c("_ho"))).alias("h_seq"))
-        heading = Window.partitionBy(key, "h_seq")
-        piece = F.when(c("h_seq").isNotNull() & (c("kind") == "text") & ~c("dropped"),
-                       F.struct(c("seq").alias("s"), c("txt").alias("x")))
-        texts = F.array_join(F.transform(F.array_sort(F.collect_list(piece).over(heading)), lambda x: x["x"]), "")
-        t = t.select(*[x for x in t.columns if x != "h_seq"],
-                     F.when(hd & ~c("dropped"), F.lower(py_strip(texts))).alias("h_text"))
-        cut = F.coalesce(F.min(F.when(c("h_text").isin(*profile.headings), c("seq"))).over(page), F.lit(_BIG))
-        t = t.select(*[x for x in t.columns if x != "h_text"], cut.alias("cut"))
-    else:
-        t = t.select("*", F.lit(_BIG).alias("cut"))
-
-    # -- 5. masks: live body, paragraph membership, kept tokens, math, links.
-    live = c("body") & ~c("dropped") & (c("seq") < c("cut"))
-    t = t.select(*[x for x in t.columns if x != "dc_p0"], (c("dc_p0") & live).alias("dc_p"), live.alias("live"))
-    in_p = ((c("seq") > _hi(c("_p"))) & (c("seq") < _lo(c("_p"))) & c("live")) | c("dc_p")
-    t = t.select(*[x for x in t.columns if x not in ("_p", "_pi")],
+        masks += [F.when(_hi(c("_h")) >= seq, _lo(c("_h"))).when(_hi(c("_ho")) >= seq, _lo(c("_ho"))).alias("h_seq"),
+                  (inside_t(_hi(c("_h"))) | inside_t(_hi(c("_ho")))).alias("_h_t")]
+    t = t.select(*[x for x in t.columns if x not in ("_drop", "_h", "_ho")], *masks)
+    if profile.math_class:
+        in_m = body & c("_in_p") & ~c("dropped") & ~inside(c("_sup")) & inside(_hi(c("_m")))
+        if profile.headings:
+            in_m = in_m & c("h_seq").isNull()
+        t = t.select("*", F.when(in_m, _lo(c("_m"))).alias("m_raw"))
+
+    # -- 4. texts of headings and math spans, which never overlap: one window
+    #    over both.  D4: the first kept heading whose text is boilerplate.
+    #    The alt of the span's first img, else its text up to the LaTeX
+    #    marker (without marker the last character is dropped).
+    groups = [c(x) for x, on in (("h_seq", profile.headings), ("m_raw", profile.math_class)) if on]
+    if groups:
+        t = t.select("*", F.coalesce(*groups).alias("_g"))
+        group = Window.partitionBy(key, "_g")
+        at = c("_g") == seq
+        text_in = c("_g").isNotNull() & c("txt").isNotNull() & ~c("dropped_t")
+        ends = []
+        if profile.headings:
+            ends.append(c("h_seq").isNotNull() & c("_h_t"))
+        if profile.math_class:
+            ends.append(c("m_raw").isNotNull() & inside_t(_hi(c("_m"))) & ~inside_t(c("_sup")))
+        in_group = ends[0] if len(ends) == 1 else ends[0] | ends[1]
+        piece = F.when(text_in & in_group, F.struct(seq.alias("s"), c("txt").alias("x")))
+        got = [F.array_join(F.transform(F.array_sort(F.collect_list(piece).over(group)), lambda x: x["x"]), "").alias("_text")]
+        if profile.math_class:
+            img = F.when(c("m_raw").isNotNull() & (c("tag") == "img") & (c("kind") == "open"),
+                         F.struct(seq.alias("s"), c("alt").isNotNull().alias("has_alt"), c("alt").alias("alt")))
+            got.append(F.min(img).over(group).alias("_img"))
+        t = t.select("*", *got)
+        t = t.select(*[x for x in t.columns if x not in ("_text", "_g", "_h_t")], F.when(at, c("_text")).alias("_text"))
+    cut = F.lit(_BIG)
+    if profile.headings:
+        named = hd & ~c("dropped") & (c("h_seq") == seq) & F.lower(py_strip(c("_text"))).isin(*profile.headings)
+        cut = F.coalesce(F.min(F.when(named, seq)).over(page), F.lit(_BIG))
+    t = t.select(*[x for x in t.columns if x != "h_seq"], cut.alias("cut"))
+
+    # -- 5. masks: live body, paragraph membership, kept units, links.
+    t = t.select(*[x for x in t.columns if x not in ("dc_p0", "_sup", "_in_p")],
+                 (c("body") & ~c("dropped") & (seq < c("cut"))).alias("live"),
+                 (c("body_t") & ~c("dropped_t") & (seq < c("cut"))).alias("live_t"),
+                 c("dc_p0").alias("dc_p"), c("_in_p"), inside(c("_sup")).alias("_s"), inside_t(c("_sup")).alias("_st"))
+    t = t.select(*[x for x in t.columns if x not in ("dc_p", "_s", "_st")],
+                 (c("dc_p") & c("live")).alias("dc_p"),
+                 (c("_in_p") & c("live") & ~c("dc_p") & ~c("_s")).alias("kept"),
+                 (c("_in_p") & c("live_t") & ~c("_st")).alias("kept_t"))
+    in_p = c("_in_p") & (c("live") | c("live_t"))
+    t = t.select(*[x for x in t.columns if x not in ("_p", "_pi", "_in_p")],
                  F.when(in_p, _hi(c("_p"))).alias("p_seq"), F.when(in_p, c("_pi")).alias("p_index"))
-    kept = c("p_seq").isNotNull() & ~c("dc_p") & ~F.coalesce(c("_sup") >= c("seq"), F.lit(False))
-    m_seq = F.when(kept & (_hi(c("_m")) >= c("seq")), _lo(c("_m"))) if profile.math_class else F.lit(None).cast("int")
-    t = t.select(*[x for x in t.columns if x not in ("_sup", "_m", "mathc")], kept.alias("kept"), m_seq.alias("m_seq"))
-    if profile.annotate_links:
-        in_link = c("kept") & c("m_seq").isNull() & (_hi(c("_l")) >= c("seq"))
-        lsel = [F.when(in_link, _lo(c("_l"))).alias("l_seq"), F.when(in_link, _hi(c("_l"))).alias("l_end")]
-    else:
-        lsel = [F.lit(None).cast("int").alias("l_seq"), F.lit(None).cast("int").alias("l_end")]
-    t = t.select(*[x for x in t.columns if x not in ("_l",)], *lsel,
-                 (c("internal") & c("kept")).alias("link"))
 
-    # -- 6. D7 math replacement per span (alt of the first img, else text up
-    #    to the LaTeX marker; without marker the last character is dropped).
+    # -- 6. math and links of kept units.
     if profile.math_class:
-        span = Window.partitionBy(key, "m_seq")
-        img = F.when(c("m_seq").isNotNull() & (c("tag") == "img") & (c("kind") == "open"),
-                     F.struct(c("seq").alias("s"), c("alt").isNotNull().alias("has_alt"), c("alt").alias("alt")))
-        txt = F.when(c("m_seq").isNotNull() & (c("kind") == "text"), F.struct(c("seq").alias("s"), c("txt").alias("x")))
-        is_m = c("seq") == c("m_seq")
-        t = t.select("*", F.when(is_m, F.min(img).over(span)).alias("_img"),
-                     F.when(is_m, F.replace(F.array_join(F.transform(F.array_sort(F.collect_list(txt).over(span)),
-                                                                     lambda x: x["x"]), ""), F.lit("\n"), F.lit(""))).alias("_mt"))
-        marker = F.instr(c("_mt"), "{\\displaystyle")
-        cut_text = (F.when(marker > 0, F.substring(c("_mt"), F.lit(1), marker - 1))
-                    .otherwise(F.substring(c("_mt"), F.lit(1), F.length(c("_mt")) - 1)))
+        m_seq = F.when(c("kept"), c("m_raw"))
+        is_m = c("kept") & (c("m_raw") == seq)
+        plain = F.replace(c("_text"), F.lit("\n"), F.lit(""))
+        marker = F.instr(plain, "{\\displaystyle")
+        cut_text = (F.when(marker > 0, F.substring(plain, F.lit(1), marker - 1))
+                    .otherwise(F.substring(plain, F.lit(1), F.length(plain) - 1)))
         math_text = F.when(is_m, F.when(c("_img").isNotNull(), F.coalesce(c("_img.alt"), F.lit(""))).otherwise(cut_text))
-        math_error = F.coalesce(is_m & c("_img").isNotNull() & ~c("_img.has_alt"), F.lit(False))
-        t = t.select(*[x for x in t.columns if x not in ("_img", "_mt")], math_text.alias("math_text"),
-                     math_error.alias("math_error"))
+        math_error = F.coalesce(is_m & c("_img").isNotNull() & ~c("_img.has_alt"), false)
+        in_math_t = c("m_raw").isNotNull() & inside_t(_hi(c("_m")))
+        t = t.select(*[x for x in t.columns if x not in ("_img", "_text", "_m", "m_raw")], m_seq.alias("m_seq"),
+                     math_text.alias("math_text"), math_error.alias("math_error"), in_math_t.alias("_mt"))
     else:
-        t = t.select("*", F.lit(None).cast("string").alias("math_text"), F.lit(False).alias("math_error"))
+        t = t.select(*[x for x in t.columns if x != "_text"], none.alias("m_seq"), F.lit(None).cast("string").alias("math_text"),
+                     false.alias("math_error"), false.alias("_mt"))
+    if profile.annotate_links:
+        in_link = c("kept") & c("m_seq").isNull() & (_hi(c("_l")) >= seq)
+        lsel = [F.when(in_link, _lo(c("_l"))).alias("l_seq"), F.when(in_link, _hi(c("_l"))).alias("l_end")]
+    else:
+        lsel = [none.alias("l_seq"), none.alias("l_end")]
+    t = t.select(*[x for x in t.columns if x != "_l"], *lsel, (c("internal") & c("kept")).alias("link"))
 
-    piece = (F.when(c("dc_p"), F.lit("\n"))
-             .when(~c("kept"), F.lit(None))
-             .when(c("m_seq").isNotNull(), F.when(c("seq") == c("m_seq"), c("math_text")))
-             .when(c("seq") == c("l_seq"),
-                   F.concat(F.lit("[E="), F.replace(c("title"), F.lit(" "), F.lit("_")), F.lit("]")))
-             .when(c("seq") == c("l_end"), F.lit("[/E]"))
-             .when(c("kind") == "text", c("txt")))
-    return t.select("*", piece.alias("piece"))
+    mark = (F.when(c("dc_p"), F.lit("\n"))
+            .when(~c("kept"), F.lit(None))
+            .when(c("m_seq").isNotNull(), F.when(seq == c("m_seq"), c("math_text")))
+            .when(seq == c("l_seq"),
+                  F.concat(F.lit("[E="), F.replace(c("title"), F.lit(" "), F.lit("_")), F.lit("]")))
+            .when(seq == c("l_end"), F.lit("[/E]")))
+    return t.select("*", mark.alias("mark"), F.when(c("kept_t") & ~c("_mt"), c("txt")).alias("text_piece"))
 
 
-def _ordered_concat(piece_struct: Column) -> Column:
-    return F.array_join(F.transform(F.array_sort(F.collect_list(piece_struct)), lambda x: x["x"]), "")
+def ordered_text(*pieces: Column) -> Column:
+    """The non-null pieces of a group's units, joined in document order."""
+    some = F.coalesce(*pieces).isNotNull()
+    found = F.when(some, F.struct(F.col("seq").alias("s"), F.concat_ws("", *pieces).alias("x")))
+    return F.array_join(F.transform(F.array_sort(F.collect_list(found)), lambda x: x["x"]), "")
 
 
-def page_results(annotated: DataFrame, profile: SiteProfile, key: str = "pk") -> DataFrame:
-    """D10-D12, C9 per page: exists, qid, has_container, math_error, text.
+def page_results(annotated: DataFrame, profile: SiteProfile, key: str = "pk", carry: tuple[str, ...] = ()) -> DataFrame:
+    """D10-D12, C9 per page: exists, qid, has_container, math_error, text, and
+    the carried columns.
 
     One aggregation keyed by the page key (already the partitioning key, so
     no Exchange).  ``text`` = direct-child paragraph texts joined by newline,
     stripped."""
-    c = F.col
     return annotated.groupBy(key).agg(
         F.max("has_container").alias("has_container"),
         F.max("math_error").alias("math_error"),
-        py_strip(_ordered_concat(F.when(c("piece").isNotNull(), F.struct(c("seq").alias("s"), c("piece").alias("x")))))
-        .alias("text"),
+        py_strip(ordered_text(F.col("mark"), F.col("text_piece"))).alias("text"),
         F.min("exists").alias("exists"),
         F.min("qid").alias("qid"),
+        *[F.max(x).alias(x) for x in carry],
     )
 
 
 def paragraph_texts(annotated: DataFrame, key: str = "pk") -> DataFrame:
     """D5/D10 per paragraph: (key, p_index, text) for direct-child <p>."""
-    c = F.col
-    p = annotated.filter(c("p_index").isNotNull())
-    return p.groupBy(key, "p_index").agg(
-        _ordered_concat(F.when(~c("dc_p") & c("piece").isNotNull(),
-                               F.struct(c("seq").alias("s"), c("piece").alias("x")))).alias("text"))
+    p = annotated.filter(F.col("p_index").isNotNull())
+    return p.groupBy(key, "p_index").agg(ordered_text(F.when(~F.col("dc_p"), F.col("mark")), F.col("text_piece")).alias("text"))
 
 
 def link_tokens(annotated: DataFrame, key: str = "pk") -> DataFrame:

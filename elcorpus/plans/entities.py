@@ -10,6 +10,7 @@ from elcorpus.functions.wikidata import (
     dump_item_qid, entity_aliases, entity_description, entity_label, entity_type, parse_item,
     p31_ids,
 )
+from elcorpus.operators.bit_filter import maybe_among
 from elcorpus.profile import ALIAS_SEPARATOR, MEDIAWIKI_FR, SiteProfile
 
 
@@ -33,8 +34,9 @@ def known_qids(cleaned: DataFrame) -> DataFrame:
 
 def wanted_items(items: DataFrame, qids: DataFrame) -> DataFrame:
     """E1 + Q7: items whose qid was seen, one row per qid (smallest line),
-    still unparsed.  The join carries no hint (adaptive execution decides)."""
-    kept = items.join(qids, "qid", "left_semi")
+    still unparsed.  A bounded filter drops nearly all other lines where they
+    are read; the join, which carries no hint, decides on the rest."""
+    kept = maybe_among(items, qids, "qid").join(qids, "qid", "left_semi")
     return kept.groupBy("qid").agg(F.min("line").alias("line"))
 
 

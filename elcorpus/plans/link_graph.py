@@ -8,20 +8,25 @@ from pyspark.sql import functions as F
 from elcorpus.functions.titles import cache_key, wikipedia_url
 from elcorpus.operators import html as H
 from elcorpus.profile import MEDIAWIKI_FR, SiteProfile
+from elcorpus.session import ensure_checkpoint_dir, materialize
+from elcorpus.sources.readers import with_row_key
 
 
 def seed_pages(good: DataFrame, html_pages: DataFrame) -> DataFrame:
     """Each good title with its page HTML (the first fetched row of the
-    title).  Pages are narrowed to good titles first, the first fetch is a
-    primitive grouped min (partial aggregation, so a title fetched in a
-    third of all rows stays cheap), and the HTML is picked by the unique
-    ``input_seq`` - the HTML itself is never sorted or grouped.  The joins
-    carry no hint: adaptive execution picks the side to broadcast by size."""
+    title): (title, input_seq, row_key, text).  Pages are narrowed to good
+    titles and written once; the first fetch is a grouped min over the order
+    alone (partial aggregation, so a title fetched in a third of all rows
+    stays cheap) and the HTML is picked by the row's key - the HTML itself is
+    never grouped.  The joins carry no hint: adaptive execution picks the
+    side to broadcast by size."""
+    ensure_checkpoint_dir(html_pages.sparkSession)
     good_t = good.select(F.col("title").alias("page")).distinct()
-    cand = html_pages.select("input_seq", "page", "text").join(good_t, "page", "left_semi")
-    first = cand.groupBy("page").agg(F.min("input_seq").alias("input_seq")).select("input_seq")
-    picked = cand.join(first, "input_seq", "left_semi")
-    return picked.select(F.col("page").alias("title"), "input_seq", "text")
+    cand = with_row_key(html_pages).select("row_key", "input_seq", "page", "text").join(good_t, "page", "left_semi")
+    cand = materialize(cand, "seed-candidates")
+    first = cand.groupBy("page").agg(F.min(F.struct("input_seq", "row_key")).alias("b")).select("b.row_key")
+    picked = cand.join(first, "row_key", "left_semi")
+    return picked.select(F.col("page").alias("title"), "input_seq", "row_key", "text")
 
 
 def link_graph(good: DataFrame, html_pages: DataFrame, profile: SiteProfile = MEDIAWIKI_FR,
@@ -33,11 +38,10 @@ def link_graph(good: DataFrame, html_pages: DataFrame, profile: SiteProfile = ME
     good = good.select("title").distinct()
     seeds = good.select(F.col("title").alias("page"), F.lit("").alias("linked_from"),
                         wikipedia_url(F.col("title"), profile).alias("url"))
-    sp = H.partition_pages(seed_pages(good, html_pages).select(
-        F.col("input_seq").alias("pk"), F.col("title").alias("linked_from"), F.col("text").alias("html")),
-        "pk", num_partitions)
+    seed = seed_pages(good, html_pages)
+    sp = H.partition_pages(seed.select(F.col("row_key").alias("pk"), F.col("text").alias("html")), "pk", num_partitions)
     links = H.link_tokens(H.annotate(H.tokenize(sp, partitioned=True), profile))
-    edges = links.join(sp.select("pk", "linked_from"), "pk")
+    edges = links.join(seed.select(F.col("row_key").alias("pk"), F.col("title").alias("linked_from")), "pk")
     edges = edges.select(F.replace(F.col("title"), F.lit(" "), F.lit("_")).alias("page"), "linked_from",
                          F.concat(F.lit(profile.host), F.col("href")).alias("url"))
     return seeds.unionByName(edges)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from elcorpus import fixtures as fx
+from elcorpus.functions import ascii_fold as FOLD
 from elcorpus.functions import strings as S
 from elcorpus.functions import titles as T
 from elcorpus.functions import wikidata as W
@@ -88,6 +89,10 @@ def o_strip(x: str) -> str:
     return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
 
+def o_text(x: str) -> str:
+    return o_decode(f"regexp_replace({x}, '<[^>]*>', '', 'g')")
+
+
 # The oracle's own tokeniser (a SQL literal: quotes doubled).
 TOK = (r"(?is)<!--.*?-->|<(?:script\b.*?</script|style\b.*?</style)\s*>|</?[a-z](?:\"[^\"]*\"|''[^'']*''|[^\"''>])*>"
        r"|<![^>]*>|[^<]+|<").replace('\\"', '"')
@@ -243,8 +248,25 @@ def q_page_urls(spark, sf):
     return t.select("id", T.wikipedia_url(F.col("title")).alias("url"))
 
 
-_O_KEY = ("regexp_replace(replace(replace(strip_accents(title), '’', ''''), '‘', ''''), "
-          "'[:*?/\\\\\" «»!<>\\]\\[''\"]', '', 'g')")
+def _o_ascii(x: str) -> str:
+    """ASCII form in SQL: fixed letters by replacement, the rest by removing
+    accents; the fixture's words of other scripts as they must come out."""
+    words = (("서울", "seoul"), ("한국어", "hangugeo"), ("さくら", "sakura"), ("カタカナ", "katakana"), ("Ⅷ ½ ﬁn Ａｂ", "VIII 1/2 fin Ab"))
+    fixed = FOLD.LATIN | FOLD.SIGNS | {c: r for t in (FOLD.GREEK, FOLD.CYRILLIC) for c, r in t.items()}
+    fixed |= {c.upper(): r.capitalize() for t in (FOLD.GREEK, FOLD.CYRILLIC) for c, r in t.items() if c != "ς" and r[0].isalpha()}
+    sql = lambda v: "'" + v.replace("'", "''") + "'"
+    before = [(c, r) for c, r in fixed.items() if c in "ёЁїЇґҐўЎѓЃќЌ"]  # these would lose their marks
+    after = [(c, r) for c, r in fixed.items() if len(r) == 1]
+    many = [(c, r) for c, r in fixed.items() if len(r) != 1]
+    for a, b in (*words, *before):
+        x = f"replace({x}, {sql(a)}, {sql(b)})"
+    x = f"translate(strip_accents({x}), {sql(''.join(c for c, _ in after))}, {sql(''.join(r for _, r in after))})"
+    for a, b in many:
+        x = f"replace({x}, {sql(a)}, {sql(b)})"
+    return x
+
+
+_O_KEY = f"regexp_replace({_o_ascii('title')}, '[:*?/\\\\\" «»!<>\\]\\[''\"]', '', 'g')"
 
 
 @query("cache_key", f"select id, {_O_KEY} as key from title_inputs", ["title_inputs"])
@@ -361,9 +383,8 @@ def q_entity_types(spark, sf):
 # ----------------------------------------------------------------------------
 # D1-D12 HTML operators
 # ----------------------------------------------------------------------------
-def _pages_tokens(spark, sf, keep_token=False):
-    p = _tbl(spark, sf, "pages").select(F.col("page_id").alias("pk"), F.col("html"))
-    return H.tokenize(p, keep_token=keep_token)
+def _driver_pages(spark, sf):
+    return _tbl(spark, sf, "pages").select(F.col("page_id").alias("pk"), F.col("html"))
 
 
 @query("html_tokens", f"""
@@ -377,7 +398,7 @@ select page_id, seq, tok,
   case when starts_with(tok, '<') and length(tok) > 1 then lower(regexp_extract(tok, '^</?([a-zA-Z][a-zA-Z0-9:-]*)', 1)) else '' end as tag
 from t""")
 def q_html_tokens(spark, sf):
-    t = _pages_tokens(spark, sf, keep_token=True)
+    t = H.raw_tokens(_driver_pages(spark, sf))
     return t.select(F.col("pk").alias("page_id"), F.col("seq").cast("bigint").alias("seq"), "tok", "kind", "tag")
 
 
@@ -389,7 +410,7 @@ select page_id, p_index,
   {o_decode("regexp_replace(regexp_extract(part, '(?s)^(.*?)(?:</p>|<h[1-6][ >]|$)', 1), '<[^>]*>', '', 'g')")} as text
 from u""")
 def q_paragraphs(spark, sf):
-    ann = H.annotate(_pages_tokens(spark, sf), ARTICLE)
+    ann = H.annotate(H.tokenize(_driver_pages(spark, sf)), ARTICLE)
     return H.paragraph_texts(ann).select(F.col("pk").alias("page_id"), "p_index", "text")
 
 
@@ -399,6 +420,16 @@ def _wiki_annotated(spark, sf, profile=MEDIAWIKI_FR):
     return H.annotate(toks, profile)
 
 
+def _text_where(cond):
+    """The text of a page's (paragraph's) units that meets ``cond``."""
+    return H.ordered_text(F.when(cond, F.col("txt"))).alias("text")
+
+
+def _n_tokens(markup, text):
+    """Pieces of markup and of text that meet their condition."""
+    return F.count(F.when(markup & (F.col("kind") != "text"), 1)) + F.count(F.when(text & F.col("txt").isNotNull(), 1))
+
+
 @query("container_scope", f"""
 with {CLEAN_O}
 select input_seq, has_c as has_container,
@@ -407,35 +438,37 @@ def q_container_scope(spark, sf):
     a = _wiki_annotated(spark, sf)
     return a.groupBy(F.col("pk").alias("input_seq")).agg(
         F.max("has_container").alias("has_container"),
-        F.count(F.when(F.col("body"), 1)).alias("n_body_tokens"))
+        _n_tokens(F.col("body"), F.col("body_t")).alias("n_body_tokens"))
 
 
 @query("strip_boilerplate", f"""
 with {CLEAN_O}
 select input_seq, coalesce(list_sum(list_transform(regexp_extract_all(body,
   '<span class="mw-editsection">.*?</span>|<div class="bandeau-container[^"]*">.*?</div>|<table class="infobox_v3">.*?</table>'),
-  lambda b: len(regexp_extract_all(b, '{TOK}')))), 0) as n_dropped
-from pg where has_c""", ["wiki_pages"])
+  lambda b: len(regexp_extract_all(b, '{TOK}')))), 0) as n_dropped, {o_text('b0')} as text
+from dr where has_c""", ["wiki_pages"])
 def q_strip_boilerplate(spark, sf):
     a = _wiki_annotated(spark, sf)
     return (a.groupBy(F.col("pk").alias("input_seq"))
-            .agg(F.max("has_container").alias("hc"), F.count(F.when(F.col("dropped"), 1)).alias("n_dropped"))
+            .agg(F.max("has_container").alias("hc"), _n_tokens(F.col("dropped"), F.col("dropped_t")).alias("n_dropped"),
+                 _text_where(F.col("body_t") & ~F.col("dropped_t")))
             .filter("hc").drop("hc"))
 
 
-@query("cut_sections", f"with {CLEAN_O} select input_seq, has_cut from ct where has_c", ["wiki_pages"])
+@query("cut_sections", f"with {CLEAN_O} select input_seq, has_cut, {o_text('b')} as text from ct where has_c", ["wiki_pages"])
 def q_cut_sections(spark, sf):
     a = _wiki_annotated(spark, sf)
     return (a.groupBy(F.col("pk").alias("input_seq"))
-            .agg(F.max("has_container").alias("hc"), F.max(F.col("cut") < H._BIG).alias("has_cut"))
+            .agg(F.max("has_container").alias("hc"), F.max(F.col("cut") < H._BIG).alias("has_cut"), _text_where(F.col("live_t")))
             .filter("hc").drop("hc"))
 
 
-@query("drop_footnotes", f"with {CLEAN_O} select input_seq, i as p_index, n_sup from ps", ["wiki_pages"])
+@query("drop_footnotes", f"with {CLEAN_O} select input_seq, i as p_index, n_sup, {o_text('p1')} as text from ps", ["wiki_pages"])
 def q_drop_footnotes(spark, sf):
     a = _wiki_annotated(spark, sf).filter(F.col("p_index").isNotNull() & F.col("exists"))
     return (a.groupBy(F.col("pk").alias("input_seq"), "p_index")
-            .agg(F.count(F.when(F.col("opens") & (F.col("tag") == "sup") & ~F.col("dc_p") & F.col("live"), 1)).alias("n_sup")))
+            .agg(F.count(F.when(F.col("opens") & (F.col("tag") == "sup") & ~F.col("dc_p") & F.col("live"), 1)).alias("n_sup"),
+                 _text_where(F.col("kept_t"))))
 
 
 @query("math_to_text", f"with {CLEAN_O} select input_seq, i as p_index, math_text, m_err as math_error from mr where has_m",
@@ -458,11 +491,12 @@ def q_link_edges(spark, sf):
                         F.concat(F.lit(MEDIAWIKI_FR.host), F.col("href")).alias("url"))
 
 
-@query("annotate_links", f"with {CLEAN_O} select input_seq, i as p_index, n_marks from pt", ["wiki_pages"])
+@query("annotate_links", f"with {CLEAN_O} select input_seq, i as p_index, n_marks, ptxt as text from pt", ["wiki_pages"])
 def q_annotate_links(spark, sf):
     a = _wiki_annotated(spark, sf).filter(F.col("p_index").isNotNull() & F.col("exists"))
     return (a.groupBy(F.col("pk").alias("input_seq"), "p_index")
-            .agg(F.count(F.when(F.col("seq") == F.col("l_seq"), 1)).alias("n_marks")))
+            .agg(F.count(F.when(F.col("seq") == F.col("l_seq"), 1)).alias("n_marks"),
+                 H.ordered_text(F.when(~F.col("dc_p"), F.col("mark")), F.col("text_piece")).alias("text")))
 
 
 @query("page_qid", f"with {CLEAN_O} select input_seq, case when ex then qid0 else '' end as qid from pg", ["wiki_pages"])
@@ -483,7 +517,18 @@ def q_page_exists(spark, sf):
 @query("clean_text", f"with {CLEAN_O} select input_seq, title, url, qid, text, status, error_class, message from rows_o",
        ["wiki_pages"])
 def q_clean_text(spark, sf):
-    return C.cleaned_rows(_fx(spark, sf, "wiki_pages"))
+    return C.cleaned_rows(_fx(spark, sf, "wiki_pages")).drop("row_key")
+
+
+@query("clean_repeated_ids", f"""with {CLEAN_O}
+select input_seq % 7 as input_seq, title, url, qid, text, status, error_class, message from rows_o""", ["wiki_pages"])
+def q_clean_repeated_ids(spark, sf):
+    """Records that share their ids with many others; no page is lost
+    or mixed with another."""
+    from elcorpus.sources import read_html_pages
+    path = _scratch(spark, "repeated_ids")
+    _fx(spark, sf, "wiki_pages").withColumn("input_seq", F.col("input_seq") % 7).write.json(path)
+    return C.cleaned_rows(read_html_pages(spark, path)).drop("row_key")
 
 
 @query("clean_pages", f"with {CLEAN_O} select title, url, qid, text from cleaned_o", ["wiki_pages"])
@@ -493,7 +538,10 @@ def q_clean_pages(spark, sf):
 
 @query("first_clean_per_title", f"with {CLEAN_O} select title, input_seq from cleaned_o", ["wiki_pages"])
 def q_first_clean_per_title(spark, sf):
-    return C.first_clean_per_title(C.cleaned_rows(_fx(spark, sf, "wiki_pages"))).select("title", "input_seq")
+    from elcorpus.session import ensure_checkpoint_dir, materialize
+    ensure_checkpoint_dir(spark)
+    rows = materialize(C.cleaned_rows(_fx(spark, sf, "wiki_pages")), "clean-rows")
+    return C.first_clean_per_title(rows).select("title", "input_seq")
 
 
 @query("clean_errors", f"""with {CLEAN_O}
@@ -667,13 +715,14 @@ def q_scan_category_lines(spark, sf):
     return read_category_lines(spark, f"{base}/listing")
 
 
-@query("sorted_title_file", f"with {GOOD_O} select title from good_o", ["category_lines"])
+@query("sorted_title_file", f"with {GOOD_O} select title, row_number() over (order by title) as place from good_o", ["category_lines"])
 def q_sorted_title_file(spark, sf):
+    """The sorted title file read back with the place of each line."""
     from elcorpus.sinks import write_sorted_titles
-    from elcorpus.sources import read_title_list
+    from elcorpus.sources import read_lines_in_order
     path = _scratch(spark, "good_titles")
     write_sorted_titles(TT.good_titles(_fx(spark, sf, "category_lines")), path)
-    return read_title_list(spark, path, normalize=False)
+    return read_lines_in_order(spark, path).withColumnRenamed("value", "title")
 
 
 @query("scan_title_list",

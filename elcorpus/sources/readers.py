@@ -3,7 +3,7 @@ the file suffix (``.gz``, ``.bz2`` - bz2 text is splittable)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,22 @@ def read_title_list(spark: SparkSession, path: str, normalize: bool = True) -> D
     return title_list(spark.read.text(path), normalize=normalize)
 
 
+def read_lines_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """(value, place): the lines of a folder of text files, numbered from 1
+    in the order of file names, blocks and lines.  Blocks are counted and
+    their counts added up (a row for each block); lines are numbered within
+    their block, so no task sees more than a block."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                         F.monotonically_increasing_id().alias("line"))
+    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("n_lines"))
+    before = F.sum("n_lines").over(Window.orderBy("file", "block")) - F.col("n_lines")
+    blocks = blocks.select(F.col("file").alias("_file"), F.col("block").alias("_block"), before.alias("before"))
+    within = F.row_number().over(Window.partitionBy("file", "block").orderBy("line"))
+    lines = lines.select("value", "file", "block", within.alias("within"))
+    placed = lines.join(blocks, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
+    return placed.select("value", (F.col("before") + F.col("within")).cast("long").alias("place"))
+
+
 def read_csv_strings(spark: SparkSession, path: str, columns) -> DataFrame:
     """A3: CSV with header where every column is a string and nothing is
     read as missing: quoted ``""`` stays ``''`` (Q14)."""
@@ -42,8 +58,9 @@ def read_csv_strings(spark: SparkSession, path: str, columns) -> DataFrame:
 def read_html_pages(spark: SparkSession, path: str) -> DataFrame:
     """A4: fetched pages as JSON lines (page, url, text).  ``input_seq`` is
     taken from the records when present; otherwise it is an ingest id
-    (stable for a given file layout), which orders duplicates of a title."""
-    return with_input_seq(spark.read.schema(HTML_PAGES_SCHEMA).json(path))
+    (stable for a given file layout), which orders duplicates of a title.
+    ``row_key`` tells the rows apart, also where records repeat an id."""
+    return with_row_key(with_input_seq(spark.read.schema(HTML_PAGES_SCHEMA).json(path)))
 
 
 def with_input_seq(pages: DataFrame) -> DataFrame:
@@ -53,6 +70,12 @@ def with_input_seq(pages: DataFrame) -> DataFrame:
     return pages.withColumn("input_seq", F.coalesce(F.col("input_seq"), made))
 
 
+def with_row_key(pages: DataFrame) -> DataFrame:
+    """A key of its own for every input row, whatever ids the records carry:
+    ``input_seq`` orders pages, it does not tell them apart."""
+    return pages if "row_key" in pages.columns else pages.withColumn("row_key", F.monotonically_increasing_id())
+
+
 def read_cleaned_pages(spark: SparkSession, path: str) -> DataFrame:
     """Cleaned pages (title, url, qid, text) as JSON lines."""
     return spark.read.schema(CLEANED_SCHEMA).json(path)

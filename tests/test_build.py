@@ -55,6 +55,48 @@ def test_build_matches_query_plans(spark):
     assert spark.read.json(paths["cleaned"]).count() == before
 
 
+class Ended(Exception):
+    pass
+
+
+def test_a_build_ended_after_any_stage_goes_on(spark, monkeypatch):
+    """Ended before and after the mark of each stage in turn, the build goes
+    on; its outputs are those of a build in one go."""
+    from elcorpus.plans import build
+    base = tempfile.mkdtemp(prefix="elcorpus-restart-")
+    _write_inputs(spark, base)
+    args = (spark, f"{base}/categories", f"{base}/html-pages.jl", f"{base}/dump.json.bz2")
+    whole = run(*args, f"{base}/whole")
+    plain, seen = build.Run.stage, {}
+
+    def stage(self, name, work):
+        if self.is_done(name):
+            return
+        seen[name] = seen.get(name, 0) + 1
+        if seen[name] == 1:  # done, but ended before its mark
+            work()
+            raise Ended(name)
+        plain(self, name, work)
+        if name == "cleaned":
+            raise Ended(name)
+
+    monkeypatch.setattr(build.Run, "stage", stage)
+    for _ in range(40):
+        try:
+            paths = run(*args, f"{base}/out")
+            break
+        except Ended:
+            pass
+    assert set(seen.values()) == {2}
+    monkeypatch.undo()
+    rows = lambda p, kind: sorted(map(tuple, getattr(spark.read.option("header", True), kind)(p).collect()), key=str)
+    for key in whole:
+        kind = "json" if "json" in whole[key] or whole[key].endswith(".jl") else "csv" if whole[key].endswith(".csv") else "text"
+        assert rows(paths[key], kind) == rows(whole[key], kind), key
+    titles = [r[0] for r in spark.read.json(paths["cleaned"]).select("title").collect()]
+    assert len(titles) == len(set(titles))
+
+
 def test_marks_equal_edges_and_no_tags(spark):
     rows = R.QUERIES["clean_text"](spark, SF_SMALL).filter("status = 'ok'")
     marks = rows.select(F.size(F.split("text", r"\[E=")).alias("n")).agg(F.sum(F.col("n") - 1)).first()[0]

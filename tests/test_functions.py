@@ -81,3 +81,17 @@ def test_type_precedence(spark):
     assert _type_of(spark, line).t == "DATE"
     line = '{"type":"item","id":"Q1","labels":{},"descriptions":{},"aliases":{},"claims":[]}'
     assert _type_of(spark, line).t == "OTHER"
+
+
+def test_cache_key_folds_many_scripts(spark):
+    from elcorpus.functions.ascii_fold import fold_char, to_ascii
+    from pyspark.sql import functions as F
+    cases = {"Iași Việt Łódź": "Iasi Viet Lodz", "Ελλάδα Ψυχή": "Ellada Psukhe", "Хрущёв Юрий Щука Київ": "Khrushchiov Iurii Shchuka Kiyiv",
+             "서울 한국어": "seoul hangugeo", "さくら カタカナ": "sakura katakana", "Ⅷ ½ ﬁn Ａｂ ²": "VIII 1/2 fin Ab 2", "東京 😀": "東京 😀",
+             "été": "ete", "Þór ßẞ Æther": "Thor ssSs AEther", "plain | text": "plain | text", "": ""}
+    df = spark.createDataFrame(list(cases.items()) + [(None, None)], "t string, want string")
+    for r in df.select("t", "want", to_ascii(F.col("t")).alias("got")).collect():
+        assert r["got"] == r["want"]
+    every = "".join(chr(cp) for cp in (*range(0x80, 0x530), *range(0x1D00, 0x3100), *range(0xAC00, 0xAD00), *range(0xFF00, 0xFFF0)))
+    got = spark.createDataFrame([(every,)], "t string").select(to_ascii(F.col("t"))).first()[0]
+    assert got == "".join(map(fold_char, every))

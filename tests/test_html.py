@@ -70,7 +70,7 @@ def test_unclosed_paragraphs_article_profile(spark):
 def test_tokens_keep_script_whole(spark):
     html = '<p>a<script>var t="</p>";</script><!-- c --> b</p>'
     df = spark.createDataFrame([(1, html)], "pk long, html string")
-    kinds = [(r.tok, r.kind) for r in H.tokenize(df, keep_token=True).orderBy("seq").collect()]
+    kinds = [(r.tok, r.kind) for r in H.raw_tokens(df).orderBy("seq").collect()]
     assert kinds == [("<p>", "open"), ("a", "text"), ('<script>var t="</p>";</script>', "raw"),
                      ("<!-- c -->", "comment"), (" b", "text"), ("</p>", "close")]
 
