@@ -44,12 +44,11 @@ from elcorpus.profile import SiteProfile
 TOKEN_PATTERN = (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
                  r"""|</?[a-z][^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+>"""
                  r"|<![^>]*>|[^<]+|<")
-# One piece of markup, and a unit: markup with the text after it, or text alone.
-_TAG = r"</?[a-z][^>=]*+(?:=\s*+(?:\x22[^\x22]*+\x22|\x27[^\x27]*+\x27)?+[^>=]*+)*+>"
-_MARKUP = r"<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|" + _TAG + r"|<![^>]*>"
-_TEXT = r"(?:[^<]++|(?!" + _MARKUP + r")<)"
-UNIT_PATTERN = "(?is)(?:" + _MARKUP + ")" + _TEXT + "*+|" + _TEXT + "++"
-MARKUP_PATTERN = "(?is)^(?:" + _MARKUP + ")"
+# One piece of markup: a token that is not text.
+MARKUP_PATTERN = (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+                  r"""|</?[a-z][^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+>|<![^>]*>""")
+# Two code points that are no characters: before a piece of markup, and after it.
+BEFORE, AFTER = "\ufdd0", "\ufdd1"
 # Elements that never have content.
 VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link",
              "meta", "param", "source", "track", "wbr")
@@ -168,9 +167,9 @@ def _one_of(names) -> str:
 _BLOCK = 512
 
 
-def _balanced_sql(toks: str) -> str:
-    """SQL for the array (of tokens or units) with every element's end tag in
-    its place.
+def _balanced_sql(toks: str, end: str = "") -> str:
+    """SQL for the array (of tokens, or of units with ``end`` after their
+    markup) with every element's end tag in its place.
 
     The open elements are kept as the text of the end tags still to come,
     innermost first (``</i></a></p>``).  What stands before an element's own
@@ -180,8 +179,7 @@ def _balanced_sql(toks: str) -> str:
     mark = ("case when not startswith(x, '<') or length(x) = 1 then '' when startswith(x, '</') then "
             "lower(regexp_extract(x, '^<(/[a-zA-Z][a-zA-Z0-9:-]*)', 1)) when x rlike "
             + _sql_text("(?i)^<(?:" + "|".join(("script", "style") + VOID_TAGS) + ")(?![a-z0-9:-])")
-            + " or (x rlike " + _sql_text(r"/\s*>") + " and regexp_extract(x, " + _sql_text("(?is)^" + _TAG) + ", 0) rlike " + _sql_text(r"/\s*>$")
-            + ") then case when x rlike '(?i)^<hr(?![a-z0-9:-])' then '*hr' else '' end "
+            + " or x rlike " + _sql_text(rf"^[^{AFTER}]*/\s*>(?:{AFTER}|$)") + " then case when x rlike '(?i)^<hr(?![a-z0-9:-])' then '*hr' else '' end "
             "else lower(regexp_extract(x, '^<([a-zA-Z][a-zA-Z0-9:-]*)', 1)) end")
     names = lambda ts: "(" + ", ".join(f"'{t}'" for t in ts) + ")"
     stops = "case " + " ".join(
@@ -209,8 +207,8 @@ def _balanced_sql(toks: str) -> str:
              "acc -> named_struct('stack', acc.stack, 'fix', array_append(page.fix, acc.fix)))")
     whole = (f"aggregate(sequence(1, greatest(size(marks), 1), {_BLOCK}), named_struct('stack', '', 'fix', cast(array() as array<array<string>>)), "
              f"(page, b) -> {block}, page -> named_struct('fix', flatten(page.fix), 'rest', page.stack))")
-    put_in = "regexp_extract_all(f, '</[^>]*>', 0)"
-    after = f"substring(x, length(regexp_extract(x, {_sql_text('(?is)^' + _TAG)}, 0)) + 1)"  # text goes on after an end tag of nothing
+    put_in = f"transform(regexp_extract_all(f, '</[^>]*>', 0), e -> concat(e, '{end}'))"
+    after = f"case when instr(x, '{AFTER}') > 0 then substring(x, instr(x, '{AFTER}') + 1) else '' end"  # the text stays when an end tag goes
     merged = (f"concat(flatten(zip_with({toks}, done.fix, (x, f) -> case when f is null then filter(array({after}), t -> t <> '') when f = '' then array(x) "
               f"else concat({put_in}, array(x)) end)), {put_in.replace('(f,', '(done.rest,')})")
     fixed = f"case when done.rest = '' and not exists(done.fix, f -> f is null or f <> '') then {toks} else {merged} end"
@@ -279,31 +277,40 @@ def _kind_and_tag(tok: Column, is_markup: Column) -> tuple[Column, Column]:
     return kind.alias("kind"), tag.alias("tag")
 
 
+def _units(html: Column) -> Column:
+    """The page cut before every piece of markup; the markup's end is marked.
+    The two marks are no characters; a page that has them loses them."""
+    page = F.when(html.rlike(f"[{BEFORE}{AFTER}]"), F.translate(html, BEFORE + AFTER, "")).otherwise(html)
+    return F.split(F.regexp_replace(page, MARKUP_PATTERN, f"{BEFORE}$0{AFTER}"), BEFORE)
+
+
 def _tokenize_chain(src, key: str, html: str, carry: tuple[str, ...]):
-    units = F.regexp_extract_all(F.col(html), F.lit(UNIT_PATTERN), 0)
+    t = src.select(key, *carry, _units(F.col(html)).alias("units"))
+    units = F.expr(_balanced_sql("units", AFTER))
     each = F.posexplode_outer if carry else F.posexplode
-    t = src.select(key, *carry, units.alias("units"))
-    t = t.select(key, *carry, each(F.expr(_balanced_sql("units"))).alias("seq", "unit"))
+    t = t.select(key, *carry, each(units).alias("seq", "unit"))
     if carry:
         t = t.select(key, F.coalesce("seq", F.lit(0)).alias("seq"), F.coalesce("unit", F.lit("")).alias("unit"),
                      *[F.when(F.coalesce("seq", F.lit(0)) == 0, F.col(c)).alias(c) for c in carry])
-    t = t.select(key, *carry, "seq", "unit", F.regexp_extract("unit", MARKUP_PATTERN, 0).alias("tok"))
+    t = t.select(key, *carry, "seq", "unit", F.instr("unit", AFTER).alias("at"))
+    t = t.select(key, *carry, "seq", F.when(F.col("at") > 0, F.substring("unit", F.lit(1), F.col("at") - 1)).otherwise("").alias("tok"),
+                 F.when(F.length("unit") > F.col("at"), F.substring("unit", F.col("at") + 1, F.length("unit"))).alias("text"))
     tok = F.col("tok")
-    text = F.substring(F.col("unit"), F.length(tok) + 1, F.length("unit"))
-    t = t.select(key, *carry, "seq", "tok", *_kind_and_tag(tok, tok != ""), F.when(F.length("unit") > F.length(tok), text).alias("text"))
+    t = t.select(key, *carry, "seq", "tok", "text", *_kind_and_tag(tok, tok != ""))
     is_open_tag = F.col("kind") == "open"
-    opens = is_open_tag & ~F.col("tag").isin(*VOID_TAGS) & ~tok.rlike(r"/\s*>$")
+    has_attrs = is_open_tag & (F.length(tok) > F.length("tag") + 2)
+    opens = is_open_tag & ~F.col("tag").isin(*VOID_TAGS) & ~tok.endswith("/>") & ~(tok.contains("/") & tok.rlike(r"/\s*>$"))
     # id is only read by container selectors (of any profile): div/article/main/section
     id_tags = ("div", "article", "main", "section", "span", "table")
     return t.select(
         key, "seq", "kind", "tag", *carry,
         opens.alias("opens"),
         (F.col("kind") == "close").alias("closes"),
-        F.when(is_open_tag, _attr(tok, "class", decode=False)).alias("cls"),
-        F.when(is_open_tag & F.col("tag").isin(*id_tags), _attr(tok, "id", decode=False)).alias("ident"),
-        F.when(is_open_tag & (F.col("tag") == "a"), _attr(tok, "href")).alias("href"),
-        F.when(is_open_tag & (F.col("tag") == "a"), _attr(tok, "title", bare=True)).alias("title"),
-        F.when(is_open_tag & (F.col("tag") == "img"), _attr(tok, "alt", bare=True)).alias("alt"),
+        F.when(has_attrs, _attr(tok, "class", decode=False)).alias("cls"),
+        F.when(has_attrs & F.col("tag").isin(*id_tags), _attr(tok, "id", decode=False)).alias("ident"),
+        F.when(has_attrs & (F.col("tag") == "a"), _attr(tok, "href")).alias("href"),
+        F.when(has_attrs & (F.col("tag") == "a"), _attr(tok, "title", bare=True)).alias("title"),
+        F.when(has_attrs & (F.col("tag") == "img"), _attr(tok, "alt", bare=True)).alias("alt"),
         decode_entities(F.col("text")).alias("txt"),
     )
 
@@ -555,7 +562,7 @@ def page_results(annotated: DataFrame, profile: SiteProfile, key: str = "pk", ca
         py_strip(ordered_text(F.col("mark"), F.col("text_piece"))).alias("text"),
         F.min("exists").alias("exists"),
         F.min("qid").alias("qid"),
-        *[F.max(x).alias(x) for x in carry],
+        *[F.first(x, ignorenulls=True).alias(x) for x in carry],
     )
 
 

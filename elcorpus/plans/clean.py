@@ -25,11 +25,9 @@ def cleaned_rows(html_pages: DataFrame, profile: SiteProfile = MEDIAWIKI_FR,
         pages = pages.join(already.select(F.col("title").alias("page")).distinct(), "page", "left_anti")
     carry = ("input_seq", "page", "url")
     src = H.partition_pages(pages.select("row_key", *carry, "text"), "row_key", num_partitions)
-    # the links of a page have a title and a url of their own
-    src = src.select(F.col("row_key").alias("pk"), F.col("text").alias("html"), *[F.col(x).alias(f"page_{x}") for x in carry])
-    carried = tuple(f"page_{x}" for x in carry)
-    toks = H.tokenize(src, partitioned=True, carry=carried)
-    j = H.page_results(H.annotate(toks, profile, carry=carried), profile, carry=carried)
+    src = src.select(F.col("row_key").alias("pk"), F.col("text").alias("html"), F.struct(*carry).alias("page"))
+    toks = H.tokenize(src, partitioned=True, carry=("page",))
+    j = H.page_results(H.annotate(toks, profile, carry=("page",)), profile, carry=("page",))
     c = F.col
     err_class = (F.when(~c("exists"), F.lit(None))
                  .when(~c("has_container"), F.lit(ERR_NO_CONTAINER[0]))
@@ -38,7 +36,7 @@ def cleaned_rows(html_pages: DataFrame, profile: SiteProfile = MEDIAWIKI_FR,
                .when(~c("has_container"), F.lit(ERR_NO_CONTAINER[1]))
                .when(c("math_error"), F.lit(ERR_MATH_ALT[1])))
     return j.select(
-        c("pk").alias("row_key"), c("page_input_seq").alias("input_seq"), c("page_page").alias("title"), c("page_url").alias("url"),
+        c("pk").alias("row_key"), c("page.input_seq").alias("input_seq"), c("page.page").alias("title"), c("page.url").alias("url"),
         F.when(c("exists"), c("qid")).otherwise(F.lit("")).alias("qid"),
         F.when(c("exists"), c("text")).otherwise(F.lit("")).alias("text"),
         F.when(err_class.isNull(), F.lit("ok")).otherwise(F.lit("error")).alias("status"),
