@@ -219,6 +219,27 @@ def has_class(cls: Column, token: str) -> Column:
     return F.coalesce(cls.rlike(r"(?:^|\s)" + re.escape(token) + r"(?:\s|$)"), F.lit(False))
 
 
+def is_link_to_article(tag: Column, href: Column, title: Column, profile: SiteProfile) -> Column:
+    """A link with a title whose target and title name an article."""
+    found = ((tag == "a") & href.startswith(profile.article_path) & title.isNotNull()
+             & is_main_ns_title(title, profile) & is_main_ns_url(href, profile))
+    return F.coalesce(found, F.lit(False))
+
+
+def is_dropped_block(tag: Column, cls: Column, profile: SiteProfile) -> Column:
+    """A banner, an infobox or an edit link, by its classes."""
+    found = F.lit(False)
+    for tag_name, token in profile.drop_blocks:
+        found = found | (has_class(cls, token) & ((tag == tag_name) if tag_name else F.lit(True)))
+    return F.coalesce(found, F.lit(False))
+
+
+def is_boilerplate_heading(tag: Column, text: Column, profile: SiteProfile) -> Column:
+    """A heading whose text names a section that is no content."""
+    found = tag.startswith("h") & F.lower(py_strip(text)).isin(*profile.headings)
+    return F.coalesce(found, F.lit(False))
+
+
 def _matches(tag: Column, cls: Column, ident: Column, step) -> Column:
     name, attr, value = step
     cond = tag == name if name else F.lit(True)
@@ -376,10 +397,7 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str, carry: tuple[str, ..
                                     True), F.lit(0)).alias("cstep"),
     ]
     if profile.drop_blocks:
-        drop = F.lit(False)
-        for tag_name, token in profile.drop_blocks:
-            drop = drop | _matches(tag, cls, c("ident"), (tag_name, "class", token))
-        flags.append((opens & drop).alias("dropc"))
+        flags.append((opens & is_dropped_block(tag, cls, profile)).alias("dropc"))
     if profile.missing_marker:
         mt, mcls = profile.missing_marker
         flags.append(((tag == mt) & (kind == "open") & has_class(cls, mcls)).alias("missing"))
@@ -388,9 +406,7 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str, carry: tuple[str, ..
                             F.struct(c("seq").alias("s"), c("href").alias("h"))).alias("qidc"))
     if profile.math_class:
         flags.append((opens & (tag == "span") & has_class(cls, profile.math_class)).alias("mathc"))
-    internal = (opens & (tag == "a") & F.coalesce(c("href").startswith(profile.article_path), F.lit(False))
-                & c("title").isNotNull() & is_main_ns_title(c("title"), profile) & is_main_ns_url(c("href"), profile))
-    flags.append(F.coalesce(internal, F.lit(False)).alias("internal"))
+    flags.append((opens & is_link_to_article(tag, c("href"), c("title"), profile)).alias("internal"))
     base = [key, *carry, "seq", "kind", "tag", "opens", "closes", "href", "title", "alt", "txt"]
     t = tokens.select(*base, *flags)
 
@@ -493,7 +509,7 @@ def _annotate_chain(tokens, profile: SiteProfile, key: str, carry: tuple[str, ..
         t = t.select(*[x for x in t.columns if x not in ("_text", "_g", "_h_t")], F.when(at, c("_text")).alias("_text"))
     cut = F.lit(_BIG)
     if profile.headings:
-        named = hd & ~c("dropped") & (c("h_seq") == seq) & F.lower(py_strip(c("_text"))).isin(*profile.headings)
+        named = hd & ~c("dropped") & (c("h_seq") == seq) & is_boilerplate_heading(c("tag"), c("_text"), profile)
         cut = F.coalesce(F.min(F.when(named, seq)).over(page), F.lit(_BIG))
     t = t.select(*[x for x in t.columns if x != "h_seq"], cut.alias("cut"))
 

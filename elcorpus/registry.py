@@ -791,18 +791,47 @@ def q_scan_wikidata_dump(spark, sf):
 
 @query("stream_incremental_clean", f"with {CLEAN_O} select title, url, qid, text from cleaned_o", ["wiki_pages"])
 def q_stream_incremental_clean(spark, sf):
-    """I1 end to end: the fixture pages arrive as two files (first fetch,
-    then re-fetches), two micro-batches; the output equals the batch J4."""
+    """I1 end to end: the fixture pages arrive in two goes (first fetch, then
+    re-fetches), each cleaned by a start of the stream; the output equals the
+    batch J4."""
     from elcorpus.sources import read_cleaned_pages
     from elcorpus.streaming import start_incremental_clean
     base = _scratch(spark, "stream")
     wp = _fx(spark, sf, "wiki_pages")
-    wp.filter(F.col("input_seq") < 1000000000).coalesce(1).write.json(f"{base}/in/1")
-    wp.filter(F.col("input_seq") >= 1000000000).coalesce(1).write.json(f"{base}/in/2")
-    # one input folder, first fetch first (file names order the micro-batches)
-    _place_parts(spark, f"{base}/in/1", f"{base}/inbox", "batch-1")
-    _place_parts(spark, f"{base}/in/2", f"{base}/inbox", "batch-2")
-    q = start_incremental_clean(spark, f"{base}/inbox", f"{base}/out", f"{base}/err",
-                                checkpoint=f"{base}/ckpt", max_files_per_trigger=1)
-    q.awaitTermination()
+    for k, own in (("1", F.col("input_seq") < 1000000000), ("2", F.col("input_seq") >= 1000000000)):
+        wp.filter(own).write.json(f"{base}/in/{k}")
+        _place_parts(spark, f"{base}/in/{k}", f"{base}/inbox", f"batch-{k}")
+        start_incremental_clean(spark, f"{base}/inbox", f"{base}/out", f"{base}/err", checkpoint=f"{base}/ckpt").awaitTermination()
     return read_cleaned_pages(spark, f"{base}/out")
+
+
+@query("stream_dedupe_titles", """
+select concat('Doc_', cast(doc_id as varchar)) as title, 1 as fetch from documents
+union all select distinct concat('Neu_', cast(doc_id as varchar)) as title, 3 as fetch from labels
+union all select distinct concat('Neuer_', cast(doc_id as varchar)) as title, 4 as fetch from labels
+union all select distinct concat('Doc_', cast(doc_id as varchar)) as title, 5 as fetch from labels where toxic = 1""")
+def q_stream_dedupe_titles(spark, sf):
+    """Five fetches arrive in turn.  The second repeats titles of the day
+    before (they go); the third and fourth bring new titles a month later, so
+    that the first ones are forgotten; the fifth brings some of those again
+    (they are let through), each twice (once)."""
+    from elcorpus.streaming import STATE_STORE, dedupe_titles
+    base = _scratch(spark, "stream-titles")
+    docs, labels = _tbl(spark, sf, "documents").select("doc_id"), _tbl(spark, sf, "labels").select("doc_id", "toxic")
+    toxic = labels.filter("toxic = 1").select("doc_id")
+    fetches = ((1, "2024-03-01", "Doc_", docs), (2, "2024-03-02", "Doc_", toxic), (3, "2024-04-01", "Neu_", labels),
+               (4, "2024-04-02", "Neuer_", labels), (5, "2024-04-03", "Doc_", toxic.unionAll(toxic)))
+    for k, day, prefix, rows in fetches:
+        rows = rows.select(F.concat(F.lit(prefix), F.col("doc_id").cast("string")).alias("title"), F.lit(k).alias("fetch"), F.lit(day).alias("fetched"))
+        rows.write.json(f"{base}/in/{k}")
+        _place_parts(spark, f"{base}/in/{k}", f"{base}/inbox", f"fetch-{k}")
+    old = spark.conf.get(STATE_STORE[0])
+    spark.conf.set(*STATE_STORE)
+    try:
+        for k in range(1, 6):  # one start for each fetch, as by a scheduler; the last batch of a start forgets
+            stream = spark.readStream.schema("title string, fetch int, fetched timestamp").option("pathGlobFilter", "fetch-[1-%d]_*" % k).json(f"{base}/inbox")
+            q = dedupe_titles(stream, "fetched", "2 days").writeStream.format("json").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
+            q.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(STATE_STORE[0], old)
+    return spark.read.schema("title string, fetch int").json(f"{base}/out")

@@ -120,3 +120,17 @@ def test_balancing_goes_across_blocks_of_tokens(spark):
     assert "".join(got[1]) == "<ul>" + "<li>x</li>" * n + "</ul>"
     assert "".join(got[2]) == "<p>well</p>" * n
     assert not got[3] and not got[4]
+
+
+def test_predicates_on_columns(spark):
+    rows = [("a", "/wiki/Paris", "Paris", None, True, False), ("a", "/wiki/Paris", None, None, False, False), ("b", "/wiki/Paris", "Paris", "x", False, False),
+            ("a", "/wiki/Projet:X", "Projet:X", None, False, False), ("a", None, "Paris", None, False, False), ("div", None, None, "a bandeau-container", False, True),
+            ("table", None, None, "infobox", False, True), ("td", None, None, "infobox_v3 y", False, True), ("td", None, None, "infoboxes", False, False),
+            ("span", None, None, "mw-editsection", False, True), ("div", None, None, "mw-editsection", False, False)]
+    df = spark.createDataFrame(rows, "tag string, href string, title string, cls string, link boolean, dropped boolean")
+    c = F.col
+    for r in df.select("*", H.is_link_to_article(c("tag"), c("href"), c("title"), MEDIAWIKI_FR).alias("l"), H.is_dropped_block(c("tag"), c("cls"), MEDIAWIKI_FR).alias("d")).collect():
+        assert (r["l"], r["d"]) == (r["link"], r["dropped"]), r
+    heads = spark.createDataFrame([("h2", " Voir Aussi\n", True), ("h2", "Vie", False), ("p", "Notes", False), ("header", "notes", True), ("h2", None, False)], "tag string, text string, want boolean")
+    for r in heads.select("want", H.is_boilerplate_heading(c("tag"), c("text"), MEDIAWIKI_FR).alias("got")).collect():
+        assert r["got"] == r["want"]
