@@ -92,12 +92,23 @@ class _Chunks(dict):
         return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
 
 
+_KEPT: dict[str, _Chunks] = {}
+
+
+def _chunks(path: str) -> _Chunks:
+    """The worker's dictionary, which its later tasks go on using."""
+    if path not in _KEPT:
+        _KEPT.clear()
+        _KEPT[path] = _Chunks(path)
+    return _KEPT[path]
+
+
 def token_table(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """(row_key, doc_id, doc_tokens, crcs of the full windows, crc and ids of
     the remainder), each document's ids made once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, end = _Chunks(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        chunks, end = _chunks(tokenizer_path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             n, crcs, crc, rest = [], [], [], []
             for text in batch.column("text"):
