@@ -16,12 +16,24 @@ from elcorpus.llm.queries import _tokenizer
 LEAST_LANGUAGE_SCORE = 0.4
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names, made longer until no column has them (in any case)."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 def language_identification(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter (null and empty ones too) or without a
-    probable language go; ``lang`` stays as it was given."""
-    names = ["lang_pred", "score"]
-    while set(names) & set(docs.columns):
-        names = [n + "_" for n in names]
+    probable language go; ``lang`` stays as it was given.  Repeated rows are
+    judged each, an empty table gives an empty one, columns of any name
+    stay."""
+    names = fresh(docs, "lang_pred", "score")
     learn = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull())
     judged = language_id.predictions(docs, language_id.train(learn), names=tuple(names))
     return judged.where((F.col(names[0]) != "und") & (F.col(names[1]) >= LEAST_LANGUAGE_SCORE)).drop(*names)
@@ -29,27 +41,32 @@ def language_identification(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one that names its component
-    (of repeated rows of that id, one for each text)."""
-    found = jaccard_join.near_duplicates(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("kept_rows"))
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"])).drop("kept_id")
-    once = rows.where("kept_rows = 1").drop("kept_rows")
-    return once.unionByName(rows.where("kept_rows > 1").drop("kept_rows").dropDuplicates(["doc_id", "text"]))
+    (of repeated rows of that id, one for each text).  Null and empty texts
+    are in no group and stay; columns of any name stay."""
+    kept_id, kept_rows = fresh(docs, "kept_id", "kept_rows")
+    found = jaccard_join.near_duplicates(docs.select("doc_id", "text"))
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(kept_id)).agg(F.count("*").alias(kept_rows))
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept[kept_id])).drop(kept_id)
+    once = rows.where(F.col(kept_rows) == 1).drop(kept_rows)
+    return once.unionByName(rows.where(F.col(kept_rows) > 1).drop(kept_rows).dropDuplicates(["doc_id", "text"]))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark passages are cut out; what has nothing else goes."""
+    """Benchmark passages are cut out; what has nothing else goes.  Null and
+    empty texts have no passage and stay."""
     out = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every secret is replaced by a mark; no document goes."""
+    """Every secret is replaced by a mark; no document goes (null texts stay
+    null)."""
     return secrets.redacted(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every document that is left."""
+    """The pieces of every document that is left (null text: the end alone);
+    repeated rows are packed each."""
     return packing.pack(docs, _tokenizer())
 
 

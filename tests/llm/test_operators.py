@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from elcorpus.llm import decontaminate, fingerprints, jaccard_join, language_id, lm_score, packing, quality, secrets, suffix_dedup, url_filter
 from tests.conftest import SF_SMALL
@@ -392,3 +393,17 @@ def test_pipeline(spark, docs, empty):
     left = [r["text"] for r in now.collect()]
     assert sum(t.startswith("word0x0") for t in left) == 1 and not any("deadbeefdeadbeef" in t for t in left) and None not in left
     assert corpus_pipeline.STAGES[-1][1](spark, now, SF_SMALL).count() >= len(left)
+
+
+def test_pipeline_stages_with_clashing_names_and_empty_tables(spark, docs, empty):
+    import corpus_pipeline
+    clash = docs.select("doc_id", "text", "lang", "source", *[F.lit(k).alias(n) for k, n in enumerate(("Score", "LANG_PRED", "lang_pred_", "kept_rows", "Kept_ID", "row_key", "n_chars", "component_id", "part"))])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, clash, SF_SMALL)
+        assert after.columns == clash.columns, name
+        rows = after.collect()
+        assert rows and {r["kept_rows"] for r in rows} == {3} and {r["Score"] for r in rows} == {0}, name
+        none = stage(spark, clash.where("1 = 0"), SF_SMALL)
+        assert none.columns == clash.columns and none.collect() == [], name
+    assert corpus_pipeline.STAGES[-1][1](spark, clash, SF_SMALL).count() >= len(TEXTS)
+    assert corpus_pipeline.STAGES[-1][1](spark, empty, SF_SMALL).collect() == []
