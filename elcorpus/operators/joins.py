@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 def left_join_hot_key(left: DataFrame, right: DataFrame, key: str, hot_values) -> DataFrame:
     """Left equi-join where rows whose key is a known hot value (e.g. ``''``)
     bypass the join and get null right-side columns, so they never pile up

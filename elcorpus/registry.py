@@ -625,10 +625,8 @@ def q_fetch_frontier(spark, sf):
 # J5 on cleaned pages, J6 final tables
 # ----------------------------------------------------------------------------
 def _cleaned(spark, sf):
-    """The cleaned-pages stage, materialised once in the checkpoint folder
-    (a reliable checkpoint: it survives executor loss and cuts the lineage
-    that later stages and the broadcast size checks would otherwise
-    recompute)."""
+    """The cleaned-pages stage, written once in the checkpoint folder: it
+    survives executor loss, and later stages read it as often as they need."""
     from elcorpus.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     from elcorpus.session import materialize
