@@ -301,7 +301,7 @@ def _kind_and_tag(tok: Column, is_markup: Column) -> tuple[Column, Column]:
 def _units(html: Column) -> Column:
     """The page cut before every piece of markup; the markup's end is marked.
     The two marks are no characters; a page that has them loses them."""
-    page = F.when(html.rlike(f"[{BEFORE}{AFTER}]"), F.translate(html, BEFORE + AFTER, "")).otherwise(html)
+    page = F.when(html.contains(BEFORE) | html.contains(AFTER), F.translate(html, BEFORE + AFTER, "")).otherwise(html)
     return F.split(F.regexp_replace(page, MARKUP_PATTERN, f"{BEFORE}$0{AFTER}"), BEFORE)
 
 
@@ -313,9 +313,8 @@ def _tokenize_chain(src, key: str, html: str, carry: tuple[str, ...]):
     if carry:
         t = t.select(key, F.coalesce("seq", F.lit(0)).alias("seq"), F.coalesce("unit", F.lit("")).alias("unit"),
                      *[F.when(F.coalesce("seq", F.lit(0)) == 0, F.col(c)).alias(c) for c in carry])
-    t = t.select(key, *carry, "seq", "unit", F.instr("unit", AFTER).alias("at"))
-    t = t.select(key, *carry, "seq", F.when(F.col("at") > 0, F.substring("unit", F.lit(1), F.col("at") - 1)).otherwise("").alias("tok"),
-                 F.when(F.length("unit") > F.col("at"), F.substring("unit", F.col("at") + 1, F.length("unit"))).alias("text"))
+    tok = F.when(F.col("unit").contains(AFTER), F.substring_index("unit", AFTER, 1)).otherwise("")
+    t = t.select(key, *carry, "seq", tok.alias("tok"), F.nullif(F.substring_index("unit", AFTER, -1), F.lit("")).alias("text"))
     tok = F.col("tok")
     t = t.select(key, *carry, "seq", "tok", "text", *_kind_and_tag(tok, tok != ""))
     is_open_tag = F.col("kind") == "open"
