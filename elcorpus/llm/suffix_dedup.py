@@ -9,12 +9,16 @@ the whole neighbourhood in which strings through it may lie; arrays are kept
 in fingerprint order, which brings equal strings together as content order
 does.
 
-A new batch's array is merge-scanned with the level of the index: entries
-with an equal neighbourhood are covered whole; entries with an equal anchor
-only are handed to a byte-exact comparison of their neighbourhoods (grouped
-by anchor; the keys of groups beyond MEMBERS rows are shuffled instead).
-The result replaces the level, with one entry for each neighbourhood; so n
-batches write the index n times.
+The index is a logarithmic family: a level of rank r holds the merged arrays
+of 2**r batches, and no neighbourhood is in the index twice.  A new batch's
+array is merge-scanned with itself, then with the levels, of which only the
+entries whose anchor the batch has are taken (for a small batch Spark
+broadcasts its anchors, and no level is shuffled).  Entries with an equal neighbourhood are covered whole; entries with
+an equal anchor only are handed to a byte-exact comparison of their
+neighbourhoods (grouped by anchor; the keys of groups beyond MEMBERS rows are
+shuffled instead).  What is new in the batch becomes a level of rank 0, and
+two levels of one rank merge into one of the next; so an entry is written
+once for each rank, log2(n) times over n batches.
 
 Defined results: null and empty texts have no bytes and nothing removed;
 repeated rows count as further occurrences, so equal texts of ``length``
@@ -24,7 +28,9 @@ are never read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,16 +39,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from elcorpus.llm import textops as T
-from elcorpus.llm.common import keyed, written
+from elcorpus.llm.common import keyed, scratch_dir, written
 
 LENGTH = 400
 WINDOW = 128
 GRAM = 32
 #: Batches in which the query adds the corpus.
-BATCHES = 2
+BATCHES = 4
 #: Neighbourhoods of one anchor that are compared in one task's memory.
 MEMBERS = 8192
 
+ARRAY = ["anchor", "around", "row_key", "pos", "before", "after"]
 ENTRY = "anchor long, around long, row_key long, pos long, before int, after int"
 
 
@@ -115,18 +122,21 @@ def entries(docs: DataFrame, length: int) -> DataFrame:
     return docs.select("row_key", "text").mapInArrow(run, ENTRY)
 
 
-def merge_scan(arrays: DataFrame, length: int, keep: bool) -> DataFrame:
-    """Over all entries in fingerprint order: kind 0, intervals (row_key, pos,
-    end) of entries whose neighbourhood occurs again; kind 1, entries to
-    compare byte by byte; kind 2 (where ``keep``), the merged array."""
+def merge_scan(array: DataFrame, level: DataFrame | None, length: int, keep: bool) -> DataFrame:
+    """Over the entries of a batch and of a level in fingerprint order: kind
+    0, intervals (row_key, pos, end) of entries whose neighbourhood occurs
+    again; kind 1, entries to compare byte by byte; kind 2 (where ``keep``),
+    the batch's array with one entry for each neighbourhood that the level
+    has not."""
     anchor = length - WINDOW + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "around", "row_key", "pos", "before", "after"]
+        names = [*ARRAY, "fresh"]
 
-        def given(rows, dups, firsts, groups):
+        def given(rows, dups, firsts, groups, given_before):
             """Output for rows with flags: occurs again; first of its
-            neighbourhood; its anchor has several neighbourhoods."""
+            neighbourhood; its anchor has several neighbourhoods; given
+            before without the last flag."""
             out = []
             full = dups | (rows[:, 4] < 0)
             r = rows[full]
@@ -135,7 +145,7 @@ def merge_scan(arrays: DataFrame, length: int, keep: bool) -> DataFrame:
             fine = rows[firsts & groups]
             out.append((1, fine, fine[:, 3], fine[:, 3]))
             if keep:
-                one = rows[firsts & (rows[:, 4] >= 0)]
+                one = rows[firsts & ~given_before & (rows[:, 4] >= 0) & (rows[:, 6] == 1)]
                 out.append((2, one, one[:, 3], one[:, 3]))
             return out
 
@@ -156,7 +166,10 @@ def merge_scan(arrays: DataFrame, length: int, keep: bool) -> DataFrame:
         if got:
             yield batch_of(given(*got))
 
-    ordered = arrays.repartition("anchor").sortWithinPartitions("anchor", "around")
+    arrays = array.select(*ARRAY, F.lit(1).alias("fresh"))
+    if level is not None:
+        arrays = arrays.unionByName(level.select(*ARRAY, F.lit(0).alias("fresh")))
+    ordered = arrays.repartition("anchor").sortWithinPartitions("anchor", "around", "fresh")
     return ordered.mapInArrow(run, "kind byte, anchor long, around long, row_key long, pos long, end long, before int, after int")
 
 
@@ -177,7 +190,7 @@ class _Runs:
         return self._flags(rows, False)
 
     def end(self):
-        return self._flags(np.zeros((0, 6), np.int64), True)
+        return self._flags(np.zeros((0, 7), np.int64), True)
 
     def _flags(self, new: np.ndarray, last: bool):
         rows = new if self.tail is None else np.concatenate([self.tail, new])
@@ -204,7 +217,7 @@ class _Runs:
         if lead is not None and not begin[0] and more[0] and not self.several:
             extra = lead  # now known to need the comparison
         cut = len(rows) if last else len(rows) - 1  # the last row waits for its successor
-        out = rows[:cut], dup[:cut], firsts[:cut], groups[:cut]
+        out = rows[:cut], dup[:cut], firsts[:cut], groups[:cut], np.zeros(cut, bool)
         if cut:
             self.prev = rows[cut - 1]
             starts = np.flatnonzero(begin[:cut])
@@ -217,31 +230,42 @@ class _Runs:
                 self.several = self.several or bool(more[0])
         self.tail = None if last else rows[cut:]
         if extra is not None:  # given again with the group flag only
-            out = (np.concatenate([extra[None], out[0]]), np.r_[False, out[1]], np.r_[True, out[2]], np.r_[True, out[3]])
+            out = (np.concatenate([extra[None], out[0]]), np.r_[False, out[1]], np.r_[True, out[2]], np.r_[True, out[3]], np.r_[True, out[4]])
         return out if len(out[0]) else None
 
 
 class SuffixIndex:
-    """Levels of merged suffix arrays; ``add`` reports what a batch shares
-    with itself and with all earlier ones."""
+    """Levels of suffix arrays by rank, the largest first, no two with a
+    neighbourhood in common; ``add`` reports what a batch shares with itself
+    and with all earlier ones."""
 
     def __init__(self, length: int = LENGTH):
         self.length = length
         self.levels: list[tuple[int, DataFrame]] = []
 
     def add(self, docs: DataFrame, more: bool = True) -> DataFrame:
-        """Scan a batch (row_key, text) against the levels; ``more``: keep it
-        as a level for later batches."""
-        arrays = entries(docs, self.length)
-        rank = 0
-        for _, level in self.levels:
-            arrays = arrays.unionByName(level)
-        found = written(merge_scan(arrays, self.length, more), "scan")
+        """Scan a batch (row_key, text) against itself and the levels;
+        ``more``: keep it as a level for later batches."""
+        own = written(merge_scan(entries(docs, self.length), None, self.length, True), "batch")
+        array, found = own.where("kind = 2").select(ARRAY), own.where("kind < 2")
+        if self.levels:
+            anchors = array.select("anchor").distinct()
+            shared = functools.reduce(DataFrame.unionByName, [level.join(anchors, "anchor", "left_semi") for _, level in self.levels])
+            across = written(merge_scan(array, shared, self.length, more), "scan")
+            array, found = across.where("kind = 2").select(ARRAY), found.unionByName(across.where("kind < 2"))
         if more:
-            # one scan has read and merged every level: the result takes the place of all levels up to the first larger rank
-            rank = 1 + max([r for r, _ in self.levels], default=-1)
-            self.levels = [(rank, found.where("kind = 2").select("anchor", "around", "row_key", "pos", "before", "after"))]
-        return found.where("kind < 2")
+            self._keep(array)
+        return found
+
+    def _keep(self, array: DataFrame) -> None:
+        """A level of rank 0; two of one rank merge into one of the next."""
+        rank, parts = 0, [array]
+        while self.levels and self.levels[-1][0] == rank:
+            parts.append(self.levels.pop()[1])
+            rank += 1
+        if rank:
+            array = written(functools.reduce(DataFrame.unionByName, parts).repartition("anchor").sortWithinPartitions("anchor", "around"), "level")
+        self.levels.append((rank, array))
 
 
 def _neighbourhoods(docs: DataFrame, fine: DataFrame, length: int) -> DataFrame:
@@ -353,12 +377,22 @@ def _fine(around: DataFrame, length: int, members: int) -> DataFrame:
     return found.where("key is null").select("row_key", "pos", "end").unionByName(single_keys.join(again, "key").select("row_key", "pos", "end"))
 
 
+def batched(docs: DataFrame, batches: int) -> DataFrame:
+    """``docs`` (row_key, doc_id, text) written once, in a folder for each
+    batch: keys stay what they are however often rows are read, also when
+    the source would be split otherwise, and a batch reads its rows alone."""
+    path = f"{scratch_dir(docs.sparkSession)}/batches-{uuid.uuid4().hex}"
+    dealt = docs.withColumn("batch", F.pmod(F.xxhash64("row_key"), F.lit(batches)).cast("int"))
+    dealt.write.partitionBy("batch").parquet(path)
+    return docs.sparkSession.read.schema(dealt.schema).parquet(path)
+
+
 def repeated(documents: DataFrame, length: int = LENGTH, batches: int = BATCHES, members: int = MEMBERS) -> DataFrame:
-    """Intervals (row_key, pos, end) of documents (row_key, text) covered by
-    strings of ``length`` bytes that also start elsewhere."""
+    """Intervals (row_key, pos, end) of documents (row_key, text, batch)
+    covered by strings of ``length`` bytes that also start elsewhere."""
     index, parts = SuffixIndex(length), []
     for k in range(batches):
-        parts.append(index.add(documents.where(F.pmod(F.xxhash64("row_key"), F.lit(batches)) == k), k + 1 < batches))
+        parts.append(index.add(documents.where(F.col("batch") == k), k + 1 < batches))
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)
@@ -372,7 +406,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, batches: int = BA
     spans: the removed runs as little-endian int64 pairs of byte offsets."""
     if length <= WINDOW + GRAM:
         raise ValueError(f"strings of more than {WINDOW + GRAM} bytes are needed")
-    docs = keyed(documents, id_col, text_col)
+    docs = batched(keyed(documents, id_col, text_col), batches)
     spans = repeated(docs, length, batches, members).groupBy("row_key").agg(F.collect_list(F.struct("pos", "end")).alias("cover"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 

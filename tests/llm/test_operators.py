@@ -366,8 +366,16 @@ def test_decontamination_blocks(spark):
     assert dict((r["doc_id"], r["text"]) for r in many.collect())[1] == "before  after" and many.where("doc_id = 4").count() == 0
 
 
-@pytest.mark.parametrize(("members", "batches"), [(8192, 2), (2, 3)])
-def test_repeats(docs, empty, members, batches):
+@pytest.mark.parametrize(("members", "batches", "arrow_rows"), [(8192, 4, 10000), (2, 7, 2)])
+def test_repeats(spark, docs, empty, members, batches, arrow_rows):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", arrow_rows)
+    try:
+        repeats(docs, empty, members, batches)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def repeats(docs, empty, members, batches):
     rows = [(i, t.encode()) for i, t in pairs(docs)]
     c = Counter(r[s:s + 400] for _, r in rows for s in range(len(r) - 399))
     want = Counter()
@@ -382,6 +390,26 @@ def test_repeats(docs, empty, members, batches):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_repeats_index_levels(spark, docs):
+    """Levels have the ranks of the binary digits of the number of batches,
+    and together one entry for each neighbourhood of the corpus."""
+    keyed_docs, index = suffix_dedup.batched(suffix_dedup.keyed(docs), 6), suffix_dedup.SuffixIndex()
+    seen = set()
+    for n in range(1, 7):
+        found = index.add(keyed_docs.where(F.col("batch") == n - 1))
+        assert {r["kind"] for r in found.select("kind").distinct().collect()} <= {0, 1}
+        assert [rank for rank, _ in index.levels] == [k for k in reversed(range(4)) if n >> k & 1]
+        have = [(r["anchor"], r["around"]) for _, level in index.levels for r in level.collect()]
+        seen |= {(r["anchor"], r["around"]) for r in suffix_dedup.entries(keyed_docs.where(F.col("batch") == n - 1), 400).where("before >= 0").collect()}
+        assert len(have) == len(set(have)) and set(have) == seen
+
+
+def test_repeats_whatever_the_splits(spark, docs):
+    """Rows keep their keys where the source is dealt anew at each reading."""
+    want = Counter(tuple(r)[:5] for r in suffix_dedup.remove_repeats(docs).collect())
+    assert Counter(tuple(r)[:5] for r in suffix_dedup.remove_repeats(docs.repartition(3)).collect()) == want
+
+
 def test_pipeline(spark, docs, empty):
     import corpus_pipeline
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
