@@ -34,6 +34,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, there = _folder(spark, path)
+    return store.exists(there)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a stage table that no later job reads."""
+    store, there = _folder(spark, path)
+    store.delete(there, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's modules to the executors, once for a context."""
     sc = spark.sparkContext

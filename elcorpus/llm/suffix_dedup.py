@@ -11,9 +11,7 @@ does.
 
 The index is a logarithmic family: a level of rank r holds the merged arrays
 of 2**r batches, and no neighbourhood is in the index twice.  A new batch's
-array is merge-scanned with itself, then with the levels, of which only the
-entries whose anchor the batch has are taken (for a small batch Spark
-broadcasts its anchors, and no level is shuffled).  Entries with an equal neighbourhood are covered whole; entries with
+array is merge-scanned with itself and all levels in one pass.  Entries with an equal neighbourhood are covered whole; entries with
 an equal anchor only are handed to a byte-exact comparison of their
 neighbourhoods (grouped by anchor; the keys of groups beyond MEMBERS rows are
 shuffled instead).  What is new in the batch becomes a level of rank 0, and
@@ -35,11 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from elcorpus.llm import textops as T
-from elcorpus.llm.common import keyed, scratch_dir, written
+from elcorpus.llm.common import exists, keyed, removed, scratch_dir, written
 
 LENGTH = 400
 WINDOW = 128
@@ -237,35 +235,47 @@ class _Runs:
 class SuffixIndex:
     """Levels of suffix arrays by rank, the largest first, no two with a
     neighbourhood in common; ``add`` reports what a batch shares with itself
-    and with all earlier ones."""
+    and with all earlier ones.  All tables lie in one folder of the shared
+    one; an array is removed when the level that it went into is written."""
 
-    def __init__(self, length: int = LENGTH):
-        self.length = length
-        self.levels: list[tuple[int, DataFrame]] = []
+    def __init__(self, spark: SparkSession, length: int = LENGTH):
+        self.spark, self.length = spark, length
+        self.folder = f"{scratch_dir(spark)}/suffixes-{uuid.uuid4().hex}"
+        self.levels: list[tuple[int, str]] = []
+        self.tables = 0
+
+    def table(self, df: DataFrame, *by: str) -> str:
+        """The path of ``df``, written as the folder's next table."""
+        self.tables += 1
+        path = f"{self.folder}/{self.tables}"
+        df.write.partitionBy(*by).parquet(path)
+        return path
+
+    def level(self, path: str) -> DataFrame:
+        return self.spark.read.schema(ENTRY).parquet(path)
 
     def add(self, docs: DataFrame, more: bool = True) -> DataFrame:
         """Scan a batch (row_key, text) against itself and the levels;
         ``more``: keep it as a level for later batches."""
-        own = written(merge_scan(entries(docs, self.length), None, self.length, True), "batch")
-        array, found = own.where("kind = 2").select(ARRAY), own.where("kind < 2")
-        if self.levels:
-            anchors = array.select("anchor").distinct()
-            shared = functools.reduce(DataFrame.unionByName, [level.join(anchors, "anchor", "left_semi") for _, level in self.levels])
-            across = written(merge_scan(array, shared, self.length, more), "scan")
-            array, found = across.where("kind = 2").select(ARRAY), found.unionByName(across.where("kind < 2"))
-        if more:
-            self._keep(array)
-        return found
-
-    def _keep(self, array: DataFrame) -> None:
+        levels = [self.level(path) for _, path in self.levels]
+        scan = merge_scan(entries(docs, self.length), functools.reduce(DataFrame.unionByName, levels) if levels else None, self.length, more)
+        path = self.table(scan.withColumn("part", F.col("kind")), "part")
+        if more and exists(self.spark, f"{path}/part=2"):
+            self._keep(f"{path}/part=2")
+        found = [self.spark.read.schema(scan.schema).parquet(p) for k in (0, 1) if exists(self.spark, p := f"{path}/part={k}")]
+        return functools.reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], scan.schema)
+
+    def _keep(self, path: str) -> None:
         """A level of rank 0; two of one rank merge into one of the next."""
-        rank, parts = 0, [array]
+        rank, paths = 0, [path]
         while self.levels and self.levels[-1][0] == rank:
-            parts.append(self.levels.pop()[1])
+            paths.append(self.levels.pop()[1])
             rank += 1
         if rank:
-            array = written(functools.reduce(DataFrame.unionByName, parts).repartition("anchor").sortWithinPartitions("anchor", "around"), "level")
-        self.levels.append((rank, array))
+            path = self.table(functools.reduce(DataFrame.unionByName, map(self.level, paths)).repartition("anchor").sortWithinPartitions("anchor", "around"))
+            for old in paths:
+                removed(self.spark, old)
+        self.levels.append((rank, path))
 
 
 def _neighbourhoods(docs: DataFrame, fine: DataFrame, length: int) -> DataFrame:
@@ -312,10 +322,10 @@ def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return keys, (d[None, :] <= before[:, None]) & (reach - d[None, :] <= after[:, None])
 
 
-def _fine(around: DataFrame, length: int, members: int) -> DataFrame:
+def _fine(around: DataFrame, index: SuffixIndex, members: int) -> DataFrame:
     """Intervals (row_key, pos, end) of the strings of ``length`` bytes that
     occur in another neighbourhood of the same anchor."""
-    names = ["anchor", "row_key", "pos", "before", "after", "left", "right"]
+    names, length = ["anchor", "row_key", "pos", "before", "after", "left", "right"], index.length
 
     def intervals(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys, ok = _keys(batch)
@@ -371,7 +381,9 @@ def _fine(around: DataFrame, length: int, members: int) -> DataFrame:
         if held is not None and held.num_rows:
             yield intervals(held.combine_chunks().to_batches()[0])
 
-    found = written(around.select(names).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "key long, row_key long, pos long, end long"), "fine")
+    kind = "key long, row_key long, pos long, end long"
+    path = index.table(around.select(names).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, kind))
+    found = index.spark.read.schema(kind).parquet(path)
     single_keys = found.where("key is not null")
     again = single_keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     return found.where("key is null").select("row_key", "pos", "end").unionByName(single_keys.join(again, "key").select("row_key", "pos", "end"))
@@ -383,14 +395,15 @@ def batched(docs: DataFrame, batches: int) -> DataFrame:
     the source would be split otherwise, and a batch reads its rows alone."""
     path = f"{scratch_dir(docs.sparkSession)}/batches-{uuid.uuid4().hex}"
     dealt = docs.withColumn("batch", F.pmod(F.xxhash64("row_key"), F.lit(batches)).cast("int"))
-    dealt.write.partitionBy("batch").parquet(path)
+    dealt.write.partitionBy("batch").option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(dealt.schema).parquet(path)
 
 
-def repeated(documents: DataFrame, length: int = LENGTH, batches: int = BATCHES, members: int = MEMBERS) -> DataFrame:
+def repeated(documents: DataFrame, index: SuffixIndex, batches: int = BATCHES, members: int = MEMBERS) -> DataFrame:
     """Intervals (row_key, pos, end) of documents (row_key, text, batch)
-    covered by strings of ``length`` bytes that also start elsewhere."""
-    index, parts = SuffixIndex(length), []
+    covered by strings of the index's length that also start elsewhere; they
+    are read from tables in the index's folder."""
+    parts = []
     for k in range(batches):
         parts.append(index.add(documents.where(F.col("batch") == k), k + 1 < batches))
     found = parts[0]
@@ -398,7 +411,7 @@ def repeated(documents: DataFrame, length: int = LENGTH, batches: int = BATCHES,
         found = found.unionByName(p)
     fine = found.where("kind = 1").select("anchor", "row_key", "pos", "before", "after").distinct()
     covered = found.where("kind = 0").select("row_key", "pos", "end")
-    return covered.unionByName(_fine(_neighbourhoods(documents, fine, length), length, members))
+    return covered.unionByName(_fine(_neighbourhoods(documents, fine, index.length), index, members))
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, batches: int = BATCHES, members: int = MEMBERS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -407,7 +420,9 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, batches: int = BA
     if length <= WINDOW + GRAM:
         raise ValueError(f"strings of more than {WINDOW + GRAM} bytes are needed")
     docs = batched(keyed(documents, id_col, text_col), batches)
-    spans = repeated(docs, length, batches, members).groupBy("row_key").agg(F.collect_list(F.struct("pos", "end")).alias("cover"))
+    index = SuffixIndex(documents.sparkSession, length)
+    spans = written(repeated(docs, index, batches, members).groupBy("row_key").agg(F.collect_list(F.struct("pos", "end")).alias("cover")), "spans")
+    removed(documents.sparkSession, index.folder)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -432,4 +447,4 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, batches: int = BA
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    return docs.join(written(spans, "spans"), "row_key", "left").select("doc_id", "text", "cover").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans binary")
+    return docs.join(spans, "row_key", "left").select("doc_id", "text", "cover").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans binary")

@@ -391,17 +391,20 @@ def repeats(docs, empty, members, batches):
 
 
 def test_repeats_index_levels(spark, docs):
-    """Levels have the ranks of the binary digits of the number of batches,
-    and together one entry for each neighbourhood of the corpus."""
-    keyed_docs, index = suffix_dedup.batched(suffix_dedup.keyed(docs), 6), suffix_dedup.SuffixIndex()
-    seen = set()
+    """Levels have the ranks of the binary digits of the number of batches
+    that brought anything new, and together one entry for each neighbourhood of the corpus."""
+    keyed_docs, index = suffix_dedup.batched(suffix_dedup.keyed(docs), 6), suffix_dedup.SuffixIndex(spark)
+    seen, news = set(), 0
     for n in range(1, 7):
         found = index.add(keyed_docs.where(F.col("batch") == n - 1))
         assert {r["kind"] for r in found.select("kind").distinct().collect()} <= {0, 1}
-        assert [rank for rank, _ in index.levels] == [k for k in reversed(range(4)) if n >> k & 1]
-        have = [(r["anchor"], r["around"]) for _, level in index.levels for r in level.collect()]
-        seen |= {(r["anchor"], r["around"]) for r in suffix_dedup.entries(keyed_docs.where(F.col("batch") == n - 1), 400).where("before >= 0").collect()}
+        have = [(r["anchor"], r["around"]) for _, path in index.levels for r in index.level(path).collect()]
+        now = {(r["anchor"], r["around"]) for r in suffix_dedup.entries(keyed_docs.where(F.col("batch") == n - 1), 400).where("before >= 0").collect()}
+        news += bool(now - seen)
+        seen |= now
+        assert [rank for rank, _ in index.levels] == [k for k in reversed(range(4)) if news >> k & 1]
         assert len(have) == len(set(have)) and set(have) == seen
+    assert news > 3
 
 
 def test_repeats_whatever_the_splits(spark, docs):
