@@ -2,7 +2,8 @@
 
 The patterns find the base spans.  The lexer reads names, literals and
 operators of source and configuration syntax, forms name-literal pairs (an
-assignment, a mapping entry, a keyword argument), follows names that stand
+assignment, also to a subscript, a mapping entry, a keyword argument, the
+literals of a list or call, a block scalar, a markup element), follows names that stand
 for an earlier constant and joins concatenated literals; a literal is a
 secret if its own or a propagated name is sensitive and its characters look
 random enough.  Work and memory are linear in a text.
@@ -19,6 +20,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,14 +41,18 @@ THRESHOLD = 1.0
 LITERAL_LEAST = 8
 
 _NAME = r"[A-Za-z_][A-Za-z0-9_.-]*"
-_OTHERS = r"""(?P<text>"[^"\n]{0,4096}"|'[^'\n]{0,4096}')|(?P<op>:=|=>|[:=+,;(){}\[\]])|(?P<line>\n)"""
+_OTHERS = r"""(?P<text>\"{3}(?:[^"]|"(?!"")){0,4096}+\"{3}|'{3}(?:[^']|'(?!'')){0,4096}+'{3}|"(?:[^"\\\n]|\\.){0,4096}+"|'(?:[^'\\\n]|\\.){0,4096}+'|`[^`\n]{0,4096}+`)|(?P<op>:=|=>|[:=+,;(){}\[\]])|(?P<line>\n)"""
 _LEX = re.compile(rf"(?P<name>{_NAME})|{_OTHERS}|(?P<bare>[0-9][A-Za-z0-9+/_.=-]*)")
 #: Where a value is due: literals of any length without white space (others
 #: are no keys), and unquoted runs whole.
-_VALUE = re.compile(rf"""(?P<long>"[^"\s]*+"|'[^'\s]*+')|(?P<run>[A-Za-z0-9+/_.-][A-Za-z0-9+/_.=-]*+)|{_OTHERS}""")
-_LAST_NAME = re.compile(rf"{_NAME}$")
+_VALUE = re.compile(rf"""(?P<long>"[^"\\\s]++"|'[^'\\\s]++')|(?P<run>[A-Za-z0-9+/_.-][A-Za-z0-9+/_.=-]*+)|{_OTHERS}""")
+_NAME_CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-"
+#: A quoted key with white space of more characters is prose.
+KEY_MOST = 130
+_ELEMENT = re.compile(rf"<({_NAME})>\s*+([^<>\s]++)\s*+</\1>")
+_BLOCK = re.compile(rf"^( *+)(?:- *+)?({_NAME}) *+: *+[|>][+-]? *+\n", re.MULTILINE)
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
-_PAIR = re.compile(r"[:=]>?\s*(?:[\"'A-Za-z0-9_+/.-])")
+_PAIR = re.compile(r"[:=]>?\s*(?:[\"'`(\[A-Za-z0-9_+/.-])")
 
 
 def sensitivity(name: str) -> float:
@@ -111,6 +117,7 @@ def literals(text: str) -> Iterator[tuple[str, Constant]]:
     known: dict[str, Constant] = {}
     name, value, spans = None, None, []
     last = None  # the name before an operator
+    inside = 0  # brackets open in the value: lists, calls, literals side by side
 
     def done():
         if name is not None and spans:
@@ -123,13 +130,28 @@ def literals(text: str) -> Iterator[tuple[str, Constant]]:
         if kind == "op" and tok in (":=", "=>", ":", "="):
             if last is not None:
                 yield from done()
-                name, spans, value = last, [], None
+                name, spans, value, inside = last, [], None, 0
             last = None
+        elif kind == "op" and tok in "([" and name is not None and (value is None or tok == "(" and not spans and text[m.start() - 1] not in " \t"):
+            inside, value, last = inside + 1, None, None
+        elif inside and (kind == "line" or kind == "op" and tok in ",)]"):
+            if kind == "op":
+                yield from done()
+                spans, last = [], None
+                inside -= tok != ","
+                if not inside:
+                    name = None
+        elif kind == "op" and tok == "]" and name is None:
+            pass  # a subscript: its literal is the name
+        elif inside and kind in ("run", "name", "bare") and "=" not in tok:
+            if tok in known:
+                spans.append(known[tok])
+            last = _tail(tok)
         elif kind == "op" and tok == "+":
             value = None
         elif kind in ("line", "op"):
             yield from done()
-            name, spans, last, value = None, [], None, None
+            name, spans, last, value, inside = None, [], None, None, 0
         elif kind == "run":
             if not any(c.isalnum() or c == "_" for c in tok):
                 continue
@@ -163,20 +185,57 @@ def literals(text: str) -> Iterator[tuple[str, Constant]]:
                     how = sensitivity(inner)
                     end = m.end() if how > most else place + len(parts[k + 1])
                     most, own = max(most, how), text[place:end]
-                    name, value, last = inner, own or None, _tail(parts[-1])
+                    name, value, last, inside = inner, own or None, _tail(parts[-1]), 0
                     spans = [known[own]] if own in known else [Constant(place, end, own)] if any(c.isdigit() for c in own) else []
         elif kind in ("text", "long", "bare", "name"):
             if name is not None and value is None:
-                value = tok
-                spans.append(Constant(m.start() + 1, m.end() - 1, tok[1:-1]))
-            last = tok.strip("\"'") if kind != "bare" and len(tok) <= 130 else None
+                value = None if inside else tok
+                spans.append(_inner(text, m.start(), m.end()))
+            last = None if kind == "bare" or len(tok) > KEY_MOST and len(tok.split(None, 1)) > 1 else tok.strip("\"'`")
     yield from done()
 
 
 def _tail(run: str) -> str | None:
     """The name at a run's end."""
-    found = _LAST_NAME.search(run[-131:])
-    return found.group() if found and len(found.group()) <= 130 else None
+    return run[len(run.rstrip(_NAME_CHARACTERS)):].lstrip("0123456789.-") or None
+
+
+def _inner(text: str, start: int, end: int) -> Constant:
+    """The constant of a quoted literal: what lies in its quotes, in triple
+    ones without white space at its ends."""
+    quotes = 3 if end - start >= 6 and text[start:start + 3] in ('"""', "'''") else 1
+    start, end = start + quotes, end - quotes
+    if quotes == 3:
+        start += len(text[start:end]) - len(text[start:end].lstrip())
+        end = start + len(text[start:end].rstrip())
+    return Constant(start, end, text[start:end])
+
+
+def elements(text: str) -> Iterator[tuple[str, Constant]]:
+    """(name, constant) of markup elements that hold one literal."""
+    for m in _ELEMENT.finditer(text):
+        yield m.group(1), Constant(m.start(2), m.end(2), m.group(2))
+
+
+def blocks(text: str) -> Iterator[tuple[str, Constant]]:
+    """(name, constant) of block scalars: the lines indented more than their
+    name, joined."""
+    at = 0
+    while m := _BLOCK.search(text, at):
+        at, parts = m.end(), []
+        while at < len(text):
+            end = text.find("\n", at)
+            end = len(text) if end < 0 else end
+            line = text[at:end]
+            body = line.strip()
+            place = at + len(line) - len(line.lstrip())
+            if body and place - at <= len(m.group(1)):
+                break
+            if body:
+                parts.append(Constant(place, place + len(body), body))
+            at = end + 1
+        if parts:
+            yield m.group(2), parts[0] if len(parts) == 1 else Constant(parts=tuple(parts))
 
 
 def spans_of(text: str) -> list[tuple[int, int, int]]:
@@ -184,13 +243,12 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
     out = {(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= ASSIGN_LEAST}
     out |= {(m.start(), 1, m.end()) for m in ACCESS.finditer(text)}
     out |= {(m.start(), 2, m.end()) for m in HEX.finditer(text)}
-    if _PAIR.search(text):
-        scores: dict[str, float] = {}
-        for name, constant in literals(text):
-            if name not in scores:
-                scores[name] = sensitivity(name)
-            if scores[name]:
-                constant.report(scores[name], out)
+    scores: dict[str, float] = {}
+    for name, constant in chain(literals(text) if _PAIR.search(text) else (), blocks(text), elements(text)):
+        if name not in scores:
+            scores[name] = sensitivity(name)
+        if scores[name]:
+            constant.report(scores[name], out)
     return sorted(out)
 
 

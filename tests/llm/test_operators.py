@@ -264,6 +264,26 @@ def test_secrets_whole_literals():
         assert time.perf_counter() - start < 20
 
 
+@pytest.mark.parametrize("text", [
+    'cfg["auth_key"] = "KEY"', 'auth_keys = ["KEY", "KEY"]', 'auth_key = (\n  "KEY"\n)', "auth_key: |\n  KEY\nnext: 1", 'auth_key = """KEY"""', 'auth_key = """\nKEY\n"""', "auth_key = `KEY`", 'auth_key = f("KEY")', 'auth_key = getenv("X", "KEY")',
+    "<auth_key>KEY</auth_key>", "a" * 300 + '_auth_key = "KEY"', 'note = "a \\" b"; auth_key = "KEY"', '{"auth_key": ["KEY"]}', "auth_keys = [\n  'KEY',\n  'KEY',\n]\ncolour = 'Zq8vT4nB2xL0'"])
+def test_secrets_syntax(text):
+    key = "q7Zk2Lm9Xw4Pt8Rb"
+    text = text.replace("KEY", key)
+    found = {text[a:b] for a, k, b in secrets.spans_of(text) if k == 3}
+    assert found == {key} and sum(k == 3 for _, k, _ in secrets.spans_of(text)) == text.count(key)
+
+
+@pytest.mark.parametrize("text", ["the key (see page 12) is: (under the mat, as 1234 ever)", "<key>some plain words here</key>", "key: |\n  some plain words\n  more of them", "print(x)[0] = plain", "auth_key = ()", "auth_key = [", "auth_key: |", '"""', "auth_key = ]"])
+def test_secrets_syntax_without_secrets(text):
+    assert not [s for s in secrets.spans_of(text) if s[1] == 3]
+
+
+def test_secrets_linear():
+    for text in ('"\\' * 100_000, "key = (" * 50_000, "<key>" * 100_000, "key: |\n  " * 50_000, "key = [" + "'" * 100_000, "`" * 100_001, "a." * 200_000 + "=" * 10):
+        secrets.spans_of(text)
+
+
 def test_secrets_joined_constants():
     """A propagated constant keeps all of its pieces and is scored whole."""
     def found(text):
