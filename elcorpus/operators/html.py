@@ -83,6 +83,8 @@ END_STOPS = (
            if t not in ("html", "body", "table", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "li", "dt", "dd")),
      ("table", "td", "th", "caption")),
 )
+# Bytes of HTML in one partition; its units take about ten times that to sort.
+PARTITION_BYTES = 32 << 20
 # -----------------------------------------------------------------------------
 
 _BIG = 2 ** 31 - 1
@@ -250,18 +252,25 @@ def _matches(tag: Column, cls: Column, ident: Column, step) -> Column:
     return cond
 
 
-def partition_pages(pages: DataFrame, key: str = "pk", num_partitions: int | None = None) -> DataFrame:
+def page_partitions(pages: DataFrame, html: str = "html") -> int:
+    """Partitions for the pages: the session's
+    ``spark.sql.shuffle.partitions``, or as many as keep the HTML of one at
+    about ``PARTITION_BYTES``, so that a task's sorts do not grow with the
+    input.  The bytes are counted by a pass over the pages."""
+    n_bytes = pages.agg(F.sum(F.octet_length(html))).first()[0] or 0
+    return max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // PARTITION_BYTES))
+
+
+def partition_pages(pages: DataFrame, key: str = "pk", num_partitions: int | None = None, html: str = "html") -> DataFrame:
     """Hash-partition page rows on their key: the one Exchange of the HTML
     chain (every later window and per-page aggregation reuses it).
 
-    The partition count is explicit (default: the session's
-    ``spark.sql.shuffle.partitions``).  The work after this Exchange is CPU
-    bound (tokens x window passes), not byte bound, so AQE must not coalesce
-    it by shuffle bytes: raw HTML is small relative to the work it causes,
-    and byte-based coalescing would fold the whole chain into a few tasks."""
-    if not num_partitions:
-        num_partitions = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pages.repartition(num_partitions, key)
+    The partition count is explicit (default: ``page_partitions``).  The work
+    after this Exchange is CPU bound (tokens x window passes), not byte bound,
+    so AQE must not coalesce it by shuffle bytes: raw HTML is small relative
+    to the work it causes, and byte-based coalescing would fold the whole
+    chain into a few tasks."""
+    return pages.repartition(num_partitions or page_partitions(pages, html), key)
 
 
 def tokenize(pages: DataFrame, key: str = "pk", html: str = "html",
@@ -275,14 +284,14 @@ def tokenize(pages: DataFrame, key: str = "pk", html: str = "html",
     an empty text), so that nothing has to be joined back."""
     src = pages.select(key, html, *carry)
     if not partitioned:
-        src = partition_pages(src, key, num_partitions)
+        src = partition_pages(src, key, num_partitions, html)
     return _replayed("tokenize", _tokenize_chain, src, key, html, tuple(carry))
 
 
 def raw_tokens(pages: DataFrame, key: str = "pk", html: str = "html", num_partitions: int | None = None) -> DataFrame:
     """The page's own tokens as they stand, (key, seq, tok, kind, tag):
     markup and text each a row, nothing balanced."""
-    src = partition_pages(pages.select(key, html), key, num_partitions)
+    src = partition_pages(pages.select(key, html), key, num_partitions, html)
     t = src.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(TOKEN_PATTERN), 0)).alias("seq", "tok"))
     is_markup = F.col("tok").startswith("<") & (F.length("tok") > 1)
     return t.select(key, "seq", "tok", *_kind_and_tag(F.col("tok"), is_markup))

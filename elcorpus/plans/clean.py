@@ -24,7 +24,7 @@ def cleaned_rows(html_pages: DataFrame, profile: SiteProfile = MEDIAWIKI_FR,
     if already is not None:
         pages = pages.join(already.select(F.col("title").alias("page")).distinct(), "page", "left_anti")
     carry = ("input_seq", "page", "url")
-    src = H.partition_pages(pages.select("row_key", *carry, "text"), "row_key", num_partitions)
+    src = H.partition_pages(pages.select("row_key", *carry, "text"), "row_key", num_partitions, "text")
     src = src.select(F.col("row_key").alias("pk"), F.col("text").alias("html"), F.struct(*carry).alias("page"))
     toks = H.tokenize(src, partitioned=True, carry=("page",))
     j = H.page_results(H.annotate(toks, profile, carry=("page",)), profile, carry=("page",))

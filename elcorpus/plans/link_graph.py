@@ -39,6 +39,9 @@ def link_graph(good: DataFrame, html_pages: DataFrame, profile: SiteProfile = ME
     seeds = good.select(F.col("title").alias("page"), F.lit("").alias("linked_from"),
                         wikipedia_url(F.col("title"), profile).alias("url"))
     seed = seed_pages(good, html_pages)
+    # one more than the number of a join: Spark would let the shuffle by the
+    # same key that picks the seeds stand in for this one, and coalesce it
+    num_partitions = num_partitions or H.page_partitions(seed, "text") + 1
     sp = H.partition_pages(seed.select(F.col("row_key").alias("pk"), F.col("text").alias("html")), "pk", num_partitions)
     links = H.link_tokens(H.annotate(H.tokenize(sp, partitioned=True), profile))
     edges = links.join(seed.select(F.col("row_key").alias("pk"), F.col("title").alias("linked_from")), "pk")

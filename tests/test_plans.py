@@ -75,6 +75,24 @@ def test_page_partitions_follow_the_session(spark):
     assert H.partition_pages(pages, num_partitions=3).rdd.getNumPartitions() == 3
 
 
+def test_page_partitions_grow_with_the_html(spark, monkeypatch):
+    from elcorpus.plans import link_graph as L
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = [f"<div id='mw-content-text'><div class='mw-parser-output'><p>{'x' * 1000}<a href='/wiki/B' title='B'>b</a></p></div></div>"] * (4 * n)
+    rows = [(i, f"T{i}", "u", t) for i, t in enumerate(texts)] + [(len(texts), "Null", "u", None)]
+    pages = spark.createDataFrame(rows, "input_seq long, page string, url string, text string")
+    monkeypatch.setattr(H, "PARTITION_BYTES", 1024)
+    want = -(-sum(map(len, texts)) // 1024)
+    assert H.partition_pages(pages, "input_seq", html="text").rdd.getNumPartitions() == want > n
+    assert H.page_partitions(pages.limit(0), "text") == n
+    # the link graph's pages are partitioned by that number, too, and not by a join's shuffle
+    for limit in (1024, 1 << 30):
+        monkeypatch.setattr(H, "PARTITION_BYTES", limit)
+        links = L.link_graph(pages.select(F.col("page").alias("title")), pages)
+        assert links.count() == 2 * len(texts) + 1
+        assert "REPARTITION_BY_NUM" in _physical(links)
+
+
 def test_frontier_is_keyed_by_title(spark):
     from elcorpus.plans import link_graph as L
     links = spark.createDataFrame([("Cote", "", "u1"), ("Côté", "", "u2"), ("Côte", "", "u3")], "page string, linked_from string, url string")
