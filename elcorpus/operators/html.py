@@ -58,6 +58,8 @@ BLOCK_TAGS = ("address", "article", "aside", "blockquote", "body", "button", "ca
               "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form",
               "header", "html", "li", "main", "nav", "object", "ol", "section", "table", "tbody", "td",
               "tfoot", "th", "thead", "tr", "ul")
+# Other tags that mostly stand without attributes.
+BARE_TAGS = ("a", "b", "code", "em", "h1", "h2", "h3", "h4", "h5", "h6", "i", "p", "pre", "span", "strong", "sub", "sup", "u")
 # Tags whose start closes an open <p>.
 P_CLOSERS = ("address", "article", "aside", "blockquote", "center", "dd", "details", "div", "dl",
              "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4",
@@ -178,10 +180,13 @@ def _balanced_sql(toks: str, end: str = "") -> str:
     end tag is then what has to be put in when it ends.  ``fix`` holds that
     text for each token (null: the token goes); it is gathered in blocks, so
     that appending stays linear."""
-    mark = ("case when not startswith(x, '<') or length(x) = 1 then '' when startswith(x, '</') then "
+    # x: the markup alone; the usual bare tags need no pattern
+    bare = ", ".join(f"'<{t}>', '</{t}>'" for t in BLOCK_TAGS + BARE_TAGS)
+    mark = (f"case when x in ({bare}) then substring(x, 2, length(x) - 2) "
+            "when not startswith(x, '<') or length(x) = 1 then '' when startswith(x, '</') then "
             "lower(regexp_extract(x, '^<(/[a-zA-Z][a-zA-Z0-9:-]*)', 1)) when x rlike "
             + _sql_text("(?i)^<(?:" + "|".join(("script", "style") + VOID_TAGS) + ")(?![a-z0-9:-])")
-            + " or x rlike " + _sql_text(rf"^[^{AFTER}]*/\s*>(?:{AFTER}|$)") + " then case when x rlike '(?i)^<hr(?![a-z0-9:-])' then '*hr' else '' end "
+            + " or instr(x, '/') > 0 and x rlike " + _sql_text(r"/\s*>$") + " then case when x rlike '(?i)^<hr(?![a-z0-9:-])' then '*hr' else '' end "
             "else lower(regexp_extract(x, '^<([a-zA-Z][a-zA-Z0-9:-]*)', 1)) end")
     names = lambda ts: "(" + ", ".join(f"'{t}'" for t in ts) + ")"
     stops = "case " + " ".join(
@@ -192,18 +197,22 @@ def _balanced_sql(toks: str, end: str = "") -> str:
         stop = [t for t in stop if t not in ended]
         pattern = "^(?:(?!" + _one_of(ended) + "|" + _one_of(stop) + ")</[^>]*+>)*+" + _one_of(ended)
         tags = tuple(tags) + (("*hr",) if "hr" in tags else ())
-        found.append(f"case when m in {names(tags)} then nullif(regexp_extract(acc.stack, {_sql_text(pattern)}, 0), '') end")
+        open_one = " or ".join(f"instr(acc.stack, '</{t}>') > 0" for t in ended)
+        found.append(f"case when m in {names(tags)} and ({open_one}) then nullif(regexp_extract(acc.stack, {_sql_text(pattern)}, 0), '') end")
     found.insert(-1, "case when m in ('h1', 'h2', 'h3', 'h4', 'h5', 'h6') then nullif(regexp_extract(acc.stack, '^</h[1-6]>', 0), '') end")
-    ends = "coalesce(" + ", ".join(found) + ", '')"
+    plain = [t for t in BARE_TAGS if not any(t in tags for tags, _, _ in IMPLIED_ENDS)]
+    ends = f"case when m in {names(plain)} then '' when m = 'p' then coalesce({found[-1]}, '') else coalesce({', '.join(found)}, '') end"
     one = lambda value, var, body: f"transform(array({value}), {var} -> {body})[0]"
     state = lambda stack, fix: f"named_struct('stack', {stack}, 'fix', array_append(acc.fix, {fix}))"
     close = one("instr(acc.stack, concat('<', m, '>'))", "at", one(
         "substring(acc.stack, 1, at - 1)", "before",
-        f"case when at = 0 or {stops} then {state('acc.stack', 'cast(null as string)')} "
+        f"case when at = 0 or before <> '' and {stops} then {state('acc.stack', 'cast(null as string)')} "
         f"else {state('substring(acc.stack, at + length(m) + 2)', 'before')} end"))
     start = one(ends, "cl", state("concat(case when startswith(m, '*') then '' else concat('</', m, '>') end, "
                                   "substring(acc.stack, length(cl) + 1))", "cl"))
-    step = f"case when m = '' then {state('acc.stack', chr(39) * 2)} when startswith(m, '/') then {close} else {start} end"
+    # an end tag mostly is that of the innermost element
+    step = (f"case when m = '' then {state('acc.stack', chr(39) * 2)} when startswith(m, '/') then "
+            f"case when startswith(acc.stack, concat('<', m, '>')) then {state('substring(acc.stack, length(m) + 3)', chr(39) * 2)} else {close} end else {start} end")
     none = "cast(array() as array<string>)"
     block = (f"aggregate(slice(marks, b, {_BLOCK}), named_struct('stack', page.stack, 'fix', {none}), (acc, m) -> {step}, "
              "acc -> named_struct('stack', acc.stack, 'fix', array_append(page.fix, acc.fix)))")
@@ -214,7 +223,7 @@ def _balanced_sql(toks: str, end: str = "") -> str:
     merged = (f"concat(flatten(zip_with({toks}, done.fix, (x, f) -> case when f is null then filter(array({after}), t -> t <> '') when f = '' then array(x) "
               f"else concat({put_in}, array(x)) end)), {put_in.replace('(f,', '(done.rest,')})")
     fixed = f"case when done.rest = '' and not exists(done.fix, f -> f is null or f <> '') then {toks} else {merged} end"
-    return one(f"transform({toks}, x -> {mark})", "marks", one(whole, "done", fixed))
+    return one(f"transform(transform({toks}, u -> substring_index(u, '{AFTER}', 1)), x -> {mark})", "marks", one(whole, "done", fixed))
 
 
 def has_class(cls: Column, token: str) -> Column:
