@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -176,21 +177,22 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
         known = NgramSet(shared.value)
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
-            texts, gone = None, []
+            texts: dict[int, str] = {}  # the cut ones alone; the others stay in the batch
             data, offs = T.utf8(batch.column(at))
             for i, j in T.slices(offs):
                 own = data[offs[i]:offs[j]]
                 w = T.Words(own, offs[i:j + 1] - offs[i], T.ALNUM_WORDS)
                 first, _, _ = known.hits(own, w)
                 for k in np.unique(np.searchsorted(w.by_doc, first, "right") - 1).tolist():
-                    texts = batch.column(at).to_pylist() if texts is None else texts
-                    texts[i + k] = _cleaned(known, texts[i + k])
-                    if not texts[i + k].strip():
-                        gone.append(i + k)
-            if texts is not None:
-                batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+                    texts[i + k] = _cleaned(known, batch.column(at)[i + k].as_py())
+            if texts:
+                cut = np.zeros(batch.num_rows, bool)
+                cut[sorted(texts)] = True
+                kind = batch.schema.field(at).type
+                some = pa.array([texts[k] for k in sorted(texts)], kind)
+                batch = batch.set_column(at, batch.schema.field(at), pc.replace_with_mask(batch.column(at), pa.array(cut), some))
                 keep = np.ones(batch.num_rows, bool)
-                keep[gone] = False
+                keep[[k for k, x in texts.items() if not x.strip()]] = False
                 batch = batch.filter(pa.array(keep))
             yield batch
 

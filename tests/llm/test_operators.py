@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -458,3 +459,42 @@ def test_pipeline_stages_with_clashing_names_and_empty_tables(spark, docs, empty
         assert none.columns == clash.columns and none.collect() == [], name
     assert corpus_pipeline.STAGES[-1][1](spark, clash, SF_SMALL).count() >= len(TEXTS)
     assert corpus_pipeline.STAGES[-1][1](spark, empty, SF_SMALL).collect() == []
+
+
+def test_pipeline_hands_its_workers_small_batches(spark, monkeypatch):
+    """Rows of whole texts lie in the executor and its workers at once; the
+    session's own number is there again afterwards."""
+    import corpus_pipeline
+    name, before, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), []
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    def stage(spark, docs, sf_dir):
+        seen.extend(r["n"] for r in spark.range(0, 3000, 1, 1).mapInArrow(sizes, "n long").collect())
+        return docs
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", stage), ("last", stage)])
+    monkeypatch.setattr(corpus_pipeline, "table", lambda spark, sf_dir, name: spark.range(3))
+    assert corpus_pipeline.run(spark, SF_SMALL).count() == 3
+    assert seen == [1000] * 6 and spark.conf.get(name) == before
+
+
+def test_cut_texts_take_their_places_in_a_batch(spark):
+    """Null, clean, cut and emptied texts of one batch, other columns too."""
+    passage = "one two three four five six seven eight nine ten"
+    rows = [(1, None), (2, "clean text"), (3, f"before {passage} after"), (4, passage), (5, "é é"), (6, f"{passage}!"), (None, passage.upper() + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([("b", passage)], "item_id string, text string")
+    got = [(r["doc_id"], r["text"]) for r in decontaminate.decontaminate(docs, bench).collect()]
+    assert got == [(1, None), (2, "clean text"), (3, "before  after"), (5, "é é"), (6, "!"), (None, " x")]
+
+
+def test_rounds_of_few_edges_take_few_partitions(spark):
+    from elcorpus.llm import components
+    edges = spark.createDataFrame([(5, 3), (9, 5), (3, 1), (8, 7)], "u long, v long")
+    for large in (True, False):
+        assert components._star(edges, large, 2).rdd.getNumPartitions() == 2
+    found = components.components(edges.unionByName(spark.createDataFrame([(4, 4), (None, 2)], "u long, v long")), "u", "v")
+    assert sorted(map(tuple, found.collect())) == [(1, 1), (3, 1), (5, 1), (7, 7), (8, 7), (9, 1)]
