@@ -20,10 +20,9 @@ are never read; ``<|...|>`` strings in a text are ordinary text.
 
 from __future__ import annotations
 
+import json
 import re
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +30,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from elcorpus.llm import textops as T
 from elcorpus.llm.common import keyed, shuffle_parts, written
 
 WINDOW = 2048
 END_ID = 1
-#: Distinct text chunks whose ids a worker remembers, twice (two generations).
-CACHE_CHUNKS = 600_000
+#: Places of a worker's table of chunks met before; a chunk of at most
+#: CHUNK_BYTES bytes and CHUNK_IDS ids is kept there until another one takes
+#: its place, so the table takes 44 MB whatever the corpus.
+PLACES_BITS = 20
+CHUNK_BYTES, CHUNK_IDS = 64, 8
+#: Rows whose ids are made before they are handed on.
+ROWS = 1000
 #: Lengths (the most frequent ones) from which combinations are enumerated.
 PLAN_LENGTHS = 160
 #: Combinations given to the least squares: every exact pair, then triples by
@@ -44,59 +49,178 @@ PLAN_LENGTHS = 160
 COMBINATIONS = 6000
 
 
-#: White space of the byte-level scheme's piece pattern (Unicode White_Space).
-_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_VISIBLE = re.compile(f"[^{_SPACE}]")
+#: Bytes that are white space by themselves; first bytes of longer white space.
+_SPACE = np.isin(np.arange(256), [*range(9, 14), 32])
+_LONG_SPACE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+#: The longer white space of the scheme's piece pattern (Unicode White_Space).
+_SPACES = [x.encode() for x in "\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"]
+#: Signs that end a letter's piece and make one with all signs behind them (an
+#: apostrophe could make a piece with letters).
+_SIGN = np.isin(np.arange(256), list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"))
+_LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
+#: A chunk that is one piece: letters of the Latin blocks.
+_WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+#: A place within a very long text where a chunk ends.
+_CUT = re.compile(rb"[!-~](?=[ \t\n\r])")
 
 
-class _Chunks(dict):
-    """Chunk -> ids as little-endian uint32 bytes.
+def _byte_letters() -> dict[int, str]:
+    """The byte-level scheme's letter for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in plain)}
+
+
+_LETTERS = _byte_letters()
+
+
+def _plain_bytes(tok) -> bool:
+    """Whether the tokenizer is the byte-level scheme and nothing else, so
+    that a word's ids are what its model gives for the word's bytes."""
+    x = json.loads(tok.to_str())
+    pre, model = x["pre_tokenizer"] or {}, x["model"]
+    plain = pre.get("type") == "ByteLevel" and not pre["add_prefix_space"] and pre.get("use_regex", True)
+    more = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")
+    return plain and not x["normalizer"] and not x["truncation"] and not x["padding"] and all(t["special"] for t in x["added_tokens"]) and model["type"] == "BPE" and not any(model.get(k) for k in more)
+
+
+def _latin_end(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a letter of the Latin blocks ends at each of the places."""
+    last, lead = data[at], data[np.maximum(at - 1, 0)]
+    two = (last >= 0x80) & (last < 0xC0) & ((lead > 0xC3) & (lead < 0xC9) | (lead == 0xC3) & (last != 0x97) & (last != 0xB7) | (lead == 0xC9) & (last < 0x90))
+    return _LETTER[last] | two & (at > 0)
+
+
+def chunk_starts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Where the chunks of a run of documents begin.
 
     Pieces of the byte-level scheme never have white space after a visible
     character, so a text may be encoded chunk by chunk, a chunk being a run
     of white space and the visible run after it.  A line end before a
-    visible character and a mark after a letter are pieces of their own."""
+    visible character and the signs behind a last letter are pieces of their
+    own."""
+    n = len(data)
+    space = _SPACE[data]
+    lead = np.flatnonzero(_LONG_SPACE[data])
+    if len(lead):
+        for size in (2, 3):
+            at = lead[lead + size <= n]
+            code = sum(data[at + k].astype(np.int64) << 8 * k for k in range(size))
+            found = at[np.isin(code, [int.from_bytes(x, "little") for x in _SPACES if len(x) == size])]
+            for k in range(size):
+                space[found + k] = True
+    first = np.zeros(n + 1, bool)
+    first[offs] = True
+    first[1:-1] |= space[1:] & ~space[:-1]
+    start = np.flatnonzero(first[:-1])
+    # a line end before a visible character of the same chunk
+    line = start[data[start] == 10]
+    line = line[line + 1 < n] + 1
+    line = line[~space[line] & ~first[line]]
+    # the signs at a chunk's end behind a letter
+    other = np.flatnonzero(~_SIGN[data])
+    end = np.append(start[1:], n)
+    k = np.searchsorted(other, end) - 1
+    last = other[np.maximum(k, 0)] if len(other) else np.zeros(len(end), np.int64)
+    some = (k >= 0) & (last >= start) & (last < end - 1)
+    last = last[some]
+    first[line] = True
+    first[last[_latin_end(data, last)] + 1] = True
+    return np.flatnonzero(first[:-1])
+
+
+class _Chunks:
+    """Ids of texts by their chunks.  Of chunks met before they stand in a
+    table with one place for each value of the hash's first bits."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.old: dict[str, bytes] = {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.old.get(chunk)
-        if ids is not None:
-            return self._keep(chunk, ids)
-        if len(chunk) > 1 and chunk[0] == "\n" and _VISIBLE.match(chunk[1]):
-            ids = self["\n"] + self[chunk[1:]]
-        elif len(chunk) > 1 and chunk[-1] in ".,!?;:" and chunk[-2].isalpha():
-            ids = self[chunk[:-1]] + self[chunk[-1]]
+        self.model = self.tok.model if _plain_bytes(self.tok) else None
+        self.hash = np.zeros(1 << PLACES_BITS, np.uint64)
+        self.size = np.zeros(1 << PLACES_BITS, np.uint8)  # 0: free
+        self.kept = np.zeros((1 << PLACES_BITS, CHUNK_IDS), np.uint32)
+
+    def _encoded(self, raw: bytes) -> list[int]:
+        text = raw.decode()
+        if self.model is not None and _WORD.fullmatch(text):
+            return [x.id for x in self.model.tokenize(raw.decode("latin-1").translate(_LETTERS))]
+        return self.tok.encode(text, add_special_tokens=False).ids
+
+    def run(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets by document) of a run of documents."""
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
+        start = chunk_starts(data, offs)
+        end = np.append(start[1:], len(data))
+        own = T.span_hash(T.prefix_hash(data), start, end)
+        place = (own >> np.uint64(64 - PLACES_BITS)).astype(np.int64)
+        rows, size = self.kept[place], self.size[place].astype(np.int64)
+        miss = np.flatnonzero((self.hash[place] != own) | (size == 0) | (end - start > CHUNK_BYTES))
+        long: dict[int, list[int]] = {}  # by number of the chunk
+        if len(miss):
+            short = miss[end[miss] - start[miss] <= CHUNK_BYTES]
+            hashes, one, of = np.unique(own[short], return_index=True, return_inverse=True)
+            one = short[one]
+            raw = data.tobytes()
+            ids = [self._encoded(raw[a:b]) for a, b in zip(start[one].tolist(), end[one].tolist(), strict=True)]
+            n = np.array([len(x) for x in ids], np.int64)
+            new = np.zeros((len(ids), CHUNK_IDS), np.uint32)
+            fits = n <= CHUNK_IDS
+            new[np.arange(CHUNK_IDS) < np.where(fits, n, 0)[:, None]] = [i for x in ids if len(x) <= CHUNK_IDS for i in x]
+            rows[short], size[short] = new[of], n[of]
+            for k in np.flatnonzero(~fits[of]).tolist():
+                long[int(short[k])] = ids[int(of[k])]
+            for k in miss[end[miss] - start[miss] > CHUNK_BYTES].tolist():
+                long[k] = self._encoded(raw[start[k]:end[k]])
+                size[k] = len(long[k])
+            at, k = np.unique(place[one[fits]], return_index=True)  # one chunk for a place
+            self.hash[at], self.size[at], self.kept[at] = hashes[fits][k], n[fits][k], new[fits][k]
+        by = np.zeros(len(start) + 1, np.int64)
+        np.cumsum(size, out=by[1:])
+        if long:
+            out = np.empty(by[-1], np.uint32)
+            brief = np.ones(len(start), bool)
+            brief[list(long)] = False
+            out[np.repeat(brief, size)] = rows[brief][np.arange(CHUNK_IDS) < size[brief, None]]
+            for k, x in long.items():
+                out[by[k]:by[k + 1]] = x
         else:
-            ids = array("I", self.tok.encode(chunk, add_special_tokens=False).ids)
-            if sys.byteorder == "big":
-                ids.byteswap()
-            ids = ids.tobytes()
-        return self._keep(chunk, ids)
-
-    def _keep(self, chunk: str, ids: bytes) -> bytes:
-        if len(self) >= CACHE_CHUNKS:  # two generations: what was used since the last turn stays
-            self.old = dict(self)
-            self.clear()
-        if len(chunk) < 64:
-            self[chunk] = ids
-        return ids
+            out = rows[np.arange(CHUNK_IDS) < size[:, None]]
+        return out, by[np.searchsorted(start, offs)]
+
+    def texts(self, column: pa.Array) -> Iterator[bytes]:
+        """The ids of each text as little-endian uint32 bytes; null: none."""
+        data, offs = T.utf8(column)
+        for i, j in T.slices(offs):
+            own, at = data[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
+            if len(own) > 2 * T.SLICE_BYTES:  # one long text, by parts that end with a chunk
+                yield b"".join(self.run(x, np.array([0, len(x)]))[0].astype("<u4").tobytes() for x in _parts(own))
+                continue
+            ids, by = self.run(own, at)
+            ids = ids.astype("<u4", copy=False)
+            for a, b in zip(by[:-1].tolist(), by[1:].tolist(), strict=True):
+                yield ids[a:b].tobytes()
 
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
+        return next(self.texts(pa.array([text], pa.large_string())))
+
+
+def _parts(data: np.ndarray) -> Iterator[np.ndarray]:
+    raw, at = data.tobytes(), 0
+    while at < len(raw):
+        cut = _CUT.search(raw, at + T.SLICE_BYTES)
+        end = cut.end() if cut else len(raw)
+        yield data[at:end]
+        at = end
 
 
 _KEPT: dict[str, _Chunks] = {}
 
 
 def _chunks(path: str) -> _Chunks:
-    """The worker's dictionary, which its later tasks go on using."""
+    """The worker's table, which its later tasks go on using."""
     if path not in _KEPT:
         _KEPT.clear()
         _KEPT[path] = _Chunks(path)
@@ -109,10 +233,10 @@ def token_table(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks, end = _chunks(tokenizer_path), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in (b.slice(s, ROWS) for b in batches for s in range(0, b.num_rows, ROWS)):
             n, crcs, crc, rest = [], [], [], []
-            for text in batch.column("text"):
-                ids = chunks.ids(text.as_py() or "") + end
+            for ids in chunks.texts(batch.column("text")):
+                ids += end
                 n.append(len(ids) // 4)
                 full = len(ids) // (4 * window) * 4 * window
                 crcs.append([zlib.crc32(ids[a:a + 4 * window]) for a in range(0, full, 4 * window)])

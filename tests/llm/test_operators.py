@@ -335,6 +335,29 @@ def test_chunked_ids_equal_whole(texts):
         assert np.frombuffer(chunks.ids(t), "<u4").tolist() == chunks.tok.encode(t, add_special_tokens=False).ids
 
 
+def test_chunk_table_is_bounded_and_exact(monkeypatch):
+    """Runs of texts get the ids of their whole texts, also where chunks take
+    each other's places and a long text is cut, and the table doesn't grow."""
+    import random
+
+    import pyarrow as pa
+    import public_tokenizers
+    monkeypatch.setattr(packing, "PLACES_BITS", 6)
+    monkeypatch.setattr(packing.T, "SLICE_BYTES", 200)
+    monkeypatch.setattr(packing.T.slices, "__defaults__", (200,))
+    chunks = packing._Chunks(public_tokenizers.path("byte_bpe_50k.json"))
+    size = sum(x.nbytes for x in (chunks.hash, chunks.size, chunks.kept))
+    rng = random.Random(4)
+    marks = ["\n", " ", "\t", "\x85", "\xa0", "\u2003", "\u3000", "\u1680", "\x1c", "'s", "'", "!!", "$$$", ".", ",", "_", "\u00d7", "\u00f7", "\u00aa", "\u0250", "\u024f", "12", "\u00b2", "\u4e2d\u6587", "<|endoftext|>", "\U0001f600", "e\u0301", "\0"]
+    word = lambda: "".join(rng.choice("aeénñßtshZ") for _ in range(rng.randint(1, 9)))
+    texts = ["".join(word() if rng.random() < 0.5 else rng.choice(marks) for _ in range(rng.choice([0, 1, 5, 40]))) for _ in range(3000)]
+    texts += ["x" * 1500, " ".join(word() for _ in range(800)), "the a\u00a0 b " * 100, "\u4e2d" * 300 + " a.\n" * 200, None, ""]
+    for _ in range(2):
+        for t, ids in zip(texts, chunks.texts(pa.array(texts)), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == chunks.tok.encode(t or "", add_special_tokens=False).ids, t
+    assert sum(x.nbytes for x in (chunks.hash, chunks.size, chunks.kept)) == size
+
+
 def test_packing_keeps_exact_pairs():
     """On diverse lengths no exact pair is left out, and of the triples those
     that use the most remainders are kept."""
