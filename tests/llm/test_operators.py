@@ -504,6 +504,26 @@ def test_pipeline_hands_its_workers_small_batches(spark, monkeypatch):
     assert seen == [1000] * 6 and spark.conf.get(name) == before
 
 
+def test_pipeline_stages_bound_a_batch_by_its_bytes(spark, monkeypatch):
+    """Also for a caller that takes the stages one by one and reads the rows
+    after the stage has returned."""
+    import corpus_pipeline
+    name, before = "spark.sql.execution.arrow.maxBytesPerBatch", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64()), pa.array([str(b.column("text").nbytes)])], ["doc_id", "text"])
+
+    rows = spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "repeat('x', 2000) as text")
+    monkeypatch.setattr(corpus_pipeline.secrets, "redacted", lambda docs: docs.mapInArrow(sizes, "doc_id long, text string"))
+    try:
+        got = [(r["doc_id"], int(r["text"])) for r in corpus_pipeline.secret_scan(spark, rows, SF_SMALL).collect()]
+    finally:
+        spark.conf.set(name, before)
+    assert sum(n for n, _ in got) == 3000 and max(size for _, size in got) < 1.2 * 2**20
+    assert all(hasattr(stage, "__wrapped__") for _, stage in corpus_pipeline.STAGES)
+
+
 def test_cut_texts_take_their_places_in_a_batch(spark):
     """Null, clean, cut and emptied texts of one batch, other columns too."""
     passage = "one two three four five six seven eight nine ten"
